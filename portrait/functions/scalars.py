@@ -15,7 +15,8 @@ __all__ = [
     "zodiac_sign", "age_band", "price_band", "parse_time_of_day", "day_period",
     "iso_local_time", "round_half_up", "epoch_ms", "datetime_to_ms", "ms_to_date",
     "ms_to_datetime", "ms_to_yyyymmdd", "date_to_ms", "first_token",
-    "dominant_os", "snake_to_camel", "label_from_sum", "ntz_to_ms",
+    "dominant_os", "snake_to_camel", "label_from_sum", "ntz_to_ms", "ms_to_utc_ntz",
+    "ms_to_day_text",
 ]
 
 # ---- fixed values (must equal the original jobs) --------------------------
@@ -119,8 +120,7 @@ def parse_time_of_day(text, zone: str = "Asia/Shanghai") -> Column:
     (the original fell back to the wall clock, which cannot repeat)."""
     t = _c(text)
     is_digits = t.rlike("^-?[0-9]+$")
-    from_ms = F.convert_timezone(F.lit("UTC"), F.lit(zone),
-                                 F.timestamp_millis(t.try_cast("bigint")).cast("timestamp_ntz"))
+    from_ms = F.convert_timezone(F.lit("UTC"), F.lit(zone), ms_to_utc_ntz(t.try_cast("bigint")))
     full = F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
     clock = F.try_to_timestamp(F.concat(F.lit("1970-01-01 "), t),
                                F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
@@ -162,9 +162,19 @@ def date_to_ms(text, offset: str = "+08:00") -> Column:
     return datetime_to_ms(F.concat(_c(text), F.lit(" 00:00:00")), offset)
 
 
+def ms_to_utc_ntz(ms) -> Column:
+    """Epoch millis -> UTC wall time as TIMESTAMP_NTZ (no session zone)."""
+    return F.timestamp_add("MILLISECOND", _c(ms), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def _local(ms, zone: str) -> Column:
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone),
-                              F.timestamp_millis(_c(ms)).cast("timestamp_ntz"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), ms_to_utc_ntz(ms))
+
+
+def ms_to_day_text(ms) -> Column:
+    """UTC calendar day of epoch millis as 'yyyy-MM-dd' (dates carry no zone)."""
+    return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"),
+                                    F.floor(_c(ms) / F.lit(86_400_000)).cast("int")), "yyyy-MM-dd")
 
 
 def ms_to_date(ms, zone: str = "Asia/Shanghai") -> Column:

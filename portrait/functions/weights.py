@@ -90,7 +90,7 @@ def order_weight_tables(mode: str = "as_run") -> dict[str, dict]:
     raise ValueError(f"unknown scoring mode {mode!r}")
 
 
-def _const_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
+def const_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
     """A constant table built JVM-side (``inline`` of a literal array folds
     to a local relation: no Python worker, no RDD)."""
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
@@ -102,7 +102,7 @@ def _const_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataF
 
 def long_table(spark: SparkSession, table: dict) -> DataFrame:
     """(key, age_group, weight) rows of one weight table."""
-    return _const_frame(spark, [(k, b, str(w)) for k, b, w in _rows(table)], _LONG_SCHEMA)
+    return const_frame(spark, [(k, b, str(w)) for k, b, w in _rows(table)], _LONG_SCHEMA)
 
 
 def wide_table(spark: SparkSession, table: dict, prefix: str, rate: str) -> DataFrame:
@@ -112,7 +112,7 @@ def wide_table(spark: SparkSession, table: dict, prefix: str, rate: str) -> Data
     from decimal import Decimal, ROUND_HALF_UP
     rows = [(k, *[str((Decimal(w) * Decimal(rate)).quantize(Decimal("0.001"), ROUND_HALF_UP)) for w in ws])
             for k, ws in table.items()]
-    return _const_frame(spark, rows, schema)
+    return const_frame(spark, rows, schema)
 
 
 def price_weights(spark: SparkSession) -> DataFrame:

@@ -282,3 +282,147 @@ FROM wide o JOIN lastw p
     "age_label_as_run": age_label_sql("as_run"),
     "age_label_repaired": age_label_sql("repaired"),
 }
+
+
+# ---- scalar groups, change records, metrics --------------------------------------
+LOCAL = "(make_timestamp(CAST({ms} AS BIGINT) * 1000) + INTERVAL 8 HOUR)"
+
+
+def _local(ms: str) -> str:
+    return LOCAL.format(ms=ms)
+
+
+def _frac(lt: str) -> str:
+    us = f"(microsecond({lt}) % 1000000)"
+    return (f"CASE WHEN {us} = 0 THEN '' ELSE '.' || rtrim(lpad(CAST({us} AS VARCHAR), 6, '0'), '0') END")
+
+
+def _day(ms: str) -> str:
+    stt = f"(({ms}) // {DAY}) * {DAY}"
+    return f"{stt} AS stt, {stt} + {DAY} AS edt, strftime(make_timestamp({stt} * 1000), '%Y-%m-%d') AS cur_date"
+
+
+PAGE_BASE = f"""
+  plog AS ({AD['page_log']}),
+  pbase AS (SELECT {_day('ts')}, coalesce(uid, '-1') AS uid, vc, ch, ar, is_new, sid, page_id, item_type,
+                   during_time FROM plog WHERE has_common)"""
+
+USER_FIELDS = 7
+BODY_FIELDS = 5
+ORDER_FIELDS = 8
+DETAIL_FIELDS = 8
+
+SQL.update({
+    "time_period": f"""
+WITH t AS (SELECT id, CASE WHEN id % 101 = 0 THEN 'garbage'
+                   WHEN id % 3 = 0 THEN CAST(create_time + id % 1000 AS VARCHAR)
+                   WHEN id % 3 = 1 THEN strftime({_local('create_time')}, '%Y-%m-%d %H:%M:%S')
+                   ELSE strftime({_local('create_time')}, '%H:%M:%S') END AS text
+           FROM ({AD['order_info']})),
+     p AS (SELECT id, text, CASE WHEN regexp_full_match(text, '-?[0-9]+') THEN {_local('text')}
+                  ELSE coalesce(try_strptime(text, '%Y-%m-%d %H:%M:%S'),
+                                try_strptime('1970-01-01 ' || text, '%Y-%m-%d %H:%M:%S')) END AS lt FROM t)
+SELECT id, text, CASE WHEN lt IS NULL THEN NULL ELSE strftime(lt, '%H:%M:%S') || {_frac('lt')} END AS parsed_time,
+       {day_period_sql('hour(lt)')} AS time_period, hour(lt) AS hour FROM p""",
+    "date_formats": f"""
+WITH l AS (SELECT id, ts_ms, {_local('ts_ms')} AS lt FROM ({AD['order_info']}))
+SELECT id, ts_ms, strftime(lt, '%Y-%m-%d %H:%M:%S') AS dt, strftime(lt, '%Y-%m-%d') AS d,
+       strftime(lt, '%Y%m%d') AS ymd,
+       epoch_us(strptime(strftime(lt, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S')) // 1000 - 28800000 AS back_ms,
+       epoch_us(CAST(CAST(lt AS DATE) AS TIMESTAMP)) // 1000 - 28800000 AS day_ms
+FROM l""",
+    "cdc_parse": f"""
+SELECT 'user_info' AS tbl, 'r' AS op, ts_ms, id, {USER_FIELDS} AS n_fields, false AS is_bad FROM ({AD['user_info']})
+UNION ALL SELECT 'user_info_sup_msg', 'r', ts_ms, uid, {BODY_FIELDS}, false FROM ({AD['user_sup_msg']})
+UNION ALL SELECT 'order_info', 'r', ts_ms, id, {ORDER_FIELDS}, false FROM ({AD['order_info']})
+UNION ALL SELECT 'order_detail', 'r', ts_ms, id, {DETAIL_FIELDS}, false FROM ({AD['order_detail']})
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, true FROM customer WHERE c_custkey % {A.BAD_EVERY} = 0""",
+    "cdc_route": with_(ENRICHED) + f"""
+SELECT 'user_info' AS tbl, id, age_group AS v FROM users
+UNION ALL SELECT 'user_info_sup_msg', uid, CAST(height AS VARCHAR) FROM ({AD['user_sup_msg']})
+UNION ALL SELECT 'order_info', id, {price_band_sql('total_amount')} FROM ({AD['order_info']})
+UNION ALL SELECT 'order_detail', id, CAST(sku_num AS VARCHAR) FROM ({AD['order_detail']})""",
+    "cdc_snapshot": f"""
+WITH o AS (SELECT id, CAST(user_id AS VARCHAR) AS user_id, order_status, CAST(total_amount AS VARCHAR) AS total_amount,
+                  'c' || CAST(user_id AS VARCHAR) AS consignee, CAST(province_id AS VARCHAR) AS province_id, ts_ms
+           FROM ({AD['order_info']})),
+h AS (SELECT id, 'c' AS op, ts_ms, user_id, order_status, total_amount, consignee, province_id FROM o
+      UNION ALL SELECT id, 'u', ts_ms + {HOUR}, user_id, '1002', total_amount, '', province_id FROM o WHERE id % 3 = 0
+      UNION ALL SELECT id, 'd', ts_ms + {2 * HOUR}, NULL, NULL, NULL, NULL, NULL FROM o WHERE id % 10 = 3
+      UNION ALL SELECT id, 'c', ts_ms + {3 * HOUR}, user_id, 'R', NULL, NULL, NULL FROM o WHERE id % 20 = 3
+      UNION ALL SELECT id, 'c', ts_ms, user_id, order_status, total_amount, consignee, province_id FROM o WHERE id % 7 = 0),
+k AS (SELECT id, max(ts_ms) FILTER (WHERE op = 'd') AS last_del, arg_max(op, ts_ms) AS last_op FROM h GROUP BY id),
+live AS (SELECT h.* FROM h JOIN k USING (id) WHERE k.last_op <> 'd' AND h.op <> 'd'
+         AND h.ts_ms > coalesce(k.last_del, -1))
+SELECT id,
+  arg_max(user_id, ts_ms) FILTER (WHERE user_id <> '') AS user_id,
+  arg_max(order_status, ts_ms) FILTER (WHERE order_status <> '') AS order_status,
+  arg_max(total_amount, ts_ms) FILTER (WHERE total_amount <> '') AS total_amount,
+  arg_max(consignee, ts_ms) FILTER (WHERE consignee <> '') AS consignee,
+  arg_max(province_id, ts_ms) FILTER (WHERE province_id <> '') AS province_id
+FROM live GROUP BY id""",
+    "dim_routing": f"""
+SELECT 'dim_user' AS topic, CAST(id AS VARCHAR) AS row_key,
+       'gender=' || coalesce(gender, 'null') || ';id=' || CAST(id AS VARCHAR) || ';name=' || coalesce(name, 'null')
+       || ';user_level=' || coalesce(CAST(user_level AS VARCHAR), 'null') AS fields, 'r' AS op FROM ({AD['user_info']})
+UNION ALL SELECT 'dim_order', CAST(id AS VARCHAR), 'id=' || CAST(id AS VARCHAR) || ';order_status=' || order_status
+       || ';user_id=' || CAST(user_id AS VARCHAR), 'r' FROM ({AD['order_info']})
+UNION ALL SELECT 'dim_user_body', CAST(uid AS VARCHAR), 'height=' || CAST(height AS VARCHAR) || ';uid=' || CAST(uid AS VARCHAR)
+       || ';weight=' || CAST(weight AS VARCHAR), 'r' FROM ({AD['user_sup_msg']})""",
+    "camel_columns": with_(ENRICHED) + """
+SELECT id, birthday, birth_year AS birthYear, age, zodiac_sign AS zodiacSign, age_group AS ageGroup, gender,
+       name, login_name AS loginName, user_level AS userLevel, create_time AS createTime, ts_ms AS tsMs FROM users""",
+    "sql_template": f"""
+SELECT o.id, o.order_status, d.dic_name, o.ts_ms AS et_ms
+FROM ({AD['order_info']}) o LEFT JOIN ({AD['base_dic']}) d ON substr(o.order_priority, 1, 1) = d.dic_code""",
+    "metric_traffic": with_(PAGE_BASE) + """
+SELECT stt, edt, cur_date, vc, ch, ar, is_new, count(DISTINCT uid) AS uv_ct, count(DISTINCT sid) AS sv_ct,
+       count(*) AS pv_ct, sum(during_time) AS dur_sum
+FROM pbase GROUP BY stt, edt, cur_date, vc, ch, ar, is_new""",
+    "metric_home_detail": with_(PAGE_BASE) + """
+SELECT stt, edt, cur_date, count(DISTINCT CASE WHEN page_id = 'home' THEN uid END) AS home_uv_ct,
+       count(DISTINCT CASE WHEN page_id = 'good_detail' THEN uid END) AS good_detail_uv_ct
+FROM pbase WHERE page_id IN ('home', 'good_detail') AND uid <> '' GROUP BY stt, edt, cur_date""",
+    "metric_login": with_(PAGE_BASE) + f""",
+  days AS (SELECT DISTINCT uid, stt, edt, cur_date FROM pbase WHERE uid <> ''),
+  lagged AS (SELECT *, lag(stt) OVER (PARTITION BY uid ORDER BY stt) AS prev FROM days)
+SELECT stt, edt, cur_date, count(*) AS uu_ct,
+       sum(CASE WHEN prev IS NOT NULL AND stt - prev >= {3 * DAY} THEN 1 ELSE 0 END) AS back_ct
+FROM lagged GROUP BY stt, edt, cur_date""",
+    "metric_cart": with_(PAGE_BASE) + """
+SELECT stt, edt, cur_date, count(DISTINCT uid) AS cart_add_uu_ct FROM pbase
+WHERE item_type = 'sku_id' AND uid <> '' GROUP BY stt, edt, cur_date""",
+    "metric_payment": f"""
+WITH days AS (SELECT DISTINCT user_id, {_day('ts_ms')} FROM ({AD['order_info']})),
+     f AS (SELECT *, min(stt) OVER (PARTITION BY user_id) AS first FROM days)
+SELECT stt, edt, cur_date, count(*) AS payment_uu_ct, sum(CASE WHEN stt = first THEN 1 ELSE 0 END) AS new_payer_ct
+FROM f GROUP BY stt, edt, cur_date""",
+    "metric_province": f"""
+WITH a AS (SELECT {_day('ts_ms')}, province_id, count(DISTINCT id) AS order_count,
+                  sum(CAST(round(total_amount * 100) AS BIGINT)) AS cents
+           FROM ({AD['order_info']}) GROUP BY ALL)
+SELECT a.stt, a.edt, a.cur_date, a.province_id, coalesce(n.n_name, '') AS province_name, a.order_count,
+       CAST(a.cents AS DOUBLE) / 100 AS order_amount
+FROM a LEFT JOIN nation n ON CAST(a.province_id AS VARCHAR) = CAST(n.n_nationkey AS VARCHAR)""",
+    "metric_sku": f"""
+WITH l AS (SELECT DISTINCT * FROM ({AD['order_detail']})),
+a AS (SELECT {_day('ts_ms')}, sku_id, sum(original_cents) AS o, sum(activity_cents) AS a, sum(coupon_cents) AS c
+      FROM l GROUP BY ALL)
+SELECT a.stt, a.edt, a.cur_date, a.sku_id, CAST(a.o AS DOUBLE) / 100 AS original_amount,
+       CAST(a.a AS DOUBLE) / 100 AS activity_amount, CAST(a.c AS DOUBLE) / 100 AS coupon_amount,
+       CAST(a.o - a.a - a.c AS DOUBLE) / 100 AS order_amount,
+       s.sku_name, s.tm_id, s.category3_id, t.tm_name, c3.name AS category3_name, c3.category2_id,
+       c2.name AS category2_name, c2.category1_id, c1.name AS category1_name
+FROM a
+LEFT JOIN ({AD['dim_sku']}) s ON CAST(a.sku_id AS VARCHAR) = s.id
+LEFT JOIN ({AD['dim_trademark']}) t ON s.tm_id = t.id
+LEFT JOIN ({AD['dim_category3']}) c3 ON s.category3_id = c3.id
+LEFT JOIN ({AD['dim_category2']}) c2 ON c3.category2_id = c2.id
+LEFT JOIN ({AD['dim_category1']}) c1 ON c2.category1_id = c1.id""",
+})
+
+SQL["bean_json"] = f"""
+WITH m AS ({SQL['metric_province']})
+SELECT json_object('stt', stt, 'edt', edt, 'cur_date', cur_date, 'province_id', province_id,
+                   'province_name', province_name, 'order_count', order_count,
+                   'order_amount', CAST(order_amount AS DECIMAL(18,2)))::VARCHAR AS json FROM m"""

@@ -211,3 +211,157 @@ def age_label_as_run(spark, sf):
 @register
 def age_label_repaired(spark, sf):
     return _age_label(spark, sf, "repaired")
+
+
+# ---- scalar groups ------------------------------------------------------------------
+@register
+def time_period(spark, sf):
+    """F7-F9 on create_time text in its three accepted forms plus junk."""
+    o = A.order_info(Tables(spark, sf).orders)
+    ms = F.col("create_time") + F.col("id") % 1000
+    text = (F.when(F.col("id") % 101 == 0, F.lit("garbage"))
+            .when(F.col("id") % 3 == 0, ms.cast("string"))
+            .when(F.col("id") % 3 == 1, S.ms_to_datetime("create_time", A.ZONE))
+            .otherwise(F.date_format(S._local(F.col("create_time"), A.ZONE), "HH:mm:ss")))
+    local = S.parse_time_of_day(text, A.ZONE)
+    return o.select("id", text.alias("text"), S.iso_local_time(local).alias("parsed_time"),
+                    S.day_period(local).alias("time_period"), F.hour(local).alias("hour"))
+
+
+@register
+def date_formats(spark, sf):
+    """Epoch ms -> local date / date-time / yyyyMMdd and back."""
+    o = A.order_info(Tables(spark, sf).orders)
+    dt, d = S.ms_to_datetime("ts_ms", A.ZONE), S.ms_to_date("ts_ms", A.ZONE)
+    return o.select("id", "ts_ms", dt.alias("dt"), d.alias("d"), S.ms_to_yyyymmdd("ts_ms", A.ZONE).alias("ymd"),
+                    S.datetime_to_ms(dt).alias("back_ms"), S.date_to_ms(d).alias("day_ms"))
+
+
+# ---- change records ---------------------------------------------------------------
+def _changes(spark, sf):
+    from portrait.sources import cdc
+    t = Tables(spark, sf)
+    return cdc.parse_changes(A.change_log_text(t.customer, t.orders, t.lineitem))
+
+
+@register
+def cdc_parse(spark, sf):
+    from portrait.sources import cdc
+    p = _changes(spark, sf)
+    rid = F.coalesce(cdc.field("id", "bigint"), cdc.field("uid", "bigint"))
+    ok = ~F.col("_bad")
+    return p.select(F.when(ok, F.col("source.table")).alias("tbl"), F.when(ok, F.col("op")).alias("op"),
+                    F.when(ok, F.col("ts_ms")).alias("ts_ms"),
+                    F.when(~F.col("_bad"), rid).alias("id"),
+                    F.when(~F.col("_bad"), F.size("after")).alias("n_fields"), F.col("_bad").alias("is_bad"))
+
+
+@register
+def cdc_route(spark, sf):
+    from portrait.sources import cdc
+    ch = cdc.good(_changes(spark, sf))
+    users = enrich_users(cdc.project_user(cdc.route(ch, "user_info")), A.AS_OF)
+    body = cdc.project_body(cdc.route(ch, "user_info_sup_msg"))
+    info = cdc.project_order_info(cdc.route(ch, "order_info"))
+    det = cdc.project_order_detail(cdc.route(ch, "order_detail"))
+    return (users.select(F.lit("user_info").alias("tbl"), "id", F.col("age_group").alias("v"))
+            .unionByName(body.select(F.lit("user_info_sup_msg").alias("tbl"), F.col("uid").alias("id"),
+                                     F.col("height").cast("string").alias("v")))
+            .unionByName(info.select(F.lit("order_info").alias("tbl"), "id", F.col("price_interval").alias("v")))
+            .unionByName(det.select(F.lit("order_detail").alias("tbl"), "id",
+                                    F.col("sku_num").cast("string").alias("v"))))
+
+
+@register
+def cdc_snapshot(spark, sf):
+    from portrait.sources import cdc
+    hist = A.order_change_history(Tables(spark, sf).orders)
+    snap = cdc.apply_changes(hist, "id", A.ORDER_CHANGE_COLS)
+    return snap.select(F.col("id").cast("bigint").alias("id"), *[c for c in A.ORDER_CHANGE_COLS if c != "id"])
+
+
+@register
+def dim_routing(spark, sf):
+    from portrait.functions.weights import const_frame
+    from portrait.sources import cdc
+    from pyspark.sql import types as T
+    cfg = const_frame(spark, A.ROUTING_CONFIG, T._parse_datatype_string(cdc.CONFIG_SCHEMA))
+    t = Tables(spark, sf)
+    routed = cdc.route_by_config(A.change_log(t.customer, t.orders, t.lineitem), cfg)
+    return routed.select("topic", "row_key", cdc.canonical_fields().alias("fields"), "op")
+
+
+@register
+def camel_columns(spark, sf):
+    from portrait.sources import cdc
+    return cdc.camel_columns(user_enrich(spark, sf))
+
+
+@register
+def bean_json(spark, sf):
+    from portrait.sources import cdc
+    m = metric_province(spark, sf).withColumn("order_amount", F.col("order_amount").cast("decimal(18,2)"))
+    m = m.select(F.col("stt"), F.col("edt"), F.col("cur_date").alias("curDate"),
+                 F.col("province_id").alias("provinceId"), F.col("province_name").alias("provinceName"),
+                 F.col("order_count").alias("orderCount"), F.col("order_amount").alias("orderAmount"),
+                 F.col("stt").alias("ts"))
+    return cdc.bean_json(m, hidden=["ts"])
+
+
+@register
+def sql_template(spark, sf):
+    """S8 + S10 + P12 + U9: change records and the dictionary as SQL views."""
+    from portrait.sources import cdc
+    t = Tables(spark, sf)
+    cdc.good(_changes(spark, sf)).withColumn("et", F.timestamp_millis("ts_ms")).createOrReplaceTempView("topic_db")
+    A.base_dic(t.orders).createOrReplaceTempView("base_dic")
+    return spark.sql("""
+        SELECT try_cast(after['id'] AS BIGINT) AS id, after['order_status'] AS order_status,
+               d.info.dic_name AS dic_name, unix_millis(et) AS et_ms
+        FROM topic_db t LEFT JOIN base_dic d ON substr(t.after['order_priority'], 1, 1) = d.dic_code
+        WHERE t.source.table = 'order_info'""")
+
+
+# ---- metrics --------------------------------------------------------------------
+from portrait.operators import metrics as M  # noqa: E402
+
+
+@register
+def metric_traffic(spark, sf):
+    return M.traffic(A.page_log(Tables(spark, sf).events))
+
+
+@register
+def metric_home_detail(spark, sf):
+    return M.home_detail(A.page_log(Tables(spark, sf).events))
+
+
+@register
+def metric_login(spark, sf):
+    return M.login(A.page_log(Tables(spark, sf).events), back_days=3)
+
+
+@register
+def metric_cart(spark, sf):
+    return M.cart_add(A.page_log(Tables(spark, sf).events))
+
+
+@register
+def metric_payment(spark, sf):
+    return M.payment(A.order_info(Tables(spark, sf).orders))
+
+
+def _provinces(t):
+    return t.nation.select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"))
+
+
+@register
+def metric_province(spark, sf):
+    t = Tables(spark, sf)
+    return M.province(A.order_info(t.orders), _provinces(t))
+
+
+@register
+def metric_sku(spark, sf):
+    t = Tables(spark, sf)
+    return M.sku(A.order_detail(t.lineitem), dims(t))

@@ -180,6 +180,7 @@ def page_log(events: DataFrame, replay_every: int = 0) -> DataFrame:
         F.when(et == "signup", "1").otherwise("0").alias("is_new"))
     page = F.struct(
         _case(et, BY_EVENT, 3).alias("page_id"),
+        (F.round(F.col("value") * 100).cast("bigint") * 10).alias("during_time"),
         F.when(et.isin("view", "purchase"), F.when(et == "view", item).otherwise(k.cast("string"))).alias("item"),
         F.when(et == "view", "keyword").when(et == "purchase", "sku_id").alias("item_type"))
     out = events.select(
@@ -192,7 +193,7 @@ def page_log(events: DataFrame, replay_every: int = 0) -> DataFrame:
 
 PAGE_LOG_DDL = ("common struct<uid:string,os:string,ch:string,md:string,ba:string,ar:string,"
                 "vc:string,sid:string,mid:string,is_new:string>, "
-                "page struct<page_id:string,item:string,item_type:string>, ts bigint, seq bigint")
+                "page struct<page_id:string,during_time:bigint,item:string,item_type:string>, ts bigint, seq bigint")
 
 
 # ---- the same mappings as DuckDB SQL (oracle side) ---------------------------
@@ -258,6 +259,8 @@ SQL = {
                'v2.' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 AS VARCHAR) AS vc,
                CASE WHEN event_type = 'signup' THEN '1' ELSE '0' END AS is_new,
                {_sql_case('event_type', BY_EVENT, 3)} AS page_id,
+               CAST(round(value * 100) AS BIGINT) * 10 AS during_time,
+               's' || CAST(event_id // 10 AS VARCHAR) AS sid,
                CASE WHEN event_type = 'view' THEN
                       CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 6 < 4
                            THEN 'Supplier#' || lpad(CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS VARCHAR), 9, '0')
@@ -267,3 +270,66 @@ SQL = {
                CASE WHEN event_type = 'view' THEN 'keyword' WHEN event_type = 'purchase' THEN 'sku_id' END AS item_type
         FROM events""",
 }
+
+
+# ---- change records ------------------------------------------------------------
+CDC_TABLES = ["user_info", "user_info_sup_msg", "order_info", "order_detail"]
+BAD_EVERY = 97   # customers c % 97 == 0 also send one truncated (malformed) record
+HOUR_MS = 3_600_000
+
+
+def change_log(customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Snapshot change records (op 'r') of the four source tables."""
+    from portrait.sources.cdc import to_change_records
+    return (to_change_records(user_info(customer), "user_info")
+            .unionByName(to_change_records(user_sup_msg(customer), "user_info_sup_msg"))
+            .unionByName(to_change_records(order_info(orders), "order_info"))
+            .unionByName(to_change_records(order_detail(lineitem), "order_detail")))
+
+
+def change_log_text(customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """The same records as JSON text (``value``), plus malformed lines."""
+    from portrait.sources.cdc import to_json_value
+    bad = (customer.filter(F.col("c_custkey") % BAD_EVERY == 0)
+           .select(F.concat(F.lit('{"op":"r","after":{"id":"'), F.col("c_custkey").cast("string")).alias("value")))
+    return to_json_value(change_log(customer, orders, lineitem)).unionByName(bad)
+
+
+ORDER_CHANGE_COLS = ["id", "user_id", "order_status", "total_amount", "consignee", "province_id"]
+
+
+def order_change_history(orders: DataFrame) -> DataFrame:
+    """Envelopes of order_info over time: create; for id % 3 == 0 an update
+    (status '1002', consignee empty = no change); for id % 10 == 3 a delete;
+    for id % 20 == 3 a re-insert with only id, user_id and status 'R'; and
+    for id % 7 == 0 the create delivered twice."""
+    from portrait.sources.cdc import ENVELOPE, as_string_map
+    o = order_info(orders).select(
+        "id", "user_id", "order_status", F.col("total_amount").cast("string").alias("total_amount"),
+        F.concat(F.lit("c"), F.col("user_id").cast("string")).alias("consignee"),
+        F.col("province_id").cast("string").alias("province_id"), "ts_ms")
+    src = F.struct(F.lit("shop").alias("db"), F.lit("order_info").alias("table"))
+    none = F.lit(None).cast(ENVELOPE["before"].dataType)
+    full = as_string_map(ORDER_CHANGE_COLS)
+    create = o.select(F.lit("c").alias("op"), none.alias("before"), full.alias("after"),
+                      src.alias("source"), "ts_ms")
+    upd = (o.filter(F.col("id") % 3 == 0).withColumn("order_status", F.lit("1002"))
+           .withColumn("consignee", F.lit(""))
+           .select(F.lit("u").alias("op"), full.alias("before"), as_string_map(ORDER_CHANGE_COLS).alias("after"),
+                   src.alias("source"), (F.col("ts_ms") + HOUR_MS).alias("ts_ms")))
+    dele = o.filter(F.col("id") % 10 == 3).select(
+        F.lit("d").alias("op"), full.alias("before"), none.alias("after"), src.alias("source"),
+        (F.col("ts_ms") + 2 * HOUR_MS).alias("ts_ms"))
+    again = (o.filter(F.col("id") % 20 == 3).withColumn("order_status", F.lit("R"))
+             .select(F.lit("c").alias("op"), none.alias("before"),
+                     as_string_map(["id", "user_id", "order_status"]).alias("after"),
+                     src.alias("source"), (F.col("ts_ms") + 3 * HOUR_MS).alias("ts_ms")))
+    replay = create.filter(F.col("after")["id"].cast("bigint") % 7 == 0)
+    return create.unionByName(upd).unionByName(dele).unionByName(again).unionByName(replay)
+
+
+ROUTING_CONFIG = [  # source_table, sink_table, sink_columns, sink_row_key, op
+    ("user_info", "dim_user", "id,name,gender,user_level", "id", "r"),
+    ("order_info", "dim_order", "id,user_id,order_status", "id", "r"),
+    ("user_info_sup_msg", "dim_user_body", "uid,height,weight", "uid", "r"),
+]
