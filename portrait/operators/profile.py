@@ -60,39 +60,52 @@ def running_profile_window(flat: DataFrame) -> DataFrame:
     return flat.select(*cols)
 
 
+def _tag(name: str):
+    # one-argument lambda: a second parameter would receive the index
+    return lambda v: F.struct(F.lit(name).alias("f"), v.alias("v"))
+
+
 def running_profile(flat: DataFrame, chunk_ms: int = 600_000) -> DataFrame:
     """A2 + A3, skew-safe: emits per input row the uid's running page count
     ``pv`` and the comma-joined sorted distinct os/ch/md/ba/search_item seen
     so far (order: ts, then seq).
 
-    1. window per (uid, chunk = ts div chunk_ms): local count and sets;
-    2. chunk summary (count, sets) per (uid, chunk) -- one row per chunk;
-    3. prefix over the summaries of a uid (chunks before this one);
-    4. join the prefix back on (uid, chunk) and combine.
+    1. chunk summaries: count and value sets per (uid, chunk = ts div
+       chunk_ms), a hash aggregate with a map-side partial step;
+    2. each distinct (uid, field, value) is kept once, in the chunk where it
+       first appears (another partial aggregation);
+    3. prefix per uid over its chunk summaries: rows and first-seen values
+       of earlier chunks (the frame holds each distinct value once, so the
+       cost per chunk is bounded by the uid's distinct values);
+    4. rows join their chunk's prefix on (uid, chunk) and a window per
+       (uid, chunk) -- on the join's partitioning, no new exchange -- adds
+       the running count and sets inside the chunk.
+    Only step 4 moves full rows, and a hot uid is spread over its chunks.
     Results equal ``running_profile_window`` exactly."""
     fields = SET_FIELDS + ["search_item"]
     base = flat.select(
         "uid", "ts", "seq", F.floor(F.col("ts") / F.lit(chunk_ms)).alias("_chunk"),
         *[F.col("deviceInfo").getField(f).alias(f) for f in SET_FIELDS], "search_item")
-    wl = (Window.partitionBy("uid", "_chunk").orderBy("ts", "seq")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = base.select("uid", "ts", "seq", "_chunk",
-                        F.count(F.lit(1)).over(wl).alias("_pv"),
-                        F.count(F.lit(1)).over(Window.partitionBy("uid", "_chunk")).alias("_cn"),
-                        *[F.collect_set(f).over(wl).alias(f"_s_{f}") for f in fields])
-    # the last row of a chunk carries the whole chunk's count and sets; it is
-    # read from the same (uid, chunk)-partitioned window output: no new scan
-    summary = local.filter(F.col("_pv") == F.col("_cn")).select(
-        "uid", "_chunk", F.col("_pv").alias("_n"), *[F.col(f"_s_{f}").alias(f"_c_{f}") for f in fields])
+    summary = base.groupBy("uid", "_chunk").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.collect_set(f).alias(f"_s_{f}") for f in fields])
+    tagged = F.flatten(F.array(*[F.transform(F.col(f"_s_{f}"), _tag(f)) for f in fields]))
+    first = (summary.select("uid", "_chunk", F.explode(tagged).alias("_e"))
+             .groupBy("uid", F.col("_e.f").alias("f"), F.col("_e.v").alias("v"))
+             .agg(F.min("_chunk").alias("_chunk")))
+    new_vals = first.groupBy("uid", "_chunk").agg(
+        *[F.collect_list(F.when(F.col("f") == f, F.col("v"))).alias(f"_new_{f}") for f in fields])
     wp = (Window.partitionBy("uid").orderBy("_chunk")
           .rowsBetween(Window.unboundedPreceding, -1))
-    prefix = summary.select(
-        "uid", "_chunk", F.coalesce(F.sum("_n").over(wp), F.lit(0)).alias("_off"),
-        *[F.array_distinct(F.flatten(F.collect_list(f"_c_{f}").over(wp))).alias(f"_p_{f}")
-          for f in fields])
-    j = local.join(prefix, ["uid", "_chunk"], "inner")
-    return j.select("uid", "ts", "seq", (F.col("_off") + F.col("_pv")).alias("pv"),
-                    *[_sets_to_text(F.array_union(F.col(f"_p_{f}"), F.col(f"_s_{f}"))).alias(f)
+    empty = F.array().cast("array<string>")
+    prefix = (summary.select("uid", "_chunk", "_n").join(new_vals, ["uid", "_chunk"], "left")
+              .select("uid", "_chunk", F.coalesce(F.sum("_n").over(wp), F.lit(0)).alias("_off"),
+                      *[F.coalesce(F.flatten(F.collect_list(f"_new_{f}").over(wp)), empty).alias(f"_p_{f}")
+                        for f in fields]))
+    wl = (Window.partitionBy("uid", "_chunk").orderBy("ts", "seq")
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    j = base.join(prefix, ["uid", "_chunk"], "inner")
+    return j.select("uid", "ts", "seq", (F.col("_off") + F.count(F.lit(1)).over(wl)).alias("pv"),
+                    *[_sets_to_text(F.array_union(F.col(f"_p_{f}"), F.collect_set(f).over(wl))).alias(f)
                       for f in fields])
 
 

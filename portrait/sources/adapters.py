@@ -162,8 +162,12 @@ def page_log(events: DataFrame, replay_every: int = 0) -> DataFrame:
     Users ``% 37 == 5`` have no uid, ``% 41 == 7`` an empty one; one event
     in 53 has no ``common`` block.  ``replay_every=n`` appends an exact
     copy of every n-th event (duplicate delivery)."""
+    # parse props once (a projection of its own so the parse is not
+    # repeated for every derived field)
+    events = events.select("event_id", "ts", "user_id", "event_type", "value",
+                           F.from_json("props", "k int").getField("k").alias("_k"))
     u = F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("_k")
     et = F.col("event_type")
     uid = (F.when(u % 37 == 5, F.lit(None).cast("string"))
            .when(u % 41 == 7, F.lit("")).otherwise(u.cast("string")))
