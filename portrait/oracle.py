@@ -426,3 +426,11 @@ WITH m AS ({SQL['metric_province']})
 SELECT json_object('stt', stt, 'edt', edt, 'cur_date', cur_date, 'province_id', province_id,
                    'province_name', province_name, 'order_count', order_count,
                    'order_amount', CAST(order_amount AS DECIMAL(18,2)))::VARCHAR AS json FROM m"""
+
+
+# Streams whose rows equal a batch query's rows share its SQL.
+SQL["stream_profile"] = SQL["running_profile"]
+SQL["stream_dedup"] = SQL["page_dedup"]
+SQL["stream_interval_join"] = SQL["user_body_join"]
+SQL["stream_upsert"] = SQL["cdc_snapshot"]
+SQL["stream_topic_sink"] = SQL["dim_routing"]

@@ -365,3 +365,82 @@ def metric_province(spark, sf):
 def metric_sku(spark, sf):
     t = Tables(spark, sf)
     return M.sku(A.order_detail(t.lineitem), dims(t))
+
+
+# ---- streams (file source -> stateful/joins -> sink, drained with availableNow) ----
+def _stage(spark, df, name, slice_col, n_slices=3, files=4):
+    from portrait.session import scratch_path
+    from portrait.streaming.sources import stage_slices
+    path = scratch_path(spark, f"stage-{name}")
+    stage_slices(df, path, slice_col, n_slices, files)
+    return path, files
+
+
+def _stream(spark, df, name, slice_col, n_slices=3, files=4):
+    from portrait.streaming.sources import read_stream
+    path, per = _stage(spark, df, name, slice_col, n_slices, files)
+    return read_stream(spark, "files", path=path, schema=df.schema, max_files_per_trigger=per)
+
+
+def _drain(spark, df, name, **kw):
+    from portrait.session import scratch_path
+    from portrait.streaming.sinks import run_to_completion
+    out, ck = scratch_path(spark, f"out-{name}"), scratch_path(spark, f"ckpt-{name}")
+    run_to_completion(df, sink="parquet", path=out, checkpoint=ck, **kw)
+    return spark.read.parquet(out)
+
+
+@register
+def stream_profile(spark, sf):
+    """Running profile as keyed state over three micro-batches."""
+    from portrait.streaming.stateful import dedup_stream, running_profile_stream
+    raw = _stream(spark, A.page_log(Tables(spark, sf).events, replay_every=10), "pagelog", "ts")
+    return _drain(spark, running_profile_stream(dedup_stream(P.flatten_page_log(raw))), "profile")
+
+
+@register
+def stream_dedup(spark, sf):
+    """A1 on a stream (no watermark: state kept, as in the original)."""
+    from portrait.streaming.stateful import dedup_stream
+    raw = _stream(spark, A.page_log(Tables(spark, sf).events, replay_every=10), "pagelog-dd", "ts")
+    return _drain(spark, _flat_cols(dedup_stream(P.flatten_page_log(raw))), "dedup")
+
+
+@register
+def stream_interval_join(spark, sf):
+    """J1 stream-stream interval join, users x body measures."""
+    t = Tables(spark, sf)
+    users = _stream(spark, A.user_info(t.customer), "users", "ts_ms", 2, 2)
+    body = _stream(spark, A.user_sup_msg(t.customer), "body", "ts_ms", 2, 2)
+    return _drain(spark, WO.user_profile(enrich_users(users, A.AS_OF), body), "ij")
+
+
+@register
+def stream_upsert(spark, sf):
+    """Change records folded into a keyed snapshot batch by batch."""
+    from portrait.session import scratch_path
+    from portrait.streaming.sinks import read_upsert_snapshot, run_to_completion, upsert_sink
+    hist = _stream(spark, A.order_change_history(Tables(spark, sf).orders), "orders-cdc", "ts_ms")
+    state = scratch_path(spark, "upsert-state")
+    run_to_completion(hist, sink=upsert_sink(state, "id", A.ORDER_CHANGE_COLS),
+                      checkpoint=scratch_path(spark, "ckpt-upsert"))
+    snap = read_upsert_snapshot(spark, state, "id")
+    return snap.select(F.col("id").cast("bigint").alias("id"), *[c for c in A.ORDER_CHANGE_COLS if c != "id"])
+
+
+@register
+def stream_topic_sink(spark, sf):
+    """S6 + S14: change records routed by config to per-topic folders."""
+    from portrait.functions.weights import const_frame
+    from portrait.session import scratch_path
+    from portrait.sources import cdc
+    from portrait.streaming.sinks import topic_sink
+    from pyspark.sql import types as T
+    t = Tables(spark, sf)
+    changes = _stream(spark, A.change_log(t.customer, t.orders, t.lineitem), "changes", "ts_ms", 2, 4)
+    cfg = const_frame(spark, A.ROUTING_CONFIG, T._parse_datatype_string(cdc.CONFIG_SCHEMA))
+    out = scratch_path(spark, "out-topics")
+    q = topic_sink(cdc.route_by_config(changes, cfg), "topic", scratch_path(spark, "ckpt-topics"), path=out,
+                   trigger="availableNow")
+    q.awaitTermination()
+    return spark.read.parquet(out).select("topic", "row_key", cdc.canonical_fields().alias("fields"), "op")

@@ -119,6 +119,43 @@ def project_order_detail(changes: DataFrame) -> DataFrame:
 
 
 # ---- S13: change application -------------------------------------------------------
+def change_state(changes: DataFrame, key: str, columns: Sequence[str],
+                 order: Sequence[str] = ("ts_ms",)) -> DataFrame:
+    """Fold change records into mergeable per-key state.
+
+    Per column the state is the latest ``(time, value)`` among non-empty
+    values *and* deletes (a delete carries a reset marker), so "latest
+    non-empty value after the latest delete" is one ``max`` of a struct.
+    ``_last`` is the latest ``(time, op)``.  ``max`` over structs is
+    associative, so state of old data and of new data merge exactly
+    (``merge_change_states``), and Spark computes it with a map-side
+    partial aggregation: a key holding a third of all records costs one
+    row per task before the shuffle."""
+    t = [F.col(c) for c in order]
+    k = F.coalesce(field(key, m="after"), field(key, m="before"))
+    is_del = F.col("op") == "d"
+    aggs = [F.max(F.struct(*t, F.col("op").alias("op"))).alias("_last")]
+    for c in columns:
+        if c == key:
+            continue
+        v = F.when(is_del, F.lit(_RESET)).when(field(c) != "", field(c))
+        aggs.append(F.max(F.when(v.isNotNull(), F.struct(*t, v.alias("v")))).alias(c))
+    return changes.groupBy(k.alias(key)).agg(*aggs)
+
+
+def merge_change_states(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Exact merge of two change states (snapshot state + a micro-batch)."""
+    cols = [c for c in old.columns if c != key]
+    return old.unionByName(new).groupBy(key).agg(*[F.max(c).alias(c) for c in cols])
+
+
+def state_to_snapshot(state: DataFrame, key: str) -> DataFrame:
+    """Visible rows: live keys, reset markers shown as null."""
+    cols = [c for c in state.columns if c not in (key, "_last")]
+    return state.filter(F.col("_last.op") != "d").select(
+        key, *[F.when(F.col(f"{c}.v") != _RESET, F.col(f"{c}.v")).alias(c) for c in cols])
+
+
 def apply_changes(changes: DataFrame, key: str, columns: Sequence[str],
                   order: Sequence[str] = ("ts_ms",)) -> DataFrame:
     """Fold a change log into the current snapshot, one row per live key.
@@ -126,25 +163,9 @@ def apply_changes(changes: DataFrame, key: str, columns: Sequence[str],
     Per column: the latest non-empty value after the key's latest delete
     (an update never clears a column with an empty value; a delete resets
     all columns).  Keys whose latest record is a delete are dropped.
-    Replays of a record change nothing (idempotent).
-
-    One hash aggregation by key: each column's winner is
-    ``max_by(value-or-reset-marker, time)``, which Spark combines partially
-    on the map side, so a key with a third of all records costs one row
-    per task before the shuffle.
-    """
-    t = F.struct(*[F.col(c) for c in order])
-    k = F.coalesce(field(key, m="after"), field(key, m="before"))
-    is_del = F.col("op") == "d"
-    aggs = [F.max_by("op", t).alias("_last_op")]
-    for c in columns:
-        if c == key:
-            continue
-        v = F.when(is_del, F.lit(_RESET)).when(field(c) != "", field(c))
-        aggs.append(F.max_by(v, F.when(v.isNotNull(), t)).alias(c))
-    snap = changes.groupBy(k.alias(key)).agg(*aggs).filter(F.col("_last_op") != "d")
-    out = [F.col(key)] + [F.when(F.col(c) != _RESET, F.col(c)).alias(c) for c in columns if c != key]
-    return snap.select(*out)
+    Replays of a record change nothing (idempotent).  One hash aggregation
+    by key (see ``change_state``)."""
+    return state_to_snapshot(change_state(changes, key, columns, order), key)
 
 
 # ---- S14: config-driven routing ------------------------------------------------------
