@@ -90,14 +90,23 @@ def order_weight_tables(mode: str = "as_run") -> dict[str, dict]:
     raise ValueError(f"unknown scoring mode {mode!r}")
 
 
+def _sql_lit(v, dtype: T.DataType) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dtype.simpleString()})"
+    text = "'" + str(v).replace("'", "''") + "'"
+    return text if isinstance(dtype, T.StringType) else f"CAST({text} AS {dtype.simpleString()})"
+
+
 def const_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
-    """A constant table built JVM-side (``inline`` of a literal array folds
-    to a local relation: no Python worker, no RDD)."""
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
-               for r in rows]
-    if not structs:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A constant table as one SQL ``VALUES`` statement: a local relation
+    built JVM-side (no Python worker, no RDD, one driver round trip)."""
+    names = ", ".join(f.name for f in schema.fields)
+    if not rows:
+        cols = ", ".join(f"{_sql_lit(None, f.dataType)} AS {f.name}" for f in schema.fields)
+        return spark.sql(f"SELECT {cols} WHERE false")
+    values = ", ".join("(" + ", ".join(_sql_lit(v, f.dataType) for v, f in zip(r, schema.fields)) + ")"
+                       for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
 
 
 def long_table(spark: SparkSession, table: dict) -> DataFrame:

@@ -65,13 +65,27 @@ def _tag(name: str):
     return lambda v: F.struct(F.lit(name).alias("f"), v.alias("v"))
 
 
-def running_profile(flat: DataFrame, chunk_ms: int = 600_000) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, hot_share: float = 0.01, min_rows: int = 1000) -> DataFrame:
+    """Keys holding more than ``hot_share`` of all rows (and more than
+    ``min_rows``).  At most ``1 / hot_share`` keys can pass, so the result
+    has a proven size bound and is safe to broadcast.  Runs a count (a
+    scalar to the driver) and a partial aggregation by key."""
+    limit = max(min_rows, int(df.count() * hot_share))
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
+            .filter(F.col("_cnt") > limit).select(key, F.lit(True).alias("_hot")))
+
+
+def running_profile(flat: DataFrame, chunk_ms: int = 600_000, hot_share: float = 0.01,
+                    min_hot_rows: int = 1000) -> DataFrame:
     """A2 + A3, skew-safe: emits per input row the uid's running page count
     ``pv`` and the comma-joined sorted distinct os/ch/md/ba/search_item seen
     so far (order: ts, then seq).
 
-    1. chunk summaries: count and value sets per (uid, chunk = ts div
-       chunk_ms), a hash aggregate with a map-side partial step;
+    0. hot uids (over ``hot_share`` of the rows; at most 1/hot_share of
+       them, broadcast) are cut into time chunks of ``chunk_ms``; every
+       other uid is a single chunk;
+    1. chunk summaries: count and value sets per (uid, chunk), a hash
+       aggregate with a map-side partial step;
     2. each distinct (uid, field, value) is kept once, in the chunk where it
        first appears (another partial aggregation);
     3. prefix per uid over its chunk summaries: rows and first-seen values
@@ -81,10 +95,14 @@ def running_profile(flat: DataFrame, chunk_ms: int = 600_000) -> DataFrame:
        (uid, chunk) -- on the join's partitioning, no new exchange -- adds
        the running count and sets inside the chunk.
     Only step 4 moves full rows, and a hot uid is spread over its chunks.
+    ``flat`` is read several times: pass a materialized (checkpointed)
+    frame when it is expensive to recompute.
     Results equal ``running_profile_window`` exactly."""
     fields = SET_FIELDS + ["search_item"]
-    base = flat.select(
-        "uid", "ts", "seq", F.floor(F.col("ts") / F.lit(chunk_ms)).alias("_chunk"),
+    hot = F.broadcast(hot_keys(flat, "uid", hot_share, min_hot_rows))
+    chunk = F.when(F.col("_hot"), F.floor(F.col("ts") / F.lit(chunk_ms))).otherwise(F.lit(-1))
+    base = flat.join(hot, "uid", "left").select(
+        "uid", "ts", "seq", chunk.alias("_chunk"),
         *[F.col("deviceInfo").getField(f).alias(f) for f in SET_FIELDS], "search_item")
     summary = base.groupBy("uid", "_chunk").agg(
         F.count(F.lit(1)).alias("_n"), *[F.collect_set(f).alias(f"_s_{f}") for f in fields])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from portrait.operators.profile import dedup_exact, flatten_page_log, running_profile, window_last
 from portrait.operators.scoring import device_scores, search_scores
+from portrait.session import materialize
 
 TWO_MINUTES_MS = 120_000
 
@@ -22,9 +23,17 @@ def category_tree(category3: DataFrame, category2: DataFrame, category1: DataFra
             .select("id", "b3name", "b2name", "b1name"))
 
 
-def profile_rows(raw_page_log: DataFrame, chunk_ms: int = 600_000) -> DataFrame:
-    """flatten -> dedup -> running profile (one row per kept record)."""
-    return running_profile(dedup_exact(flatten_page_log(raw_page_log)), chunk_ms)
+def profile_rows(raw_page_log: DataFrame, chunk_ms: int = 600_000,
+                 materialize_dedup: bool = True) -> DataFrame:
+    """flatten -> dedup -> running profile (one row per kept record).
+
+    The de-duplicated log feeds three branches of the running profile;
+    it is checkpointed once (shared checkpoint folder) so the scan and the
+    dedup shuffle run once instead of three times."""
+    flat = dedup_exact(flatten_page_log(raw_page_log))
+    if materialize_dedup and not flat.isStreaming:
+        flat = materialize(flat)
+    return running_profile(flat, chunk_ms)
 
 
 def page_profile(spark: SparkSession, raw_page_log: DataFrame, categories: DataFrame,

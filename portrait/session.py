@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # delete checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -72,3 +74,15 @@ def _counter():
 
 
 _SEQ = _counter()
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` once to the shared checkpoint folder
+    (``spark.checkpoint.dir``) and continue from the written copy.
+
+    Used where one intermediate feeds several branches that the optimizer
+    would otherwise recompute separately (each pruned differently, so no
+    shuffle reuse).  Reliable checkpoints survive executor loss; local
+    checkpoints would not."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

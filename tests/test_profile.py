@@ -56,9 +56,13 @@ def _random_flat(spark, n=600, hot_share=0.4, seed=3):
 def test_running_profile_chunked_equals_window(spark):
     flat = _random_flat(spark)
     a = sorted(map(tuple, P.running_profile_window(flat).collect()))
+    assert [r.uid for r in P.hot_keys(flat, "uid", hot_share=0.2, min_rows=10).collect()] == ["hot"]
     for chunk in (60_000, 600_000, 10_000_000):
-        b = sorted(map(tuple, P.running_profile(flat, chunk).select(*P.running_profile_window(flat).columns).collect()))
-        assert a == b
+        b = P.running_profile(flat, chunk, hot_share=0.2, min_hot_rows=10)
+        assert sorted(map(tuple, b.select(*P.running_profile_window(flat).columns).collect())) == a
+    # no hot key at all: every uid is one chunk
+    b = P.running_profile(flat, hot_share=0.9)
+    assert sorted(map(tuple, b.select(*P.running_profile_window(flat).columns).collect())) == a
 
 
 def test_running_profile_brute_force(spark):
@@ -73,7 +77,8 @@ def test_running_profile_brute_force(spark):
             sets["search_item"].add(r.search_item)
         state[r.uid] = (pv, sets)
         expect[r.seq] = (pv, ",".join(sorted(sets["os"])), ",".join(sorted(sets["search_item"])))
-    got = {r.seq: (r.pv, r.os, r.search_item) for r in P.running_profile(flat).collect()}
+    got = {r.seq: (r.pv, r.os, r.search_item)
+           for r in P.running_profile(flat, 60_000, hot_share=0.05, min_hot_rows=5).collect()}
     assert got == expect
 
 
