@@ -434,3 +434,11 @@ SQL["stream_dedup"] = SQL["page_dedup"]
 SQL["stream_interval_join"] = SQL["user_body_join"]
 SQL["stream_upsert"] = SQL["cdc_snapshot"]
 SQL["stream_topic_sink"] = SQL["dim_routing"]
+SQL["stream_wide_orders"] = SQL["order_user_join"]
+SQL["stream_price_pairs"] = with_(ENRICHED) + f"""
+SELECT p.age_group, p.price_interval, CAST(w.weight AS DOUBLE) AS weight FROM (
+  SELECT u.age_group, {price_band_sql('o.total_amount')} AS price_interval
+  FROM users u JOIN ({AD['order_info']}) o
+    ON o.user_id = u.id AND o.ts_ms BETWEEN u.ts_ms - {DAY} AND u.ts_ms + 60000
+  WHERE o.total_amount IS NOT NULL) p
+JOIN {PRICE_W} w ON w.price_interval = p.price_interval AND w.age_group = p.age_group"""

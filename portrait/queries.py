@@ -444,3 +444,25 @@ def stream_topic_sink(spark, sf):
                    trigger="availableNow")
     q.awaitTermination()
     return spark.read.parquet(out).select("topic", "row_key", cdc.canonical_fields().alias("fields"), "op")
+
+
+@register
+def stream_price_pairs(spark, sf):
+    """J4 on streams: every (user, order) pair with a price weight."""
+    t = Tables(spark, sf)
+    users = enrich_users(_stream(spark, A.user_info(t.customer), "pp-users", "ts_ms", 2, 2), A.AS_OF)
+    orders = _stream(spark, A.order_info(t.orders), "pp-orders", "ts_ms", 3, 4)
+    pairs = PR.price_pairs(spark, users, orders)
+    return _drain(spark, pairs.select("age_group", "price_interval", F.col("weight").cast("double").alias("weight")),
+                  "pp")
+
+
+@register
+def stream_wide_orders(spark, sf):
+    """J1-J3 and J6 on streams: four change streams, static dimensions."""
+    t = Tables(spark, sf)
+    users = _stream(spark, A.user_info(t.customer), "w-users", "ts_ms", 2, 2)
+    body = _stream(spark, A.user_sup_msg(t.customer), "w-body", "ts_ms", 2, 2)
+    detail = _stream(spark, A.order_detail(t.lineitem), "w-detail", "ts_ms", 3, 4)
+    info = _stream(spark, A.order_info(t.orders), "w-info", "ts_ms", 3, 4)
+    return _drain(spark, WO.wide_orders(users, body, detail, info, dims(t), A.AS_OF), "wide")
