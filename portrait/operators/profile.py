@@ -137,3 +137,11 @@ def window_last(profile: DataFrame, size_ms: int = 120_000, key: str = "uid",
     last = F.max_by(F.struct(*others), F.struct(time_col, tie)).alias("_last")
     return (profile.groupBy(key, ws).agg(last)
             .select(key, "window_start", "_last.*"))
+
+
+def reduce_by_window(df: DataFrame, key: str, time_col: str, size_ms: int, *aggs) -> DataFrame:
+    """U6, general form of a keyed tumbling-window reduce: any aggregate
+    expressions per (key, window); ``window_last`` is the ``(a, b) -> b``
+    case.  Aggregates combine partially on the map side."""
+    ws = (F.floor(F.col(time_col) / F.lit(size_ms)) * F.lit(size_ms)).alias("window_start")
+    return df.groupBy(key, ws).agg(*aggs)

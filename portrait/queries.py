@@ -313,7 +313,10 @@ def sql_template(spark, sf):
     """S8 + S10 + P12 + U9: change records and the dictionary as SQL views."""
     from portrait.sources import cdc
     t = Tables(spark, sf)
-    cdc.good(_changes(spark, sf)).withColumn("et", F.timestamp_millis("ts_ms")).createOrReplaceTempView("topic_db")
+    # et = event time from ts_ms read as milliseconds (the original's
+    # precision-0 conversion read them as seconds); pt = processing time
+    (cdc.good(_changes(spark, sf)).withColumn("et", F.timestamp_millis("ts_ms"))
+     .withColumn("pt", F.current_timestamp()).createOrReplaceTempView("topic_db"))
     A.base_dic(t.orders).createOrReplaceTempView("base_dic")
     return spark.sql("""
         SELECT try_cast(after['id'] AS BIGINT) AS id, after['order_status'] AS order_status,
