@@ -306,7 +306,8 @@ def order_change_history(orders: DataFrame) -> DataFrame:
     """Envelopes of order_info over time: create; for id % 3 == 0 an update
     (status '1002', consignee empty = no change); for id % 10 == 3 a delete;
     for id % 20 == 3 a re-insert with only id, user_id and status 'R'; and
-    for id % 7 == 0 the create delivered twice."""
+    for id % 7 == 0 the create delivered twice.  One scan: every order
+    yields an array of its versions, exploded."""
     from portrait.sources.cdc import ENVELOPE, as_string_map
     o = order_info(orders).select(
         "id", "user_id", "order_status", F.col("total_amount").cast("string").alias("total_amount"),
@@ -315,21 +316,25 @@ def order_change_history(orders: DataFrame) -> DataFrame:
     src = F.struct(F.lit("shop").alias("db"), F.lit("order_info").alias("table"))
     none = F.lit(None).cast(ENVELOPE["before"].dataType)
     full = as_string_map(ORDER_CHANGE_COLS)
-    create = o.select(F.lit("c").alias("op"), none.alias("before"), full.alias("after"),
-                      src.alias("source"), "ts_ms")
-    upd = (o.filter(F.col("id") % 3 == 0).withColumn("order_status", F.lit("1002"))
-           .withColumn("consignee", F.lit(""))
-           .select(F.lit("u").alias("op"), full.alias("before"), as_string_map(ORDER_CHANGE_COLS).alias("after"),
-                   src.alias("source"), (F.col("ts_ms") + HOUR_MS).alias("ts_ms")))
-    dele = o.filter(F.col("id") % 10 == 3).select(
-        F.lit("d").alias("op"), full.alias("before"), none.alias("after"), src.alias("source"),
-        (F.col("ts_ms") + 2 * HOUR_MS).alias("ts_ms"))
-    again = (o.filter(F.col("id") % 20 == 3).withColumn("order_status", F.lit("R"))
-             .select(F.lit("c").alias("op"), none.alias("before"),
-                     as_string_map(["id", "user_id", "order_status"]).alias("after"),
-                     src.alias("source"), (F.col("ts_ms") + 3 * HOUR_MS).alias("ts_ms")))
-    replay = create.filter(F.col("after")["id"].cast("bigint") % 7 == 0)
-    return create.unionByName(upd).unionByName(dele).unionByName(again).unionByName(replay)
+    ts, k = F.col("ts_ms"), F.col("id")
+
+    def version(op, before, after, t):
+        return F.struct(F.lit(op).alias("op"), before.alias("before"), after.alias("after"),
+                        src.alias("source"), t.alias("ts_ms"))
+
+    upd_after = F.map_concat(F.map_filter(full, lambda key, v: ~key.isin("order_status", "consignee")),
+                             F.create_map(F.lit("order_status"), F.lit("1002"), F.lit("consignee"), F.lit("")))
+    again_after = F.create_map(F.lit("id"), k.cast("string"), F.lit("user_id"), F.col("user_id").cast("string"),
+                               F.lit("order_status"), F.lit("R"))
+    create = version("c", none, full, ts)
+    versions = F.array(
+        create,
+        F.when(k % 3 == 0, version("u", full, upd_after, ts + HOUR_MS)),
+        F.when(k % 10 == 3, version("d", full, none, ts + 2 * HOUR_MS)),
+        F.when(k % 20 == 3, version("c", none, again_after, ts + 3 * HOUR_MS)),
+        F.when(k % 7 == 0, create))
+    return (o.select(F.explode(versions).alias("_v")).filter(F.col("_v").isNotNull())
+            .select("_v.op", "_v.before", "_v.after", "_v.source", "_v.ts_ms"))
 
 
 ROUTING_CONFIG = [  # source_table, sink_table, sink_columns, sink_row_key, op

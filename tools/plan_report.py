@@ -20,8 +20,8 @@ QUERIES = ["price_preference", "order_user_join", "search_score", "age_label_as_
 
 def summarize(plan: str) -> dict:
     count = lambda pat: len(re.findall(pat, plan))
-    scans = re.findall(r"FileScan parquet \[[^\]]*\].*?Location: \w+\(\d+ paths\)\[file:[^\]]*/(\w+)\.parquet\]"
-                       r".*?PushedFilters: \[([^\]]*)\], ReadSchema: (struct<[^>]*>)", plan)
+    scans = re.findall(r"FileScan parquet \[[^\]\n]*\][^\n]*?Location: \w+\(\d+ paths\)\[file:[^\]\n]*/(\w+)\.parquet\]"
+                       r"[^\n]*?PushedFilters: \[([^\]\n]*)\], ReadSchema: ([^\n]*)", plan)
     return {
         "shuffle exchanges": count(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition"),
         "broadcast exchanges": count(r"BroadcastExchange"),
