@@ -40,15 +40,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Set only when the session has none (tests): then a fresh scratch folder
-    is used.  On a cluster this must be a shared file system (HDFS/S3/...).
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    Read from the session (or its SparkContext).  Only when neither has
+    one (tests, ad-hoc local runs) a fresh scratch folder is made and set
+    on the SparkContext; on a cluster this must be a shared file system
+    (HDFS/S3/...), which the cluster configuration provides."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="portrait-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 

@@ -21,11 +21,27 @@ from portrait.sources import cdc
 def run_stream(df: DataFrame, *, sink: str | Callable = "parquet", path: str | None = None,
                checkpoint: str, output_mode: str = "append", trigger: str = "availableNow",
                partition_by: list[str] | None = None, options: dict | None = None,
-               query_name: str | None = None) -> StreamingQuery:
+               query_name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Start a stream: ``sink`` is a format name (parquet, json, text,
     kafka, console, memory) or a ``foreachBatch`` function.  ``trigger`` is
     ``'availableNow'`` (drain and stop) or a processing-time interval like
-    ``'5 seconds'`` (the original checkpointed every 5 s)."""
+    ``'5 seconds'`` (the original checkpointed every 5 s).
+
+    ``state_partitions`` sizes the shuffles and state stores of the stream
+    (fixed for the life of its checkpoint); default: the cluster's
+    parallelism rather than the batch setting."""
+    spark = df.sparkSession
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return _start(df, sink, path, checkpoint, output_mode, trigger, partition_by, options, query_name)
+    finally:  # the stream copied the session conf when it started
+        spark.conf.set(key, old)
+
+
+def _start(df, sink, path, checkpoint, output_mode, trigger, partition_by, options, query_name):
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=trigger)
     if query_name:
