@@ -442,3 +442,4 @@ SELECT p.age_group, p.price_interval, CAST(w.weight AS DOUBLE) AS weight FROM (
     ON o.user_id = u.id AND o.ts_ms BETWEEN u.ts_ms - {DAY} AND u.ts_ms + 60000
   WHERE o.total_amount IS NOT NULL) p
 JOIN {PRICE_W} w ON w.price_interval = p.price_interval AND w.age_group = p.age_group"""
+SQL["stream_age_label"] = SQL["age_label_as_run"]

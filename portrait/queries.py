@@ -193,7 +193,10 @@ def window_join(spark, sf):
 def _age_label(spark, sf, mode):
     t = Tables(spark, sf)
     uid = F.floor(F.col("user_id") / A.USER_DIV).cast("string")
-    out = AL.age_label(spark, wide(t), pages(spark, t), mode, HOUR_MS, result_uid=uid)
+    return _label_cols(AL.age_label(spark, wide(t), pages(spark, t), mode, HOUR_MS, result_uid=uid))
+
+
+def _label_cols(out):
     return out.select(
         "window_start", "key", F.col("result.id").alias("id"), F.col("result.order_id").alias("order_id"),
         F.col("result.age_group").alias("age_group"), F.col("result.price_interval").alias("price_interval"),
@@ -469,3 +472,16 @@ def stream_wide_orders(spark, sf):
     detail = _stream(spark, A.order_detail(t.lineitem), "w-detail", "ts_ms", 3, 4)
     info = _stream(spark, A.order_info(t.orders), "w-info", "ts_ms", 3, 4)
     return _drain(spark, WO.wide_orders(users, body, detail, info, dims(t), A.AS_OF), "wide")
+
+
+@register
+def stream_age_label(spark, sf):
+    """The scoring job as a stream over its two input topics: wide order
+    rows and page-profile rows (each staged as arriving files), scored,
+    window-joined and labelled per micro-batch."""
+    t = Tables(spark, sf)
+    wide_rows = wide(t).withColumn("_page_uid", F.floor(F.col("user_id") / A.USER_DIV).cast("string"))
+    ws = _stream(spark, wide_rows, "al-wide", "event_ms", 2, 2)
+    ps = _stream(spark, pages(spark, t), "al-pages", "ts", 2, 2)
+    out = AL.age_label(spark, ws, ps, "as_run", HOUR_MS, result_uid=F.col("_page_uid"))
+    return _drain(spark, _label_cols(out), "age-label")

@@ -67,3 +67,24 @@ def test_lookup_default_and_strict(spark):
     assert [float(r.w) for r in strict.collect()] == [0.8]
     soft = J.lookup_default(df, price_weights(spark), ["price_interval", "age_group"], "weight", "w", default="0.5")
     assert sorted(float(r.w) for r in soft.collect()) == [0.5, 0.8]
+
+
+def test_dimension_miss_at_each_hop(spark):
+    from portrait.plans.wide_orders import Dims, sku_dim_chain
+    dims = Dims(
+        sku=spark.createDataFrame([("1", "s1", "t1", "c3"), ("2", "s2", "tX", "c3"), ("3", "s3", "t1", "c3X"),
+                                   ("4", "s4", "t1", "c3b")], "id string, sku_name string, tm_id string, category3_id string"),
+        trademark=spark.createDataFrame([("t1", "Brand")], "id string, tm_name string"),
+        category3=spark.createDataFrame([("c3", "C3", "c2"), ("c3b", "C3b", "c2X")], "id string, name string, category2_id string"),
+        category2=spark.createDataFrame([("c2", "C2", "c1")], "id string, name string, category1_id string"),
+        category1=spark.createDataFrame([("c1", "C1")], "id string, name string"))
+    lines = spark.createDataFrame([(i, "raw") for i in range(1, 6)], "sku_id long, sku_name string")
+    got = {r.sku_id: (r.sku_name, r.tm_name, r.category3_name, r.category2_name, r.category1_name)
+           for r in sku_dim_chain(lines, dims).collect()}
+    assert got == {
+        1: ("s1", "Brand", "C3", "C2", "C1"),
+        2: ("s2", None, "C3", "C2", "C1"),        # brand miss
+        3: ("s3", "Brand", None, None, None),     # category3 miss: later hops empty
+        4: ("s4", "Brand", "C3b", None, None),    # category2 miss
+        5: (None, None, None, None, None),        # sku miss
+    }
