@@ -19,6 +19,17 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from portrait.operators.profile import SET_FIELDS
 
+# The processor runs in Python workers that need not have this package on
+# their path (a cluster ships only what the job names): pickle this
+# module's classes and functions by value instead of by import path.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FIELDS = SET_FIELDS + ["search_item"]
 PROFILE_OUT = ("uid string, ts bigint, seq bigint, pv bigint, os string, ch string, md string, "
