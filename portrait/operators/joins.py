@@ -42,6 +42,21 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> D
     return df
 
 
+def row_preserving_bytes(base: DataFrame, out: DataFrame) -> int | None:
+    """Size bound of ``out`` when it has at most one row per row of ``base``
+    (e.g. left joins of ``base`` on unique dimension keys): ``base``'s size
+    estimate scaled by the ratio of row widths.  Catalyst alone would
+    estimate such a join chain as the product of its inputs."""
+    b = estimated_bytes(base)
+    if b is None:
+        return None
+    try:
+        wb, wo = base._jdf.schema().defaultSize(), out._jdf.schema().defaultSize()
+    except Exception:
+        return None
+    return int(b * max(wo, 1) / max(wb, 1))
+
+
 def _is_timestamp(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType))
 
@@ -134,7 +149,8 @@ def window_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
 
 
 def dim_join(df: DataFrame, dim: DataFrame, key: str, dim_key: str, columns: dict[str, str],
-             how: str = "left", max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+             how: str = "left", max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
+             broadcast: bool | None = None) -> DataFrame:
     """Enrich ``df`` from a keyed dimension.
 
     ``columns`` maps dimension column -> output column; an output column
@@ -143,10 +159,15 @@ def dim_join(df: DataFrame, dim: DataFrame, key: str, dim_key: str, columns: dic
     dimension is broadcast only when its estimated size is small.  A miss
     keeps the row with nulls (``how='left'``) or drops it (``'inner'``).
     Keys are compared as text, like the original's string row keys.
+    ``broadcast``: a decision the caller has proven (True/False) instead of
+    the size check.
     """
     d = dim.select(F.col(dim_key).cast("string").alias("_dk"),
                    *[F.col(src).alias(f"_d_{dst}") for src, dst in columns.items()])
-    d = broadcast_if_small(d, max_broadcast_bytes)
+    if broadcast is None:
+        d = broadcast_if_small(d, max_broadcast_bytes)
+    elif broadcast and not d.isStreaming:
+        d = F.broadcast(d)
     j = df.join(d, F.col(key).cast("string") == F.col("_dk"), how)
     for dst in columns.values():
         j = j.withColumn(dst, F.col(f"_d_{dst}"))

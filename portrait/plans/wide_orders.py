@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portrait.functions.scalars import price_band
-from portrait.operators.joins import dim_join, interval_join
+from portrait.operators.joins import BROADCAST_MAX_BYTES, dim_join, interval_join, row_preserving_bytes
 from portrait.operators.users import enrich_users
 
 DAY_MS = 86_400_000
@@ -72,7 +72,12 @@ def sku_dim_chain(lines: DataFrame, dims: Dims, how: str = "left") -> DataFrame:
     the dimension tables first (``sku_dimension``), so the facts take one
     join (a broadcast when the flattened dimension is proven small, else
     one shuffle) instead of five."""
-    return dim_join(lines, sku_dimension(dims), "sku_id", "id", {c: c for c in SKU_DIM_COLUMNS}, how)
+    flat = sku_dimension(dims)
+    # dimension keys are unique (row keys), so the left-join chain keeps one
+    # row per sku: bound the flattened size by the sku table's
+    bound = row_preserving_bytes(dims.sku.select("id", "sku_name", "tm_id", "category3_id"), flat)
+    small = bound is not None and bound <= BROADCAST_MAX_BYTES
+    return dim_join(lines, flat, "sku_id", "id", {c: c for c in SKU_DIM_COLUMNS}, how, broadcast=small)
 
 
 def wide_orders(user_info: DataFrame, body: DataFrame, detail: DataFrame, info: DataFrame,
