@@ -83,10 +83,10 @@ ENRICHED = f"""
       name, ts_ms,
       CASE WHEN birthday IS NOT NULL AND bd IS NULL THEN 'unknown' ELSE {zodiac_sql('bd')} END AS zodiac_sign,
       id, user_level, gender,
-      CASE WHEN birthday IS NOT NULL AND bd IS NULL THEN -1
+      CAST(CASE WHEN birthday IS NOT NULL AND bd IS NULL THEN -1
            ELSE year(DATE '{A.AS_OF}') - year(bd)
                 - CASE WHEN month(DATE '{A.AS_OF}') * 100 + day(DATE '{A.AS_OF}') < month(bd) * 100 + day(bd)
-                       THEN 1 ELSE 0 END END AS age,
+                       THEN 1 ELSE 0 END END AS INTEGER) AS age,
       create_time, login_name
     FROM ue_raw),
   users AS (SELECT *, {age_band_sql('age')} AS age_group FROM ue)"""
@@ -323,7 +323,7 @@ WITH t AS (SELECT id, CASE WHEN id % 101 = 0 THEN 'garbage'
                   ELSE coalesce(try_strptime(text, '%Y-%m-%d %H:%M:%S'),
                                 try_strptime('1970-01-01 ' || text, '%Y-%m-%d %H:%M:%S')) END AS lt FROM t)
 SELECT id, text, CASE WHEN lt IS NULL THEN NULL ELSE strftime(lt, '%H:%M:%S') || {_frac('lt')} END AS parsed_time,
-       {day_period_sql('hour(lt)')} AS time_period, hour(lt) AS hour FROM p""",
+       {day_period_sql('hour(lt)')} AS time_period, CAST(hour(lt) AS INTEGER) AS hour FROM p""",
     "date_formats": f"""
 WITH l AS (SELECT id, ts_ms, {_local('ts_ms')} AS lt FROM ({AD['order_info']}))
 SELECT id, ts_ms, strftime(lt, '%Y-%m-%d %H:%M:%S') AS dt, strftime(lt, '%Y-%m-%d') AS d,
@@ -377,7 +377,7 @@ SELECT o.id, o.order_status, d.dic_name, o.ts_ms AS et_ms
 FROM ({AD['order_info']}) o LEFT JOIN ({AD['base_dic']}) d ON substr(o.order_priority, 1, 1) = d.dic_code""",
     "metric_traffic": with_(PAGE_BASE) + """
 SELECT stt, edt, cur_date, vc, ch, ar, is_new, count(DISTINCT uid) AS uv_ct, count(DISTINCT sid) AS sv_ct,
-       count(*) AS pv_ct, sum(during_time) AS dur_sum
+       count(*) AS pv_ct, CAST(sum(during_time) AS BIGINT) AS dur_sum
 FROM pbase GROUP BY stt, edt, cur_date, vc, ch, ar, is_new""",
     "metric_home_detail": with_(PAGE_BASE) + """
 SELECT stt, edt, cur_date, count(DISTINCT CASE WHEN page_id = 'home' THEN uid END) AS home_uv_ct,
@@ -387,7 +387,7 @@ FROM pbase WHERE page_id IN ('home', 'good_detail') AND uid <> '' GROUP BY stt,
   days AS (SELECT DISTINCT uid, stt, edt, cur_date FROM pbase WHERE uid <> ''),
   lagged AS (SELECT *, lag(stt) OVER (PARTITION BY uid ORDER BY stt) AS prev FROM days)
 SELECT stt, edt, cur_date, count(*) AS uu_ct,
-       sum(CASE WHEN prev IS NOT NULL AND stt - prev >= {3 * DAY} THEN 1 ELSE 0 END) AS back_ct
+       CAST(sum(CASE WHEN prev IS NOT NULL AND stt - prev >= {3 * DAY} THEN 1 ELSE 0 END) AS BIGINT) AS back_ct
 FROM lagged GROUP BY stt, edt, cur_date""",
     "metric_cart": with_(PAGE_BASE) + """
 SELECT stt, edt, cur_date, count(DISTINCT uid) AS cart_add_uu_ct FROM pbase
@@ -395,7 +395,7 @@ WHERE item_type = 'sku_id' AND uid <> '' GROUP BY stt, edt, cur_date""",
     "metric_payment": f"""
 WITH days AS (SELECT DISTINCT user_id, {_day('ts_ms')} FROM ({AD['order_info']})),
      f AS (SELECT *, min(stt) OVER (PARTITION BY user_id) AS first FROM days)
-SELECT stt, edt, cur_date, count(*) AS payment_uu_ct, sum(CASE WHEN stt = first THEN 1 ELSE 0 END) AS new_payer_ct
+SELECT stt, edt, cur_date, count(*) AS payment_uu_ct, CAST(sum(CASE WHEN stt = first THEN 1 ELSE 0 END) AS BIGINT) AS new_payer_ct
 FROM f GROUP BY stt, edt, cur_date""",
     "metric_province": f"""
 WITH a AS (SELECT {_day('ts_ms')}, province_id, count(DISTINCT id) AS order_count,
