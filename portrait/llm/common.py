@@ -20,6 +20,11 @@ def sha256_text(c: Column) -> Column:
     return F.sha2(c.cast("binary"), 256)
 
 
+def text_key(c: Column) -> Column:
+    """A 64-bit hash that tells texts of one id apart; null has its own."""
+    return F.xxhash64(c.isNull(), c)
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
