@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from portrait.llm.bpe import op1_bpe
+from portrait.llm.decontaminate import op4_decontaminate
 from portrait.llm.simhash import op3_simhash
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_simhash": op3_simhash,
+    "op4_decontaminate": op4_decontaminate,
 }
 
 SQL: dict[str, str] = {}
