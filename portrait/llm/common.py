@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,18 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet below the shared checkpoint folder and
+    read back; the files go when the driver ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/portrait-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def slices(texts: list, limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """(start, end) runs of ``texts`` of about ``limit`` characters; a longer
     text is a run of its own."""

@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from portrait.llm.bpe import op1_bpe
 from portrait.llm.decontaminate import op4_decontaminate
+from portrait.llm.linededup import OP7_SQL, op7_linededup
 from portrait.llm.simhash import op3_simhash
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_simhash": op3_simhash,
     "op4_decontaminate": op4_decontaminate,
+    "op7_linededup": op7_linededup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_linededup": OP7_SQL,
+}
