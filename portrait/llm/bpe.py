@@ -10,7 +10,7 @@ than that merge (checked when the vocabulary is loaded).
 
 The vocabulary is a broadcast of fixed size (its number of tokens does not
 depend on the data).  No shuffle; memory is bounded by ``SLICE_CHARS`` of
-text and ``CACHE_WORDS`` remembered words a task.
+text and ``CACHE_WORDS`` remembered chunks a task.
 
 Defined cases: a null text encodes as the empty text (no ids); repeated rows
 and ties are encoded each on its own; an empty table gives an empty result;
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from portrait.llm.common import SLICE_CHARS, sha256_text, slices, table
 
-#: Words whose ids a task remembers between slices (it then starts afresh).
+#: Chunks of text whose ids a task remembers (it then starts afresh).
 CACHE_WORDS = 400_000
 
 
@@ -89,8 +89,8 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.rank_of[at], -1)
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Token ids of each (normalised, non-empty) word."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Token ids (int32 bytes) of each (normalised, non-empty) word."""
         raw = [w.encode("utf-8", "replace") for w in words]
         sizes = np.array([len(w) for w in raw], dtype=np.int64)
         data = np.frombuffer(b"".join(raw), dtype=np.uint8)
@@ -148,36 +148,62 @@ class Vocabulary:
             before = prv[at]
             note(np.unique(np.concatenate([before[before != n], at[after != n]])))
         alive = sym[:n] >= 0
-        ids = sym[:n][alive].tolist()
-        upto = np.concatenate([[0], np.cumsum(alive)])
+        ids = sym[:n][alive].astype(np.int32).tobytes()
+        upto = 4 * np.concatenate([[0], np.cumsum(alive)])
         return [ids[s:e] for s, e in zip(upto[ends - sizes].tolist(), upto[ends].tolist())]
 
 
-def text_pieces(vocabulary: Vocabulary):
-    """A function text -> its pieces in order: normalised words (str) and
-    the ids of special tokens (int) that stand in the text."""
-    space, word = regex.compile(r"\s+"), regex.compile(vocabulary.split)
+def text_chunks(vocabulary: Vocabulary):
+    """Two functions: text -> its chunks between white space in order (str;
+    a special token in the text is the int of its id), and chunk -> its
+    normalised words.  A word never holds white space, so chunks can be
+    remembered with their ids."""
+    white, odd = regex.compile(r"\s+"), regex.compile("[\x1c-\x1f]")
+    word = regex.compile(vocabulary.split)
     special = vocabulary.special
     names = sorted(special, key=len, reverse=True)
     mark = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
-    def words(text: str) -> list[str]:
-        text = space.sub(" ", unicodedata.normalize("NFC", text))
-        # letter by letter: the one rule of lower() that looks around is the final sigma
-        return word.findall(text.replace("Σ", "σ").lower())
+    def split(text: str) -> list:
+        # str.split() takes four control characters for white space, the vocabulary does not
+        return [x for x in white.split(text) if x] if odd.search(text) else text.split()
 
-    def pieces(text: str) -> list:
+    def chunks(text: str) -> list:
         if mark is None or not any(x in text for x in names):
-            return words(text)
+            return split(text)
         out: list = []
         for part in mark.split(text):
-            if part in special:
-                out.append(special[part])
-            else:
-                out.extend(words(part))
+            out.extend([special[part]] if part in special else split(part))
         return out
 
-    return pieces
+    def words(chunk: str) -> list[str]:
+        # letter by letter: the one rule of lower() that looks around is the final sigma
+        return word.findall(unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower())
+
+    return chunks, words
+
+
+def chunk_encoder(vocabulary: Vocabulary):
+    """A function: chunk lists of some texts -> a mapping that has the ids
+    (int32 bytes) of each chunk in them."""
+    _, words = text_chunks(vocabulary)
+    as_bytes = {i: np.int32(i).tobytes() for i in vocabulary.special.values()}
+    known: dict = dict(as_bytes)
+
+    def ids_of(split: list[list]) -> dict:
+        nonlocal known
+        fresh = [c for c in set().union(*split) if c not in known]
+        if fresh and len(known) + len(fresh) > CACHE_WORDS:
+            known = dict(as_bytes)
+            fresh = [c for c in set().union(*split) if c not in known]
+        if fresh:
+            parts = [words(c) for c in fresh]
+            distinct = list(set().union(*parts))
+            merged = dict(zip(distinct, vocabulary.encode_words(distinct))) if distinct else {}
+            known.update((c, b"".join(map(merged.__getitem__, ws))) for c, ws in zip(fresh, parts))
+        return known
+
+    return ids_of
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,24 +213,16 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
-        pieces = text_pieces(vocabulary)
-        known: dict = {i: (i,) for i in vocabulary.special.values()}
+        chunks, _ = text_chunks(shared.value)
+        ids_of = chunk_encoder(shared.value)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for s, e in slices(texts, SLICE_CHARS):
-                split = [pieces(t) if t else [] for t in texts[s:e]]
-                fresh = [w for w in set().union(*split) if w not in known]
-                if len(known) + len(fresh) > CACHE_WORDS:
-                    known = {i: (i,) for i in vocabulary.special.values()}
-                    fresh = [w for w in set().union(*split) if w not in known]
-                if fresh:
-                    known.update(zip(fresh, vocabulary.encode_words(fresh)))
-                flat, offsets = [], [0]
-                for words in split:
-                    flat.extend(chain.from_iterable(map(known.__getitem__, words)))
-                    offsets.append(len(flat))
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.array(flat, dtype=np.int32)))
+                split = [chunks(t) if t else [] for t in texts[s:e]]
+                get = ids_of(split).__getitem__
+                raw = [b"".join(map(get, c)) for c in split]
+                offsets = np.cumsum([0, *map(len, raw)]) // 4
+                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(raw), dtype=np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s, e - s), ids], names=[id_col, "ids"])
 
     id_type = rows.schema[0].dataType.simpleString()
@@ -217,13 +235,22 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str = "
     shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = dict(enumerate(t for t in shared.value.tokens))
+        tokens = shared.value.tokens
+        known = {i for i, t in enumerate(tokens) if t is not None}
         for batch in batches:
             at = batch.schema.get_field_index(ids_col)
-            for s in range(0, batch.num_rows, 256):
-                part = batch.slice(s, 256)
-                texts = [" ".join(t for i in ids if (t := tokens.get(i)) is not None) if ids else "" for ids in part.column(at).to_pylist()]
+            sizes = np.cumsum(np.nan_to_num(batch.column(at).value_lengths().to_numpy(zero_copy_only=False)))
+            s = 0
+            while s < batch.num_rows:
+                e = max(s + 1, int(np.searchsorted(sizes, (sizes[s - 1] if s else 0) + SLICE_CHARS // 8, side="right")))
+                part = batch.slice(s, e - s)
+                texts = []
+                for ids in part.column(at).to_pylist():
+                    if ids and not known.issuperset(ids):
+                        ids = [i for i in ids if i in known]
+                    texts.append(" ".join([tokens[i] for i in ids]) if ids else "")
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, out_col])
+                s = e
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(run, f"{schema}, `{out_col}` string")
