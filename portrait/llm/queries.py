@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from portrait.llm.bpe import op1_bpe
 from portrait.llm.decontaminate import op4_decontaminate
+from portrait.llm.htmltext import op5_htmltext
 from portrait.llm.linededup import OP7_SQL, op7_linededup
+from portrait.llm.pii import op9_pii
+from portrait.llm.quality import op6_quality
 from portrait.llm.simhash import op3_simhash
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_simhash": op3_simhash,
     "op4_decontaminate": op4_decontaminate,
+    "op5_htmltext": op5_htmltext,
+    "op6_quality": op6_quality,
     "op7_linededup": op7_linededup,
+    "op9_pii": op9_pii,
 }
 
 SQL: dict[str, str] = {
