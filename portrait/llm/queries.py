@@ -13,9 +13,11 @@ from portrait.llm.linededup import OP7_SQL, op7_linededup
 from portrait.llm.pii import op9_pii
 from portrait.llm.quality import op6_quality
 from portrait.llm.simhash import op3_simhash
+from portrait.llm.urlgraph import OP2_SQL, op2_urlgraph
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_urlgraph": op2_urlgraph,
     "op3_simhash": op3_simhash,
     "op4_decontaminate": op4_decontaminate,
     "op5_htmltext": op5_htmltext,
@@ -25,5 +27,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_urlgraph": OP2_SQL,
     "op7_linededup": OP7_SQL,
 }
