@@ -12,6 +12,7 @@ from portrait.llm.htmltext import op5_htmltext
 from portrait.llm.linededup import OP7_SQL, op7_linededup
 from portrait.llm.pii import op9_pii
 from portrait.llm.quality import op6_quality
+from portrait.llm.sharding import op8_sharding
 from portrait.llm.simhash import op3_simhash
 from portrait.llm.urlgraph import OP2_SQL, op2_urlgraph
 
@@ -23,6 +24,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_htmltext": op5_htmltext,
     "op6_quality": op6_quality,
     "op7_linededup": op7_linededup,
+    "op8_sharding": op8_sharding,
     "op9_pii": op9_pii,
 }
 
