@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from portrait.llm.bpe import op1_bpe
 from portrait.llm.decontaminate import op4_decontaminate
 from portrait.llm.htmltext import op5_htmltext
+from portrait.llm.licenses import OP10_SQL, op10_licenses
 from portrait.llm.linededup import OP7_SQL, op7_linededup
 from portrait.llm.pii import op9_pii
 from portrait.llm.quality import op6_quality
@@ -26,9 +27,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_linededup": op7_linededup,
     "op8_sharding": op8_sharding,
     "op9_pii": op9_pii,
+    "op10_licenses": op10_licenses,
 }
 
 SQL: dict[str, str] = {
     "op2_urlgraph": OP2_SQL,
     "op7_linededup": OP7_SQL,
+    "op10_licenses": OP10_SQL,
 }
