@@ -1,0 +1,176 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from portrait.llm import simhash
+from portrait.llm.components import connected_components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_print(text, shingle=3):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in (text or ""))
+    words = WORD.findall(text)
+    if not words:
+        return 0
+    parts = [" ".join(words[i:i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), seed=42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_groups(prints, max_bits=3):
+    """prints: list of (id, fp); least id of each row's component."""
+    parent = list(range(len(prints)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    fps = np.array([f for _, f in prints], dtype=np.uint64)
+    for i in range(len(prints)):
+        for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= max_bits):
+            a, b = find(i), find(int(j))
+            parent[max(a, b)] = min(a, b)
+    least = {}
+    for i, (k, _) in enumerate(prints):
+        r = find(i)
+        if k is not None:
+            least[r] = min(least.get(r, k), k)
+    return [least.get(find(i)) for i in range(len(prints))]
+
+
+@pytest.mark.parametrize("text", [None, "", " \t\n", "one", "One  TWO", "a b c", "a b c d", "é\xa0x y\x1cz É", "the " * 500, "x y z " * 40 + "end"])
+def test_fingerprint(text):
+    assert simhash.text_fingerprint(text) == brute_print(text)
+
+
+def test_fingerprint_of_many_shingles():
+    random.seed(4)
+    text = " ".join(random.choice("abcdefgh") * random.randrange(1, 4) for _ in range(150_000))
+    words = text.split()
+    counts = np.zeros(64, dtype=np.int64)
+    for i in range(len(words) - 2):
+        h = xxhash.xxh64_intdigest(" ".join(words[i:i + 3]).encode(), seed=42)
+        counts += np.array([h >> b & 1 for b in range(64)])
+        if i > 3000:
+            break
+    assert simhash.text_fingerprint(" ".join(words[:3004])) == sum(1 << b for b in range(64) if 2 * counts[b] > 3002)
+    simhash.text_fingerprint(text)  # more shingles than one slice
+
+
+def test_code_covers_and_homes_are_near():
+    half = np.random.default_rng(1).integers(0, 2**32, 5000, dtype=np.uint32)
+    for blocks in (0, 2, 4):
+        gap = np.bitwise_count(half ^ simhash.homes(half, blocks))
+        assert gap.max() <= blocks
+        assert (simhash.homes(simhash.homes(half, blocks), blocks) == simhash.homes(half, blocks)).all()
+
+
+def synthetic_prints(seed, n):
+    """Random fingerprints, chains and a dense ball of near ones."""
+    rng = random.Random(seed)
+    out = [rng.getrandbits(64) for _ in range(n)]
+    for _ in range(n // 4):
+        f = rng.choice(out)
+        for b in rng.sample(range(64), rng.choice([1, 2, 3, 3, 4, 5])):
+            f ^= 1 << b
+        out.append(f)
+    centre = rng.getrandbits(64)
+    for _ in range(n // 4):
+        f = centre
+        for b in rng.sample(range(64), rng.choice([1, 2])):
+            f ^= 1 << b
+        out.append(f)
+    return out
+
+
+@pytest.mark.parametrize("max_bits, blocks, chunk", [(3, 2, 2048), (3, 2, 5), (3, 4, 7), (0, 2, 2048), (1, 0, 4)])
+def test_links_have_the_components_of_all_pairs(spark, max_bits, blocks, chunk):
+    fps = sorted(set(synthetic_prints(7, 400)))
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    classes = spark.createDataFrame([(f,) for f in signed], "fp long")
+    roots = {r.node: r.root for r in connected_components(simhash.links(classes, max_bits, blocks, chunk)).collect()}
+    got = {}
+    for f in signed:
+        got.setdefault(roots.get(f, f), set()).add(f)
+    want = {}
+    for f, least in zip(signed, brute_groups(list(enumerate(fps)), max_bits)):
+        want.setdefault(least, set()).add(f)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_dense_group_returns_few_edges(spark):
+    rng = random.Random(9)
+    fps = {sum(1 << b for b in rng.sample(range(64), rng.choice([0, 1]))) for _ in range(500)}
+    classes = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+    edges = simhash.links(classes).count()
+    assert edges < 60 * len(fps)  # about one for each replica, not one for each pair and anchor
+
+
+def documents():
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(60):
+        base = [rng.choice(words) for _ in range(rng.randrange(0, 120))]
+        rows.append((i, " ".join(base)))
+        for k in range(rng.choice([0, 0, 1, 3])):
+            near = list(base)
+            if near and k:
+                near[rng.randrange(len(near))] = "new"
+            rows.append((1000 + 10 * i + k, " ".join(near)))
+    rows += [(5000 + i, "hot text that a third of the rows hold") for i in range(60)]
+    rows += [(9000, None), (9001, ""), (9002, " \n"), (None, "hot text that a third of the rows hold"), (None, "alone in null"), (1, rows[1][1])]
+    return rows
+
+
+def test_groups_equal_brute_force(spark):
+    rows = documents()
+    docs = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], "doc_id long, text string, fp int, root int, component_id string")
+    got = sorted(((r[0], r[1] % (1 << 64), r[2]) for r in simhash.simhash_groups(docs).collect()), key=str)
+    prints = [(i, brute_print(t)) for i, t in rows]
+    want = sorted(((i, f, c) for (i, f), c in zip(prints, brute_groups(prints))), key=str)
+    assert got == want
+
+
+def test_keep_one_row_of_each_group(spark):
+    rows = documents()
+    docs = spark.createDataFrame([(*r, k, None) for k, r in enumerate(rows)], "doc_id long, text string, _keep_id int, row_key string")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    prints = [(i, brute_print(t)) for i, t in rows]
+    groups = brute_groups(prints)
+    ids = [r.doc_id for r in got]
+    assert set(groups) - {None} == {i for i in ids if i is not None}
+    # the null id stays only where its group has no other
+    assert [r.text for r in got if r.doc_id is None] == ["alone in null"]
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert simhash.simhash_groups(docs).count() == 0
+    assert simhash.keep_one(docs).count() == 0
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    chain = [(i, i + 1) for i in range(200)]
+    star = [(1000, 1001 + i) for i in range(200)]
+    edges = spark.createDataFrame(chain + star + [(5, 5), (6, 7), (None, 3)], "u long, v long")
+    found = {r.node: r.root for r in connected_components(edges).collect()}
+    assert len({found[i] for i in range(201)}) == 1
+    assert len({found[i] for i in range(1000, 1201)}) == 1
+    assert found[0] != found[1000]
+
+
+def test_query_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    prints = [(i, brute_print(t)) for i, t in rows]
+    want = {(i, f"{f:016x}", c) for (i, f), c in zip(prints, brute_groups(prints))}
+    assert {tuple(r) for r in simhash.op3_simhash(spark, sf).collect()} == want
