@@ -18,7 +18,8 @@ without text blocks; repeated ids and rows are done row by row; an empty
 table gives an empty result; other columns pass through ``extract`` whatever
 their names.  Broken markup (unclosed or crossing tags, unclosed comments and
 scripts, text outside ``body``) never fails: an end tag closes the nearest
-open element of its name, an unclosed comment or script runs to the end.
+open element of its name, an unclosed comment or script runs to the end, an
+unclosed tag to the next one.
 A ``br`` is white space, two in a row end the block.
 """
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -62,9 +64,14 @@ OWN = frozenset("header masthead byline".split())
 SHORT, LONG = 70, 200  # code points of a block
 STOP_LOW, STOP_HIGH = 0.10, 0.25  # stop words among words
 LINKS = 0.33  # share of a block's text inside links
+DEPTH = 64  # outer containers that tell blocks apart
+UNCLOSED = ("nav", "header", "footer", "head")
 
+# Every alternative stops at the next "<" (but a comment, which ends once), so
+# the time is in proportion to the page however broken it is.
 TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"<]*"|'[^'<]*'|[^>"'])*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
+    r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/<>]*+)((?:"[^"<]*+"|'[^'<]*+'|[^<>"'])*+)>"""
+    r"""|<(/?)([A-Za-z][^\s/<>]*+)([^<>]*+)(?:>|(?=<)|\Z)|<[!?/][^<>]*+(?:>|(?=<)|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([A-Za-z-]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -110,6 +117,7 @@ def page_blocks(html: str) -> list[Block]:
     """The blocks with text of a page, in order."""
     out: list[Block] = []
     open_: list[tuple[str, int, bool, bool]] = []  # name, number, boilerplate, article
+    named: Counter = Counter()  # open elements by name
     links = breaks = number = 0
     block = Block((), False, False)
 
@@ -119,7 +127,7 @@ def page_blocks(html: str) -> list[Block]:
         if block.text:
             out.append(block)
         last = open_[-1] if open_ else ("", 0, False, False)
-        block = Block(tuple(x[1] for x in open_), last[2], last[3])
+        block = Block(tuple(x[1] for x in open_[:DEPTH]), last[2], last[3])
 
     def say(raw: str) -> None:
         nonlocal breaks
@@ -155,11 +163,12 @@ def page_blocks(html: str) -> list[Block]:
             inside = open_[-1] if open_ else ("", 0, False, False)
             area = is_area(name, attributes, inside[3])
             if name in ("article", "main") and not area:
-                while open_ and any(x[0] in ("nav", "header", "footer", "head") for x in open_):
-                    open_.pop()  # these were never closed
+                while any(named[x] for x in UNCLOSED):  # these were never closed
+                    named[open_.pop()[0]] -= 1
                 inside = open_[-1] if open_ else ("", 0, False, False)
             if name == "body":
-                open_[:] = [x for x in open_ if x[0] != "head"]
+                while named["head"]:
+                    named[open_.pop()[0]] -= 1
                 inside = open_[-1] if open_ else ("", 0, False, False)
             if name not in BLOCK and not area:
                 if name in ("img", "input", "wbr"):
@@ -171,17 +180,19 @@ def page_blocks(html: str) -> list[Block]:
                 continue
             if name in CONTAINER or area:
                 number += 1
+                named[name] += 1
                 open_.append((name, number, inside[2] or area, inside[3] or name in ("article", "main")))
             end()
         elif name == "a":
             links = 0
-        elif any(x[0] == name for x in open_):
-            while open_.pop()[0] != name:
-                pass
+        elif named[name]:
+            while (last := open_.pop()[0]) != name:
+                named[last] -= 1
+            named[name] -= 1
             end()
         elif name in BLOCK:
             end()
-    say(html[at:] if html.find("<", at) < 0 or not re.match(r"<[A-Za-z/!?]", html[html.find("<", at):]) else html[at:html.find("<", at)])
+    say(html[at:])
     end()
     return out
 
