@@ -3,7 +3,7 @@
 Documents with equal texts are linked.  Linked documents start on shards
 evenly (by hash); in each turn they ask to move to the shard where most of
 their group is, as far as the quotas allow.  A group larger than a shard is
-led to as many shards as it needs.  Quotas keep the law: shard j never holds
+led to as many shards as have the room for it, those with most members first.  Quotas keep the law: shard j never holds
 more linked documents than its number of rows, ``rows // shards`` and one
 more for the first ``rows % shards``.  Documents without links cut nothing;
 they fill, by hash order, what the quotas leave, so row counts end at most
@@ -102,15 +102,17 @@ def propagate(linked: DataFrame, quotas: list[int], turns: int) -> DataFrame:
         held = {r["shard"]: r["n"] for r in linked.groupBy("shard").agg(F.count("*").alias("n")).collect()}
         room = [q - held.get(j, 0) for j, q in enumerate(quotas)]
         places = linked.groupBy("g", "shard").agg(F.count("*").alias("n"), F.first("members").alias("members"))
-        # a full shard takes part only for the members that it has already
-        open_ = F.element_at(F.array(*[F.lit(r > 0) for r in room]), F.col("shard") + 1)
-        best = F.struct((F.when(open_ | (F.col("n") >= 2), 1).otherwise(0)).alias("open"), "n", F.xxhash64("g", "shard").alias("tie"), "shard")
-        most = places.groupBy("g").agg(F.sort_array(F.collect_list(best), asc=False).alias("best"), F.first("members").alias("members"))
-        wanted = F.transform(F.slice("best", 1, F.ceil(F.col("members") / average).cast("int")), lambda b: b["shard"])
-        aims = most.select("g", wanted.alias("aims"))
+        free = F.greatest(F.element_at(F.array(*map(F.lit, room)), F.col("shard") + 1), F.lit(0))
+        # first the shards with room (or with more than one member), then those with most members
+        turn = Window.partitionBy("g").orderBy(F.desc((F.col("free") > 0) | (F.col("n") > 1)), F.desc("n"), F.xxhash64("g", "shard"))
+        before = F.coalesce(F.sum(F.col("n") + F.col("free")).over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        first = places.withColumn("free", free).withColumn("place", F.row_number().over(turn)).withColumn("before", before)
+        chosen = first.where((F.col("place") == 1) | ((F.col("members") > average) & (F.col("before") < F.col("members"))))
+        aims = chosen.groupBy("g").agg(F.collect_list("shard").alias("aims"), F.collect_list(F.when(F.col("free") > 0, F.col("shard"))).alias("with_room"))
+        ask = F.when(F.size("with_room") > 0, F.col("with_room")).otherwise(F.col("aims"))
+        aim = F.element_at(ask, (F.pmod(F.xxhash64(F.lit(3), "rid"), F.size(ask)) + 1).cast("int"))
         stays = F.array_contains("aims", F.col("shard"))
-        aim = F.element_at("aims", (F.pmod(F.xxhash64(F.lit(3), "rid"), F.size("aims")) + 1).cast("int"))
-        asked = cut(linked.join(aims, "g").withColumn("to", F.when(stays, F.col("shard")).otherwise(aim)).drop("aims"))
+        asked = cut(linked.join(aims, "g").withColumn("to", F.when(stays, F.col("shard")).otherwise(aim)).drop("aims", "with_room"))
         wishes = {(r["shard"], r["to"]): r["n"] for r in asked.where("shard <> to").groupBy("shard", "to").agg(F.count("*").alias("n")).collect()}
         granted = grant(wishes, room)
         if not granted:

@@ -34,7 +34,7 @@ from portrait.llm.common import cut, lower_ascii, table
 #: Rules are a parameter, compared with every url; more of them are refused.
 MAX_RULES = 2_000
 CUT_TURNS = 5
-HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
+HREF = r"""(?i)<a\s[^<>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
 
 @dataclass(frozen=True)
