@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "AGE_BANDS", "PRICE_BANDS", "epoch_day_to_date", "birthday_fields", "age_years",
+    "AGE_BANDS", "PRICE_BANDS", "epoch_day", "civil", "date_parts", "iso_date", "birthday_fields", "age_years",
     "zodiac_sign", "age_band", "price_band", "parse_time_of_day", "day_period",
     "iso_local_time", "round_half_up", "epoch_ms", "datetime_to_ms", "ms_to_date",
     "ms_to_datetime", "ms_to_yyyymmdd", "date_to_ms", "first_token",
@@ -51,53 +51,95 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def epoch_day_to_date(days) -> Column:
-    """Epoch-day text/int -> DATE; unparseable -> null (ANSI-safe)."""
-    t = _c(days).cast("string")
-    n = F.when(t.rlike("^[+-]?[0-9]{1,9}$"), t.try_cast("int"))
-    return F.date_add(F.lit("1970-01-01").cast("date"), n)
+# Days from 1970-01-01 that the proleptic calendar of the original holds
+# (years -999999999 to 999999999).
+EPOCH_DAY_MIN, EPOCH_DAY_MAX = -365_243_219_162, 365_241_780_471
 
 
-def age_years(birth, as_of) -> Column:
-    """Whole years between two dates (calendar rule, 29 Feb safe)."""
-    b, a = _c(birth), (F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of)
-    md_a = F.month(a) * 100 + F.dayofmonth(a)
-    md_b = F.month(b) * 100 + F.dayofmonth(b)
-    return (F.year(a) - F.year(b) - F.when(md_a < md_b, 1).otherwise(0)).cast("int")
+def epoch_day(text) -> Column:
+    """Epoch-day text -> BIGINT days; unparseable or outside the calendar ->
+    null (ANSI-safe).  Any number of digits (leading zeros, a sign)."""
+    n = F.regexp_extract(_c(text).cast("string"), "^[+-]?[0-9]+$", 0).try_cast("bigint")
+    return F.when(n.between(EPOCH_DAY_MIN, EPOCH_DAY_MAX), n)
 
 
-def zodiac_sign(d) -> Column:
-    md = F.month(_c(d)) * 100 + F.dayofmonth(_c(d))
-    expr = None
+# The Gregorian calendar repeats after 400 years of so many days.
+CYCLE_DAYS, CYCLE_YEARS = 146_097, 400
+
+
+def civil(days) -> Column:
+    """BIGINT epoch days -> struct(y, m, d) of the proleptic Gregorian
+    calendar.  DATE ends at year 5.8 million, so the day is moved by whole
+    400-year cycles to 1970-2369 and the year back."""
+    n = _c(days)
+    date = F.date_add(F.lit("1970-01-01").cast("date"), F.pmod(n, F.lit(CYCLE_DAYS)).cast("int"))
+    cycles = F.floor(n / F.lit(CYCLE_DAYS))  # exact: both are far below 2 ** 53
+    return F.struct((F.year(date) + F.lit(CYCLE_YEARS) * cycles).cast("int").alias("y"),
+                    F.month(date).alias("m"), F.dayofmonth(date).alias("d"))
+
+
+def date_parts(date) -> Column:
+    """DATE -> struct(y, m, d), null for null."""
+    d = _c(date)
+    return F.when(d.isNotNull(), F.struct(F.year(d).alias("y"), F.month(d).alias("m"), F.dayofmonth(d).alias("d")))
+
+
+def iso_date(c) -> Column:
+    """struct(y, m, d) -> ISO text: four-digit years, a sign beyond them."""
+    c = _c(c)
+    y = F.abs(c["y"])
+    year = F.concat(F.when(c["y"] < 0, "-").when(c["y"] > 9999, "+").otherwise(""),
+                    F.when(y < 1000, F.lpad(y.cast("string"), 4, "0")).otherwise(y.cast("string")))
+    return F.concat(year, F.lit("-"), F.lpad(c["m"].cast("string"), 2, "0"), F.lit("-"), F.lpad(c["d"].cast("string"), 2, "0"))
+
+
+def age_years(birth, as_of: str) -> Column:
+    """Whole years from struct(y, m, d) to a date: whole months (a started
+    one does not count, in either direction), then whole years towards zero.
+    With 32 days to the month both are one division."""
+    b = _c(birth)
+    y, m, d = map(int, as_of.split("-"))
+    born = (b["y"].cast("bigint") * 12 + b["m"]) * 32 + b["d"]
+    return F.call_function("div", F.lit((y * 12 + m) * 32 + d) - born, F.lit(12 * 32)).cast("int")
+
+
+def zodiac_sign(birth) -> Column:
+    b = _c(birth)
+    md = b["m"] * 100 + b["d"]
+    expr = F.when(md.isNull(), F.lit(None).cast("string"))
     for m, day, sign in ZODIAC_STARTS:
-        cond = md > m * 100 + day
-        expr = F.when(cond, sign) if expr is None else expr.when(cond, sign)
-    return F.when(_c(d).isNull(), F.lit(None).cast("string")).otherwise(expr.otherwise(ZODIAC_DEFAULT))
+        expr = expr.when(md > m * 100 + day, sign)
+    return expr.otherwise(ZODIAC_DEFAULT)
 
 
-def birthday_fields(raw, as_of: str) -> dict[str, Column]:
-    """F1-F4 on a raw epoch-day birthday.
+def birthday_fields(raw, as_of: str, days=None) -> dict[str, Column]:
+    """F1-F4 of a raw epoch-day birthday (``days``: its ``epoch_day``, where
+    a column holds that already).
 
     null -> every output null (field untouched); unparseable -> the invalid
     markers (age -1, year -1); else ISO date, age, zodiac, birth year text.
     """
     r = _c(raw)
-    d = epoch_day_to_date(r)
-    bad = r.isNotNull() & d.isNull()
+    birth = civil(epoch_day(r) if days is None else days)
+
+    def known(value, invalid):  # no value: the text is not a day, or there is none
+        return F.coalesce(value, F.when(r.isNotNull(), invalid))
+
     return {
-        "birthday": F.when(bad, INVALID_DATE).otherwise(F.date_format(d, "yyyy-MM-dd")),
-        "age": F.when(bad, -1).otherwise(age_years(d, as_of)).cast("int"),
-        "zodiac_sign": F.when(bad, INVALID_ZODIAC).otherwise(zodiac_sign(d)),
-        "birth_year": F.when(bad, "-1").otherwise(F.year(d).cast("string")),
+        "birthday": known(iso_date(birth), INVALID_DATE),
+        "age": known(age_years(birth, as_of), -1).cast("int"),
+        "zodiac_sign": known(zodiac_sign(birth), INVALID_ZODIAC),
+        "birth_year": known(birth["y"].cast("string"), "-1"),
     }
 
 
 def age_band(age) -> Column:
-    a = _c(age)
-    expr = F.when(a.isNull(), F.lit(None).cast("string"))
-    for band, upper in zip(AGE_BANDS, AGE_BAND_UPPER):
-        expr = expr.when(a <= upper, band)
-    return expr.otherwise(AGE_BANDS[-1])
+    # one list entry for each age from the first bound on: the age is named
+    # twice only, so plans that repeat the band stay small
+    first, last = AGE_BAND_UPPER[0], AGE_BAND_UPPER[-1] + 1
+    names = [next((b for b, upper in zip(AGE_BANDS, AGE_BAND_UPPER) if a <= upper), AGE_BANDS[-1]) for a in range(first, last + 1)]
+    at = F.least(F.greatest(_c(age) - F.lit(first), F.lit(0)), F.lit(last - first)) + 1
+    return F.when(_c(age).isNotNull(), F.element_at(F.array(*map(F.lit, names)), at.cast("int")))
 
 
 def price_band(amount) -> Column:
@@ -119,7 +161,7 @@ def parse_time_of_day(text, zone: str = "Asia/Shanghai") -> Column:
     (the date part is meaningless for the last form); null if nothing parses
     (the original fell back to the wall clock, which cannot repeat)."""
     t = _c(text)
-    is_digits = t.rlike("^-?[0-9]+$")
+    is_digits = t.rlike("^[+-]?[0-9]+$")
     from_ms = F.convert_timezone(F.lit("UTC"), F.lit(zone), ms_to_utc_ntz(t.try_cast("bigint")))
     full = F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
     clock = F.try_to_timestamp(F.concat(F.lit("1970-01-01 "), t),

@@ -33,10 +33,10 @@ def price_band_sql(a: str) -> str:
             f"WHEN {a} <= 4000 THEN 'mid' ELSE 'high' END")
 
 
-def zodiac_sql(d: str) -> str:
-    md = f"(month({d}) * 100 + day({d}))"
+def zodiac_sql(md: str) -> str:
+    """From month * 100 + day."""
     whens = " ".join(f"WHEN {md} > {m * 100 + dd} THEN {q(sign)}" for m, dd, sign in S.ZODIAC_STARTS)
-    return f"CASE WHEN {d} IS NULL THEN NULL {whens} ELSE {q(S.ZODIAC_DEFAULT)} END"
+    return f"CASE WHEN {md} IS NULL THEN NULL {whens} ELSE {q(S.ZODIAC_DEFAULT)} END"
 
 
 def day_period_sql(h: str) -> str:
@@ -73,20 +73,27 @@ def wide_case(table: dict, key: str, rate: str, suffix_idx: int, default: str |
 
 # ---- common table expressions --------------------------------------------------------
 AD = A.SQL
+AS_OF_Y, AS_OF_M, AS_OF_D = map(int, A.AS_OF.split("-"))
 ENRICHED = f"""
-  ue_raw AS (SELECT *, CASE WHEN regexp_full_match(birthday, '[+-]?[0-9]{{1,9}}')
-                            THEN DATE '1970-01-01' + CAST(birthday AS INTEGER) END AS bd
-             FROM ({AD['user_info']})),
+  ue_days AS (SELECT *, CASE WHEN regexp_full_match(birthday, '[+-]?[0-9]+')
+                             THEN TRY_CAST(birthday AS BIGINT) END AS n
+              FROM ({AD['user_info']})),
+  ue_cycle AS (SELECT *, DATE '1970-01-01' + CAST(rest AS INTEGER) AS cd,
+                      birthday IS NOT NULL AND rest IS NULL AS bad FROM (
+      SELECT *, CASE WHEN n BETWEEN {S.EPOCH_DAY_MIN} AND {S.EPOCH_DAY_MAX}
+                     THEN ((n % 146097) + 146097) % 146097 END AS rest FROM ue_days)),
+  ue_raw AS (SELECT *, year(cd) + 400 * ((n - rest) // 146097) AS y, month(cd) AS m, day(cd) AS d, month(cd) * 100 + day(cd) AS md
+             FROM ue_cycle),
   ue AS (SELECT
-      CASE WHEN birthday IS NOT NULL AND bd IS NULL THEN 'invalid_date' ELSE strftime(bd, '%Y-%m-%d') END AS birthday,
-      CASE WHEN birthday IS NOT NULL AND bd IS NULL THEN '-1' ELSE CAST(year(bd) AS VARCHAR) END AS birth_year,
+      CASE WHEN bad THEN 'invalid_date' WHEN birthday IS NOT NULL THEN
+           CASE WHEN y < 0 THEN '-' WHEN y > 9999 THEN '+' ELSE '' END
+           || CASE WHEN abs(y) < 1000 THEN lpad(CAST(abs(y) AS VARCHAR), 4, '0') ELSE CAST(abs(y) AS VARCHAR) END
+           || '-' || lpad(CAST(m AS VARCHAR), 2, '0') || '-' || lpad(CAST(d AS VARCHAR), 2, '0') END AS birthday,
+      CASE WHEN bad THEN '-1' ELSE CAST(y AS VARCHAR) END AS birth_year,
       name, ts_ms,
-      CASE WHEN birthday IS NOT NULL AND bd IS NULL THEN 'unknown' ELSE {zodiac_sql('bd')} END AS zodiac_sign,
+      CASE WHEN bad THEN 'unknown' ELSE {zodiac_sql('md')} END AS zodiac_sign,
       id, user_level, gender,
-      CAST(CASE WHEN birthday IS NOT NULL AND bd IS NULL THEN -1
-           ELSE year(DATE '{A.AS_OF}') - year(bd)
-                - CASE WHEN month(DATE '{A.AS_OF}') * 100 + day(DATE '{A.AS_OF}') < month(bd) * 100 + day(bd)
-                       THEN 1 ELSE 0 END END AS INTEGER) AS age,
+      CAST(CASE WHEN bad THEN -1 ELSE trunc((({AS_OF_Y} * 12 + {AS_OF_M}) * 32 + {AS_OF_D} - ((y * 12 + m) * 32 + d)) / 384.0) END AS INTEGER) AS age,
       create_time, login_name
     FROM ue_raw),
   users AS (SELECT *, {age_band_sql('age')} AS age_group FROM ue)"""
@@ -319,7 +326,7 @@ WITH t AS (SELECT id, CASE WHEN id % 101 = 0 THEN 'garbage'
                    WHEN id % 3 = 1 THEN strftime({_local('create_time')}, '%Y-%m-%d %H:%M:%S')
                    ELSE strftime({_local('create_time')}, '%H:%M:%S') END AS text
            FROM ({AD['order_info']})),
-     p AS (SELECT id, text, CASE WHEN regexp_full_match(text, '-?[0-9]+') THEN {_local('text')}
+     p AS (SELECT id, text, CASE WHEN regexp_full_match(text, '[+-]?[0-9]+') THEN {_local('text')}
                   ELSE coalesce(try_strptime(text, '%Y-%m-%d %H:%M:%S'),
                                 try_strptime('1970-01-01 ' || text, '%Y-%m-%d %H:%M:%S')) END AS lt FROM t)
 SELECT id, text, CASE WHEN lt IS NULL THEN NULL ELSE strftime(lt, '%H:%M:%S') || {_frac('lt')} END AS parsed_time,

@@ -55,6 +55,10 @@ def user_info(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     raw = (F.when(k % 97 == 13, F.lit("n/a"))
            .when(k % 89 == 7, F.lit(None).cast("string"))
+           .when(k % 83 == 11, (F.lit(1_000_000_000) + k * 997).cast("string"))
+           .when(k % 79 == 3, F.lpad((k * 997 % 16000).cast("string"), 13, "0"))
+           .when(k % 73 == 5, F.concat(F.lit("-"), (k * 99_991_000).cast("string")))
+           .when(k % 71 == 9, F.lit("99999999999999"))
            .otherwise((k * 997 % 16000 - 2000).cast("string")))
     ts = user_ts_ms(k)
     return customer.select(
@@ -211,6 +215,10 @@ SQL = {
         SELECT c_custkey AS id, lower(replace(c_name, 'Customer#', 'u')) AS login_name,
                c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
                CASE WHEN c_custkey % 97 = 13 THEN 'n/a' WHEN c_custkey % 89 = 7 THEN NULL
+                    WHEN c_custkey % 83 = 11 THEN CAST(1000000000 + c_custkey * 997 AS VARCHAR)
+                    WHEN c_custkey % 79 = 3 THEN lpad(CAST(c_custkey * 997 % 16000 AS VARCHAR), 13, '0')
+                    WHEN c_custkey % 73 = 5 THEN '-' || CAST(c_custkey * 99991000 AS VARCHAR)
+                    WHEN c_custkey % 71 = 9 THEN '99999999999999'
                     ELSE CAST(c_custkey * 997 % 16000 - 2000 AS VARCHAR) END AS birthday,
                CAST(1 + c_custkey % 3 AS INTEGER) AS user_level,
                CAST({EPOCH_2024_MS} + (c_custkey * 7919 % {SPAN_S}) * 1000 AS VARCHAR) AS create_time,

@@ -39,10 +39,30 @@ def test_invalid_and_null_birthday(spark):
     assert tuple(rows[2]) == ("invalid_date", -1, "unknown", "-1")
 
 
+@pytest.mark.parametrize("text,iso,year", [
+    ("1000000000", "+2739877-01-03", "2739877"), ("0000000011585", "2001-09-20", "2001"), ("+5", "1970-01-06", "1970"),
+    ("-719163", "0000-12-31", "0"), ("-1000000", "-0768-02-04", "-768"), ("365241780471", "+999999999-12-31", "999999999"),
+    ("-365243219162", "-999999999-01-01", "-999999999"), ("365241780472", "invalid_date", "-1"), ("9" * 30, "invalid_date", "-1"), ("", "invalid_date", "-1")])
+def test_birthdays_of_any_length(spark, text, iso, year):
+    f = S.birthday_fields("x", AS_OF)
+    r = spark.createDataFrame([(text,)], "x string").select(f["birthday"].alias("b"), f["birth_year"].alias("y")).first()
+    assert (r.b, r.y) == (iso, year)
+
+
+def test_civil_equals_the_calendar(spark):
+    rows = spark.range(-150_000, 150_000, 37).select("id", S.civil("id").alias("c")).collect()
+    assert all((r.c.y, r.c.m, r.c.d) == (d.year, d.month, d.day) for r in rows for d in [dt.date(1970, 1, 1) + dt.timedelta(days=r.id)])
+
+
+@pytest.mark.parametrize("birth,age", [("2025-05-13", 0), ("2026-05-11", 0), ("2026-05-12", -1), ("2026-05-13", -1), ("2025-05-12", 0)])
+def test_age_of_the_unborn(spark, birth, age):
+    assert one(spark, S.age_years(S.date_parts(F.to_date("x")), AS_OF), birth) == age
+
+
 def test_leap_day_age(spark):
-    age = S.age_years(F.to_date(F.col("x")), "2025-02-28")
+    age = S.age_years(S.date_parts(F.to_date(F.col("x"))), "2025-02-28")
     assert one(spark, age, "2000-02-29") == 24
-    assert one(spark, S.age_years(F.to_date(F.col("x")), "2025-03-01"), "2000-02-29") == 25
+    assert one(spark, S.age_years(S.date_parts(F.to_date(F.col("x"))), "2025-03-01"), "2000-02-29") == 25
 
 
 @pytest.mark.parametrize("md,sign", [
@@ -54,7 +74,7 @@ def test_leap_day_age(spark):
     ("11-22", "天蝎座"), ("11-23", "射手座"), ("12-21", "射手座"), ("12-22", "摩羯座"),
 ])
 def test_zodiac_edges(spark, md, sign):
-    assert one(spark, S.zodiac_sign(F.to_date(F.col("x"))), f"2001-{md}") == sign
+    assert one(spark, S.zodiac_sign(S.date_parts(F.to_date(F.col("x")))), f"2001-{md}") == sign
 
 
 @pytest.mark.parametrize("age,band", [
