@@ -2,14 +2,16 @@
 
 Scale notes
 -----------
-* ``interval_join`` adds a time bucket to the equi-join key.  A key that
-  holds a third of all rows is then spread over one bucket per interval
-  width instead of landing in one task, and the sort-merge join compares
-  only rows of neighbouring buckets instead of every pair of the key.
-  Remaining skew inside one bucket is split by AQE's skew-join handling.
+* ``interval_join`` joins on its key; a hot key is split by AQE's skew-join
+  handling.  Where a key can be hot on both sides, ``bucket_ms`` adds a time
+  bucket to the key: the sort-merge join then compares only rows of
+  neighbouring buckets, and the side named by ``spread`` (choose the smaller)
+  goes to every bucket that its interval touches.
 * Broadcasts happen only behind ``broadcast_if_small``: the optimizer's
-  size estimate of the (already pruned and filtered) side is checked
-  against a limit; above it the join stays a shuffle join.
+  size estimate of the (already pruned and filtered) side, times
+  ``UNPACKED`` for what compressed files hold in memory, is checked against a
+  limit; above it the join stays a shuffle join that AQE may still turn into
+  a broadcast by the size it sees at run time.
 """
 
 from __future__ import annotations
@@ -20,14 +22,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest side we hint as broadcast (bytes, optimizer estimate).
+from portrait.session import materialize
+
+# Largest side we hint as broadcast (bytes in memory), and how many bytes in
+# memory we allow for a byte of the optimizer's (file size) estimate.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+UNPACKED = 8
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (no job is run)."""
+    """Catalyst's size estimate of a plan times ``UNPACKED`` (no job is run)."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return UNPACKED * int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # streaming plans, Connect sessions
         return None
 
@@ -42,6 +48,14 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> D
     return df
 
 
+def broadcast_if_few(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """For small tables that are derived from large ones (a dictionary out of
+    the facts), which the optimizer takes for large: written once, counted,
+    and broadcast only if the count proves them small."""
+    df = materialize(df)
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def row_preserving_bytes(base: DataFrame, out: DataFrame) -> int | None:
     """Size bound of ``out`` when it has at most one row per row of ``base``
     (e.g. left joins of ``base`` on unique dimension keys): ``base``'s size
@@ -69,15 +83,16 @@ def _ms(df: DataFrame, name: str, qual: str | None = None) -> Column:
 def interval_join(left: DataFrame, right: DataFrame, left_key: str | Sequence[str],
                   right_key: str | Sequence[str], left_time: str, right_time: str,
                   lower_ms: int, upper_ms: int, how: str = "inner",
-                  bucket_ms: int | None = -1, merge: str | None = None,
+                  bucket_ms: int | None = None, spread: str = "right", merge: str | None = None,
                   time_out: str | None = None) -> DataFrame:
     """Rows with equal keys and ``right_time`` in
     ``[left_time + lower_ms, left_time + upper_ms]`` (both bounds inclusive).
 
     Times are epoch-millis longs or timestamps.  For timestamps the range is
     written with interval arithmetic so a streaming join can evict state by
-    watermark.  ``bucket_ms`` (default: the interval width) adds a time
-    bucket to the equi-join key; ``None`` turns that off.  Output: all left
+    watermark.  ``bucket_ms`` (-1: the interval width) adds a time bucket to
+    the equi-join key; each row of the ``spread`` side then goes to the buckets
+    that its interval touches (at most two of the interval's width).  Output: all left
     columns then all right columns (names must not collide; rename first),
     or with ``merge='left'|'right'`` one key-wise merged row (``putAll``: the
     winner's value on a shared name).  ``time_out`` names an extra column
@@ -98,14 +113,19 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str | Sequence[st
         lt, rt = F.col(f"_l.{left_time}"), F.col(f"_r.{right_time}")
         cond += [rt >= lt + F.lit(lower_ms), rt <= lt + F.lit(upper_ms)]
     if bucket_ms and how == "inner":
-        lms = _ms(left, left_time)
-        rms = _ms(right, right_time)
-        l = left.withColumn("_ib", F.floor(lms / F.lit(bucket_ms))).alias("_l")
-        # left bucket range that can pair with this right row
-        r = (right.withColumn("_ib", F.explode(F.sequence(
-                F.floor((rms - F.lit(upper_ms)) / F.lit(bucket_ms)),
-                F.floor((rms - F.lit(lower_ms)) / F.lit(bucket_ms)))))
-             .alias("_r"))
+        def own(ms):
+            return F.floor(ms / F.lit(bucket_ms))
+
+        def touched(ms, lo, hi):
+            return F.explode(F.sequence(own(ms + F.lit(lo)), own(ms + F.lit(hi))))
+
+        lms, rms = _ms(left, left_time), _ms(right, right_time)
+        if spread == "right":
+            l = left.withColumn("_ib", own(lms)).alias("_l")
+            r = right.withColumn("_ib", touched(rms, -upper_ms, -lower_ms)).alias("_r")
+        else:
+            l = left.withColumn("_ib", touched(lms, lower_ms, upper_ms)).alias("_l")
+            r = right.withColumn("_ib", own(rms)).alias("_r")
         cond.append(F.col("_l._ib") == F.col("_r._ib"))
     joined = l.join(r, on=_and(cond), how=how)
     if merge:

@@ -2,9 +2,10 @@
 and running distinct sets (A2/A3), last row per tumbling window (A4).
 
 Skew: one uid may own a third of all rows (anonymous traffic lands on
-``-1``).  ``running_profile`` therefore never sends a whole uid to one task:
-rows are windowed per (uid, time chunk) and only a one-row-per-chunk
-summary is ordered per uid to produce the prefix counts and sets.
+``-1``).  ``running_profile`` never sends a whole uid to one task: rows are
+windowed per (uid, chunk of rows) and only a one-row-per-chunk summary is
+ordered per uid.  ``window_profile``, which the page-log job uses, keeps one
+row per (uid, window) and none per record.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portrait.functions.scalars import first_token
+from portrait.session import materialize
 
 SET_FIELDS = ["os", "ch", "md", "ba"]
 DROPPED_COMMON = ["sid", "mid", "is_new"]
@@ -65,45 +67,40 @@ def _tag(name: str):
     return lambda v: F.struct(F.lit(name).alias("f"), v.alias("v"))
 
 
-def hot_keys(df: DataFrame, key: str, hot_share: float = 0.01, min_rows: int = 1000) -> DataFrame:
-    """Keys holding more than ``hot_share`` of all rows (and more than
-    ``min_rows``).  At most ``1 / hot_share`` keys can pass, so the result
-    has a proven size bound and is safe to broadcast.  Runs a count (a
-    scalar to the driver) and a partial aggregation by key."""
-    limit = max(min_rows, int(df.count() * hot_share))
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
-            .filter(F.col("_cnt") > limit).select(key, F.lit(True).alias("_hot")))
+def _first_seen(fields: list[str]) -> Column:
+    """(f, v) of every non-null value among ``fields``, to be exploded."""
+    return F.filter(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).alias("v")) for f in fields]), lambda e: e["v"].isNotNull())
 
 
-def running_profile(flat: DataFrame, chunk_ms: int = 600_000, hot_share: float = 0.01,
-                    min_hot_rows: int = 1000) -> DataFrame:
-    """A2 + A3, skew-safe: emits per input row the uid's running page count
+def row_chunks(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_chunk``: ranges of (uid, ts, seq) of about as many
+    rows each, numbered in that order; written once, as the bounds are
+    sampled."""
+    return materialize(rows.repartitionByRange("uid", "ts", "seq").withColumn("_chunk", F.spark_partition_id()))
+
+
+def running_profile(flat: DataFrame) -> DataFrame:
+    """A2 + A3 by row: emits per input row the uid's running page count
     ``pv`` and the comma-joined sorted distinct os/ch/md/ba/search_item seen
     so far (order: ts, then seq).
 
-    0. hot uids (over ``hot_share`` of the rows; at most 1/hot_share of
-       them, broadcast) are cut into time chunks of ``chunk_ms``; every
-       other uid is a single chunk;
+    0. rows are range-partitioned by (uid, ts, seq), so every uid, large or
+       small, is cut by rows: a chunk is what one partition holds of a uid.
+       The range bounds are sampled, so the rows are written once (checkpoint);
     1. chunk summaries: count and value sets per (uid, chunk), a hash
        aggregate with a map-side partial step;
     2. each distinct (uid, field, value) is kept once, in the chunk where it
        first appears (another partial aggregation);
     3. prefix per uid over its chunk summaries: rows and first-seen values
-       of earlier chunks (the frame holds each distinct value once, so the
-       cost per chunk is bounded by the uid's distinct values);
+       of earlier chunks (at most one row per partition and uid);
     4. rows join their chunk's prefix on (uid, chunk) and a window per
        (uid, chunk) -- on the join's partitioning, no new exchange -- adds
        the running count and sets inside the chunk.
-    Only step 4 moves full rows, and a hot uid is spread over its chunks.
-    ``flat`` is read several times: pass a materialized (checkpointed)
-    frame when it is expensive to recompute.
-    Results equal ``running_profile_window`` exactly."""
+    Only steps 0 and 4 move full rows, and a hot uid is spread over the
+    partitions that its rows fill.  Results equal ``running_profile_window``."""
     fields = SET_FIELDS + ["search_item"]
-    hot = F.broadcast(hot_keys(flat, "uid", hot_share, min_hot_rows))
-    chunk = F.when(F.col("_hot"), F.floor(F.col("ts") / F.lit(chunk_ms))).otherwise(F.lit(-1))
-    base = flat.join(hot, "uid", "left").select(
-        "uid", "ts", "seq", chunk.alias("_chunk"),
-        *[F.col("deviceInfo").getField(f).alias(f) for f in SET_FIELDS], "search_item")
+    rows = flat.select("uid", "ts", "seq", *[F.col("deviceInfo").getField(f).alias(f) for f in SET_FIELDS], "search_item")
+    base = row_chunks(rows)
     summary = base.groupBy("uid", "_chunk").agg(
         F.count(F.lit(1)).alias("_n"), *[F.collect_set(f).alias(f"_s_{f}") for f in fields])
     tagged = F.flatten(F.array(*[F.transform(F.col(f"_s_{f}"), _tag(f)) for f in fields]))
@@ -127,6 +124,43 @@ def running_profile(flat: DataFrame, chunk_ms: int = 600_000, hot_share: float =
                       for f in fields])
 
 
+def window_profile(flat: DataFrame, size_ms: int = 120_000, matched: str | None = None) -> DataFrame:
+    """A2 + A3 + A4 in one: the running profile at the last row of every
+    (uid, tumbling window), without making a row for each record.
+
+    Every record is exploded into its values, tagged by field, and one entry
+    that stands for its window.  One aggregation by (uid, field, value) then
+    gives each value's first window and each window's count and last
+    (ts, seq): a value is kept once, whatever the traffic, after a map-side
+    partial step.  A second groups these by (uid, window), and the prefix
+    per uid runs over one row per window -- bounded by time, not by traffic.
+
+    ``matched``: a boolean column that marks search terms; adds
+    ``search_term``, the most recent one so marked up to the window's end."""
+    fields = SET_FIELDS + ["search_item"]
+    ws = F.floor(F.col("ts") / F.lit(size_ms)) * F.lit(size_ms)
+    term = F.when(F.col(matched), F.col("search_item")) if matched else F.lit(None).cast("string")
+    rows = flat.select("uid", "ts", "seq", ws.alias("_ws"), *[F.col("deviceInfo").getField(f).alias(f) for f in SET_FIELDS], "search_item", term.alias("_term"))
+    own = F.array(F.struct(F.lit("").alias("f"), F.col("_ws").cast("string").alias("v")))
+    each = rows.select("uid", "_ws", "ts", "seq", "_term", F.explode(F.concat(own, _first_seen(fields))).alias("_e"))
+    window_row = F.col("_e.f") == ""
+    at = F.struct("ts", "seq")
+    seen = each.groupBy("uid", F.col("_e.f").alias("f"), F.col("_e.v").alias("v")).agg(
+        F.min("_ws").alias("window_start"), F.count(F.lit(1)).alias("_n"),
+        F.max(F.when(window_row, at)).alias("_last"),
+        F.max(F.when(window_row & F.col("_term").isNotNull(), F.struct("ts", "seq", "_term"))).alias("_t"))
+    is_window = F.col("f") == ""
+    by_window = seen.groupBy("uid", "window_start").agg(
+        F.max(F.when(is_window, F.col("_n"))).alias("_n"), F.max("_last").alias("_last"), F.max("_t").alias("_t"),
+        *[F.collect_list(F.when(F.col("f") == f, F.col("v"))).alias(f) for f in fields])
+    w = Window.partitionBy("uid").orderBy("window_start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = by_window.select(
+        "uid", "window_start", F.col("_last.ts").alias("ts"), F.col("_last.seq").alias("seq"), F.sum("_n").over(w).alias("pv"),
+        *[_sets_to_text(F.flatten(F.collect_list(f).over(w))).alias(f) for f in fields],
+        F.max("_t").over(w).getField("_term").alias("search_term"))
+    return out if matched else out.drop("search_term")
+
+
 def window_last(profile: DataFrame, size_ms: int = 120_000, key: str = "uid",
                 time_col: str = "ts", tie: str = "seq") -> DataFrame:
     """A4: per key and tumbling window, the last row (by time, tie).

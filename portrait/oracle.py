@@ -171,16 +171,27 @@ DEV_COLS = ", ".join(
 SEARCH_COLS = ", ".join(
     f"{wide_case(W.SEARCH, 'searchCategory', W.SEARCH_RATE, i, '0')} AS search_{s}" for i, s in enumerate(W.BAND_SUFFIX))
 
-SCORES = f"""
+def scores(search: str = "search_item") -> str:
+    return f"""
   dev AS (SELECT *, {dominant_os_sql('os')} AS judge_os FROM lastw),
   b3 AS (SELECT b3name, arg_max(b1name, CAST(id AS BIGINT)) AS b1_category FROM cats GROUP BY b3name),
   sc AS (SELECT category_name, arg_min(search_category, id) AS searchCategory
     FROM ({AD['category_compare_dic']}) GROUP BY category_name),
   pscore AS (SELECT d.*, {DEV_COLS}, b3.b1_category, sc.searchCategory
-    FROM dev d LEFT JOIN b3 ON d.search_item = b3.b3name LEFT JOIN sc ON b3.b1_category = sc.category_name),
+    FROM dev d LEFT JOIN b3 ON d.{search} = b3.b3name LEFT JOIN sc ON b3.b1_category = sc.category_name),
   pages AS (SELECT *, {SEARCH_COLS} FROM pscore)"""
 
 
+SCORES = scores()
+# the most recent single search term that is a level-3 name (repaired mode)
+TERMS = """
+  known AS (SELECT d.*, CASE WHEN c.b3name IS NOT NULL THEN d.search_item END AS term
+    FROM dedup d LEFT JOIN (SELECT DISTINCT b3name FROM cats) c ON d.search_item = c.b3name),
+  terms AS (SELECT uid, ts, seq, last_value(term IGNORE NULLS) OVER (PARTITION BY uid ORDER BY ts, seq
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS search_term FROM known)"""
+LAST_TERM = LAST.replace("FROM running)", "FROM running JOIN terms USING (uid, ts, seq))").replace("ba, search_item FROM", "ba, search_item, search_term FROM")
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -225,7 +236,8 @@ def age_label_sql(mode: str) -> str:
         dev = srch = "CAST(0 AS DECIMAL(18,4))"
     else:
         dev, srch = _band_pick("device", "o.age_group"), _band_pick("search", "o.age_group")
-    return with_(ENRICHED, USER_PROFILE, ORDER_LINES, CHAIN, WIDE, CATS, FLAT, DEDUP, RUNNING, LAST, SCORES,
+    profile = (LAST, SCORES) if mode == "as_run" else (TERMS, LAST_TERM, scores("search_term"))
+    return with_(ENRICHED, USER_PROFILE, ORDER_LINES, CHAIN, WIDE, CATS, FLAT, DEDUP, RUNNING, *profile,
                  _order_scores(mode), f"""
   lab AS (SELECT (o.event_ms // {HOUR}) * {HOUR} AS window_start, p.uid AS key, o.id, o.order_id,
        o.age_group, o.price_interval, o.time_period, o.parsed_time, o.combined_score, o.pinpai,
@@ -282,6 +294,10 @@ FROM orders o LEFT JOIN ({AD['base_dic']}) d ON substr(o.o_orderpriority, 1, 1)
 SELECT uid, window_start, os, judge_os, {_dbl(*DEVICE_NAMES)} FROM pages""",
     "search_score": with_(FLAT, DEDUP, RUNNING, LAST, CATS, SCORES) + f"""
 SELECT uid, window_start, search_item, b1_category, searchCategory, {_dbl(*SEARCH_NAMES)} FROM pages""",
+    "window_join_minute": with_(ENRICHED, USER_PROFILE, ORDER_LINES, CHAIN, WIDE, FLAT, DEDUP, RUNNING, LAST) + f"""
+SELECT (o.event_ms // 60000) * 60000 AS window_start, p.uid AS key, o.id, p.ts AS log_ts, p.pv AS log_pv
+FROM wide o JOIN lastw p
+  ON CAST(o.user_id // {A.USER_DIV} AS VARCHAR) = p.uid AND o.event_ms // 60000 = p.ts // 60000""",
     "window_join": with_(ENRICHED, USER_PROFILE, ORDER_LINES, CHAIN, WIDE, FLAT, DEDUP, RUNNING, LAST) + f"""
 SELECT (o.event_ms // {HOUR}) * {HOUR} AS window_start, p.uid AS key, o.id, p.ts AS log_ts, p.pv AS log_pv
 FROM wide o JOIN lastw p

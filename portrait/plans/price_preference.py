@@ -26,7 +26,8 @@ def price_pairs(spark: SparkSession, users: DataFrame, orders: DataFrame,
     o = (orders.filter(F.col("total_amount").isNotNull())
          .select("user_id", price_band("total_amount").alias("price_interval"),
                  F.col("ts_ms").alias("o_ts")))
-    pairs = interval_join(u, o, "uid", "user_id", "u_ts", "o_ts", lower_ms, upper_ms)
+    # a user may hold many orders: bucket by time, spreading the user records
+    pairs = interval_join(u, o, "uid", "user_id", "u_ts", "o_ts", lower_ms, upper_ms, bucket_ms=-1, spread="left")
     # strict lookup: a pair without weight (e.g. 'Under 18') is not emitted
     return lookup_default(pairs.select("age_group", "price_interval"), price_weights(spark),
                           ["price_interval", "age_group"], "weight", "weight", default=None)

@@ -50,9 +50,9 @@ def wide(t: Tables) -> DataFrame:
                           A.order_detail(t.lineitem), A.order_info(t.orders), dims(t), A.AS_OF)
 
 
-def pages(spark: SparkSession, t: Tables) -> DataFrame:
+def pages(spark: SparkSession, t: Tables, mode: str = "as_run") -> DataFrame:
     return PP.page_profile(spark, A.page_log(t.events, replay_every=10), categories(t),
-                           A.category_compare_dic(t.region))
+                           A.category_compare_dic(t.region), mode=mode)
 
 
 # ---- users ------------------------------------------------------------------------
@@ -132,7 +132,7 @@ def first_match_lookup(spark, sf):
 @register
 def dict_lookup(spark, sf):
     t = Tables(spark, sf)
-    dic = J.broadcast_if_small(A.base_dic(t.orders))
+    dic = J.broadcast_if_few(A.base_dic(t.orders))
     o = t.orders.select(F.col("o_orderkey").alias("id"), F.substring("o_orderpriority", 1, 1).alias("dic_code"))
     return o.join(dic, "dic_code", "left").select("id", "dic_code", F.col("info.dic_name").alias("dic_name"))
 
@@ -161,19 +161,19 @@ def running_profile(spark, sf):
 
 @register
 def window_last_profile(spark, sf):
-    return P.window_last(PP.profile_rows(A.page_log(Tables(spark, sf).events, replay_every=10)))
+    return PP.window_rows(A.page_log(Tables(spark, sf).events, replay_every=10))
 
 
 @register
 def device_score(spark, sf):
-    last = P.window_last(PP.profile_rows(A.page_log(Tables(spark, sf).events, replay_every=10)))
+    last = PP.window_rows(A.page_log(Tables(spark, sf).events, replay_every=10))
     return SC.device_scores(last, spark).select("uid", "window_start", "os", "judge_os", *_dbl(*SC.DEVICE_COLS))
 
 
 @register
 def search_score(spark, sf):
     t = Tables(spark, sf)
-    last = P.window_last(PP.profile_rows(A.page_log(t.events, replay_every=10)))
+    last = PP.window_rows(A.page_log(t.events, replay_every=10))
     s = SC.search_scores(last, spark, categories(t), A.category_compare_dic(t.region))
     return s.select("uid", "window_start", "search_item", "b1_category", "searchCategory",
                     *_dbl(*SC.SEARCH_COLS))
@@ -190,10 +190,21 @@ def window_join(spark, sf):
                     F.col("Log.ts").alias("log_ts"), F.col("Log.pv").alias("log_pv"))
 
 
+@register
+def window_join_minute(spark, sf):
+    """J5 with the one-minute window of the original."""
+    t = Tables(spark, sf)
+    o = wide(t).select("id", "event_ms", (F.col("user_id") / A.USER_DIV).cast("bigint").alias("page_uid"))
+    p = pages(spark, t).select("uid", "ts", "pv")
+    j = J.window_join(o, p, "page_uid", "uid", "event_ms", "ts", AL.MINUTE_MS)
+    return j.select("window_start", "key", F.col("result.id").alias("id"),
+                    F.col("Log.ts").alias("log_ts"), F.col("Log.pv").alias("log_pv"))
+
+
 def _age_label(spark, sf, mode):
     t = Tables(spark, sf)
     uid = F.floor(F.col("user_id") / A.USER_DIV).cast("string")
-    return _label_cols(AL.age_label(spark, wide(t), pages(spark, t), mode, HOUR_MS, result_uid=uid))
+    return _label_cols(AL.age_label(spark, wide(t), pages(spark, t, mode), mode, HOUR_MS, result_uid=uid))
 
 
 def _label_cols(out):
@@ -320,7 +331,7 @@ def sql_template(spark, sf):
     # precision-0 conversion read them as seconds); pt = processing time
     (cdc.good(_changes(spark, sf)).withColumn("et", F.timestamp_millis("ts_ms"))
      .withColumn("pt", F.current_timestamp()).createOrReplaceTempView("topic_db"))
-    A.base_dic(t.orders).createOrReplaceTempView("base_dic")
+    J.broadcast_if_few(A.base_dic(t.orders)).createOrReplaceTempView("base_dic")
     return spark.sql("""
         SELECT try_cast(after['id'] AS BIGINT) AS id, after['order_status'] AS order_status,
                d.info.dic_name AS dic_name, unix_millis(et) AS et_ms
@@ -370,7 +381,7 @@ def metric_province(spark, sf):
 @register
 def metric_sku(spark, sf):
     t = Tables(spark, sf)
-    return M.sku(A.order_detail(t.lineitem), dims(t))
+    return M.sku(A.order_detail_log(t.lineitem), dims(t))
 
 
 # ---- streams (file source -> stateful/joins -> sink, drained with availableNow) ----

@@ -40,12 +40,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session (or its SparkContext).  Only when neither has
-    one (tests, ad-hoc local runs) a fresh scratch folder is made and set
-    on the SparkContext; on a cluster this must be a shared file system
-    (HDFS/S3/...), which the cluster configuration provides."""
+    Read from the session (or its SparkContext).  Where neither has one, a
+    local session (tests, ad-hoc runs) gets a fresh scratch folder; on a
+    cluster that is an error, because executors do not share a local one."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="portrait-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -60,7 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (streams, sinks)."""
-    base = checkpoint_dir(spark).replace("file:", "")
+    base = checkpoint_dir(spark)
     # unique per call so reruns never collide with an old checkpoint
     return os.path.join(base, "portrait", f"{name}-{os.getpid()}-{next(_SEQ)}-{os.urandom(4).hex()}")
 

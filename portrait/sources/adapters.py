@@ -32,6 +32,8 @@ BY_EVENT = {  # event_type -> (channel, model, brand, page_id)
 }
 SEARCH_TERMS_EXTRA = ["iPhone14", "口红"]   # k % 6 in (4, 5); 0..3 -> supplier names
 SEARCH_CATEGORY_BY_REGION = ["时尚与潮流", "性价比", "健康与养生", "家庭与育儿", "科技与数码", "学习与发展"]
+BRAND_NAMES = ["香奈儿", "小米", "联想", "Redmi"]               # Brand#.1 to Brand#.4
+CATEGORY1_NAMES = ["电脑办公", "家用电器", "个护化妆", "手机"]   # regions 0 to 3
 # -----------------------------------------------------------------------------
 
 
@@ -99,11 +101,26 @@ def order_info(orders: DataFrame) -> DataFrame:
         ts.alias("create_time"), ts.alias("ts_ms"))
 
 
+def line_id() -> Column:
+    """One number for a line: the table repeats (order, line number), so
+    part, supplier and quantity are taken in."""
+    line = ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_003 + F.col("l_partkey")) * 1_009 + F.col("l_suppkey") % 1_009
+    return line * 64 + F.col("l_quantity").cast("bigint")
+
+
+def order_detail_log(lineitem: DataFrame) -> DataFrame:
+    """Order lines as delivered: every fifth twice, and for every seventh an
+    earlier version with a tenth of the amounts; ``pos`` is the log position."""
+    now = order_detail(lineitem).withColumn("pos", F.lit(1))
+    old = now.where("id % 7 = 0").withColumn("pos", F.lit(0)).withColumn("original_cents", F.floor(F.col("original_cents") / 10))
+    return now.unionByName(now.where("id % 5 = 0")).unionByName(old)
+
+
 def order_detail(lineitem: DataFrame) -> DataFrame:
     k = F.col("l_orderkey")
     price = _cents("l_extendedprice")
     return lineitem.select(
-        (k * 8 + F.col("l_linenumber")).alias("id"), k.alias("order_id"),
+        line_id().alias("id"), k.alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
         F.concat(F.lit("sku-"), F.col("l_partkey").cast("string")).alias("sku_name"),
         F.col("l_quantity").cast("int").alias("sku_num"),
@@ -121,8 +138,11 @@ def dim_sku(part: DataFrame) -> DataFrame:
 
 
 def dim_trademark(part: DataFrame) -> DataFrame:
-    return (part.select(F.col("p_brand").alias("id")).distinct()
-            .select("id", F.regexp_replace("id", "Brand#", "TM-").alias("tm_name")))
+    """Brands whose number ends in 1 to 4 bear the names of the brand weights."""
+    name = F.regexp_replace("id", "Brand#", "TM-")
+    for digit, known in enumerate(BRAND_NAMES, 1):
+        name = F.when(F.endswith("id", F.lit(str(digit))), known).otherwise(name)
+    return part.select(F.col("p_brand").alias("id")).distinct().select("id", name.alias("tm_name"))
 
 
 def dim_category3(supplier: DataFrame) -> DataFrame:
@@ -135,8 +155,16 @@ def dim_category2(nation: DataFrame) -> DataFrame:
                          F.col("n_regionkey").cast("string").alias("category1_id"))
 
 
+def category1_name() -> Column:
+    """Regions 0 to 3 bear the names of the category weights."""
+    name = F.col("r_name")
+    for key, known in enumerate(CATEGORY1_NAMES):
+        name = F.when(F.col("r_regionkey") == key, known).otherwise(name)
+    return name
+
+
 def dim_category1(region: DataFrame) -> DataFrame:
-    return region.select(F.col("r_regionkey").cast("string").alias("id"), F.col("r_name").alias("name"))
+    return region.select(F.col("r_regionkey").cast("string").alias("id"), category1_name().alias("name"))
 
 
 def category_compare_dic(region: DataFrame) -> DataFrame:
@@ -144,9 +172,9 @@ def category_compare_dic(region: DataFrame) -> DataFrame:
     first-match lookup has something to choose between."""
     cats = F.array(*[F.lit(c) for c in SEARCH_CATEGORY_BY_REGION])
     r = F.col("r_regionkey")
-    a = region.select(r.cast("int").alias("id"), F.col("r_name").alias("category_name"),
+    a = region.select(r.cast("int").alias("id"), category1_name().alias("category_name"),
                       F.element_at(cats, (r % 6 + 1).cast("int")).alias("search_category"))
-    b = region.select((r + 100).cast("int").alias("id"), F.col("r_name").alias("category_name"),
+    b = region.select((r + 100).cast("int").alias("id"), category1_name().alias("category_name"),
                       F.element_at(cats, ((r + 1) % 6 + 1).cast("int")).alias("search_category"))
     return a.unionByName(b)
 
@@ -210,6 +238,8 @@ def _sql_case(expr: str, mapping: dict, idx: int) -> str:
     return f"CASE {whens} END"
 
 
+CATEGORY1_SQL = "CASE r_regionkey " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(CATEGORY1_NAMES)) + " ELSE r_name END"
+
 SQL = {
     "user_info": f"""
         SELECT c_custkey AS id, lower(replace(c_name, 'Customer#', 'u')) AS login_name,
@@ -239,7 +269,7 @@ SQL = {
                {EPOCH_2024_MS} + (o_orderkey * 173 % {SPAN_S}) * 1000 AS ts_ms
         FROM orders""",
     "order_detail": f"""
-        SELECT l_orderkey * 8 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS sku_id,
+        SELECT (((l_orderkey * 8 + l_linenumber) * 1000003 + l_partkey) * 1009 + l_suppkey % 1009) * 64 + CAST(l_quantity AS BIGINT) AS id, l_orderkey AS order_id, l_partkey AS sku_id,
                'sku-' || CAST(l_partkey AS VARCHAR) AS sku_name, CAST(l_quantity AS INTEGER) AS sku_num,
                CAST(round(l_extendedprice * 100) AS BIGINT) AS original_cents,
                CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_discount * 100) AS BIGINT) // 100 AS activity_cents,
@@ -249,15 +279,16 @@ SQL = {
         FROM lineitem""",
     "dim_sku": "SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS sku_name, p_brand AS tm_id, "
                "CAST(p_partkey % 101 AS VARCHAR) AS category3_id FROM part",
-    "dim_trademark": "SELECT id, replace(id, 'Brand#', 'TM-') AS tm_name FROM (SELECT DISTINCT p_brand AS id FROM part)",
+    "dim_trademark": "SELECT id, CASE " + " ".join(f"WHEN id LIKE '%{i}' THEN '{n}'" for i, n in enumerate(BRAND_NAMES, 1))
+        + " ELSE replace(id, 'Brand#', 'TM-') END AS tm_name FROM (SELECT DISTINCT p_brand AS id FROM part)",
     "dim_category3": "SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, "
                      "CAST(s_nationkey AS VARCHAR) AS category2_id FROM supplier",
     "dim_category2": "SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, "
                      "CAST(n_regionkey AS VARCHAR) AS category1_id FROM nation",
-    "dim_category1": "SELECT CAST(r_regionkey AS VARCHAR) AS id, r_name AS name FROM region",
-    "category_compare_dic": "SELECT CAST(r_regionkey AS INTEGER) AS id, r_name AS category_name, "
+    "dim_category1": f"SELECT CAST(r_regionkey AS VARCHAR) AS id, {CATEGORY1_SQL} AS name FROM region",
+    "category_compare_dic": "SELECT CAST(r_regionkey AS INTEGER) AS id, " + CATEGORY1_SQL + " AS category_name, "
         "(" + repr(SEARCH_CATEGORY_BY_REGION).replace('"', "'") + ")[r_regionkey % 6 + 1] AS search_category FROM region "
-        "UNION ALL SELECT CAST(r_regionkey + 100 AS INTEGER) AS id, r_name AS category_name, "
+        "UNION ALL SELECT CAST(r_regionkey + 100 AS INTEGER) AS id, " + CATEGORY1_SQL + " AS category_name, "
         "(" + repr(SEARCH_CATEGORY_BY_REGION).replace('"', "'") + ")[(r_regionkey + 1) % 6 + 1] AS search_category FROM region",
     "base_dic": "SELECT substr(p, 1, 1) AS dic_code, p AS dic_name FROM (SELECT DISTINCT o_orderpriority AS p FROM orders)",
     # flattened page log: the columns the jobs read out of each record

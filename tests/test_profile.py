@@ -1,7 +1,9 @@
 """Page-log flatten, dedup, running profile (both forms), window last."""
 
+import contextlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from portrait.operators import profile as P
@@ -53,16 +55,57 @@ def _random_flat(spark, n=600, hot_share=0.4, seed=3):
     return P.dedup_exact(P.flatten_page_log(raw(spark, rows)))
 
 
-def test_running_profile_chunked_equals_window(spark):
+@contextlib.contextmanager
+def partitions(spark, n):
+    """``n`` shuffle partitions that Spark does not put together again."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("n", [1, 4, 25])
+def test_running_profile_in_chunks_equals_one_window(spark, n):
     flat = _random_flat(spark)
     a = sorted(map(tuple, P.running_profile_window(flat).collect()))
-    assert [r.uid for r in P.hot_keys(flat, "uid", hot_share=0.2, min_rows=10).collect()] == ["hot"]
-    for chunk in (60_000, 600_000, 10_000_000):
-        b = P.running_profile(flat, chunk, hot_share=0.2, min_hot_rows=10)
+    with partitions(spark, n):
+        b = P.running_profile(flat)
         assert sorted(map(tuple, b.select(*P.running_profile_window(flat).columns).collect())) == a
-    # no hot key at all: every uid is one chunk
-    b = P.running_profile(flat, hot_share=0.9)
-    assert sorted(map(tuple, b.select(*P.running_profile_window(flat).columns).collect())) == a
+
+
+def test_every_uid_is_cut_by_rows(spark):
+    """A uid with half a hundredth of the rows lies in several tasks."""
+    rows = [("small" if i % 200 == 0 else f"u{i % 199}" if i % 2 else "hot", i, i) for i in range(12_000)]
+    with partitions(spark, 400):
+        chunks = P.row_chunks(spark.createDataFrame(rows, "uid string, ts long, seq long"))
+        n = {r.uid: r.n for r in chunks.groupBy("uid").agg(F.countDistinct("_chunk").alias("n")).collect()}
+        assert n["small"] >= 2 and n["hot"] >= 150
+        assert chunks.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 150
+
+
+@pytest.mark.parametrize("size", [60_000, 1_000_000])
+def test_window_profile_equals_last_of_running(spark, size):
+    flat = _random_flat(spark, n=500, seed=5)
+    want = P.window_last(P.running_profile_window(flat), size)
+    got = P.window_profile(flat, size)
+    assert got.columns == ["uid", "window_start", "ts", "seq", "pv", "os", "ch", "md", "ba", "search_item"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+
+
+def test_window_profile_latest_matching_term(spark):
+    flat = _random_flat(spark, n=300, seed=7).withColumn("known", F.col("search_item").isin("s1", "口红"))
+    got = {(r.uid, r.window_start): r.search_term for r in P.window_profile(flat, 60_000, matched="known").collect()}
+    latest, want = {}, {}
+    for r in sorted(flat.collect(), key=lambda r: (r.uid, r.ts, r.seq)):
+        if r.search_item in ("s1", "口红"):
+            latest[r.uid] = r.search_item
+        want[r.uid, r.ts // 60_000 * 60_000] = latest.get(r.uid)
+    assert got == want
+    assert P.window_profile(flat.limit(0), 60_000).count() == 0
 
 
 def test_running_profile_brute_force(spark):
@@ -78,7 +121,7 @@ def test_running_profile_brute_force(spark):
         state[r.uid] = (pv, sets)
         expect[r.seq] = (pv, ",".join(sorted(sets["os"])), ",".join(sorted(sets["search_item"])))
     got = {r.seq: (r.pv, r.os, r.search_item)
-           for r in P.running_profile(flat, 60_000, hot_share=0.05, min_hot_rows=5).collect()}
+           for r in P.running_profile(flat).collect()}
     assert got == expect
 
 
