@@ -359,6 +359,7 @@ SELECT 'user_info' AS tbl, 'r' AS op, ts_ms, id, {USER_FIELDS} AS n_fields, fals
 UNION ALL SELECT 'user_info_sup_msg', 'r', ts_ms, uid, {BODY_FIELDS}, false FROM ({AD['user_sup_msg']})
 UNION ALL SELECT 'order_info', 'r', ts_ms, id, {ORDER_FIELDS}, false FROM ({AD['order_info']})
 UNION ALL SELECT 'order_detail', 'r', ts_ms, id, {DETAIL_FIELDS}, false FROM ({AD['order_detail']})
+UNION ALL SELECT 'user_info', 'd', ts_ms, id, NULL, false FROM ({AD['user_info']}) WHERE id % 61 = 0
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, true FROM customer WHERE c_custkey % {A.BAD_EVERY} = 0""",
     "cdc_route": with_(ENRICHED) + f"""
 SELECT 'user_info' AS tbl, id, age_group AS v FROM users
@@ -369,20 +370,24 @@ UNION ALL SELECT 'order_detail', id, CAST(sku_num AS VARCHAR) FROM ({AD['order_d
 WITH o AS (SELECT id, CAST(user_id AS VARCHAR) AS user_id, order_status, CAST(total_amount AS VARCHAR) AS total_amount,
                   'c' || CAST(user_id AS VARCHAR) AS consignee, CAST(province_id AS VARCHAR) AS province_id, ts_ms
            FROM ({AD['order_info']})),
-h AS (SELECT id, 'c' AS op, ts_ms, user_id, order_status, total_amount, consignee, province_id FROM o
-      UNION ALL SELECT id, 'u', ts_ms + {HOUR}, user_id, '1002', total_amount, '', province_id FROM o WHERE id % 3 = 0
-      UNION ALL SELECT id, 'd', ts_ms + {2 * HOUR}, NULL, NULL, NULL, NULL, NULL FROM o WHERE id % 10 = 3
-      UNION ALL SELECT id, 'c', ts_ms + {3 * HOUR}, user_id, 'R', NULL, NULL, NULL FROM o WHERE id % 20 = 3
-      UNION ALL SELECT id, 'c', ts_ms, user_id, order_status, total_amount, consignee, province_id FROM o WHERE id % 7 = 0),
-k AS (SELECT id, max(ts_ms) FILTER (WHERE op = 'd') AS last_del, arg_max(op, ts_ms) AS last_op FROM h GROUP BY id),
+h AS (SELECT id, 'c' AS op, ts_ms * 100 + 1 AS w, user_id, order_status, total_amount, consignee, province_id FROM o
+      UNION ALL SELECT id, 'u', (ts_ms + {HOUR}) * 100 + 2, user_id, '1002', total_amount, '', province_id FROM o WHERE id % 3 = 0
+      UNION ALL SELECT id, 'd', (ts_ms + {2 * HOUR}) * 100 + 3, NULL, NULL, NULL, NULL, NULL FROM o WHERE id % 10 = 3
+      UNION ALL SELECT id, 'c', (ts_ms + {3 * HOUR}) * 100 + 4, user_id, 'R', NULL, NULL, NULL FROM o WHERE id % 20 = 3
+      UNION ALL SELECT id, 'd', (ts_ms + {4 * HOUR}) * 100 + 5, NULL, NULL, NULL, NULL, NULL FROM o WHERE id % 20 = 7
+      UNION ALL SELECT id, 'c', (ts_ms + {4 * HOUR}) * 100 + 6, user_id, 'Q', NULL, NULL, NULL FROM o WHERE id % 20 = 7
+      UNION ALL SELECT id, 'u', (ts_ms + {5 * HOUR}) * 100 + 7, user_id, 'zzz', NULL, 'zzz', NULL FROM o WHERE id % 15 = 4
+      UNION ALL SELECT id, 'u', (ts_ms + {5 * HOUR}) * 100 + 8, user_id, 'aaa', NULL, 'aaa', NULL FROM o WHERE id % 15 = 4
+      UNION ALL SELECT id, 'c', ts_ms * 100 + 1, user_id, order_status, total_amount, consignee, province_id FROM o WHERE id % 7 = 0),
+k AS (SELECT id, max(w) FILTER (WHERE op = 'd') AS last_del, arg_max(op, w) AS last_op FROM h GROUP BY id),
 live AS (SELECT h.* FROM h JOIN k USING (id) WHERE k.last_op <> 'd' AND h.op <> 'd'
-         AND h.ts_ms > coalesce(k.last_del, -1))
+         AND h.w > coalesce(k.last_del, -1))
 SELECT id,
-  arg_max(user_id, ts_ms) FILTER (WHERE user_id <> '') AS user_id,
-  arg_max(order_status, ts_ms) FILTER (WHERE order_status <> '') AS order_status,
-  arg_max(total_amount, ts_ms) FILTER (WHERE total_amount <> '') AS total_amount,
-  arg_max(consignee, ts_ms) FILTER (WHERE consignee <> '') AS consignee,
-  arg_max(province_id, ts_ms) FILTER (WHERE province_id <> '') AS province_id
+  arg_max(user_id, w) FILTER (WHERE user_id <> '') AS user_id,
+  arg_max(order_status, w) FILTER (WHERE order_status <> '') AS order_status,
+  arg_max(total_amount, w) FILTER (WHERE total_amount <> '') AS total_amount,
+  arg_max(consignee, w) FILTER (WHERE consignee <> '') AS consignee,
+  arg_max(province_id, w) FILTER (WHERE province_id <> '') AS province_id
 FROM live GROUP BY id""",
     "dim_routing": f"""
 SELECT 'dim_user' AS topic, CAST(id AS VARCHAR) AS row_key,
@@ -391,7 +396,8 @@ SELECT 'dim_user' AS topic, CAST(id AS VARCHAR) AS row_key,
 UNION ALL SELECT 'dim_order', CAST(id AS VARCHAR), 'id=' || CAST(id AS VARCHAR) || ';order_status=' || order_status
        || ';user_id=' || CAST(user_id AS VARCHAR), 'r' FROM ({AD['order_info']})
 UNION ALL SELECT 'dim_user_body', CAST(uid AS VARCHAR), 'height=' || CAST(height AS VARCHAR) || ';uid=' || CAST(uid AS VARCHAR)
-       || ';weight=' || CAST(weight AS VARCHAR), 'r' FROM ({AD['user_sup_msg']})""",
+       || ';weight=' || CAST(weight AS VARCHAR), 'r' FROM ({AD['user_sup_msg']})
+UNION ALL SELECT 'dim_user', CAST(id AS VARCHAR), NULL, 'd' FROM ({AD['user_info']}) WHERE id % 61 = 0""",
     "camel_columns": with_(ENRICHED) + """
 SELECT id, birthday, birth_year AS birthYear, age, zodiac_sign AS zodiacSign, age_group AS ageGroup, gender,
        name, login_name AS loginName, user_level AS userLevel, create_time AS createTime, ts_ms AS tsMs FROM users""",
@@ -453,6 +459,7 @@ SELECT json_object('stt', stt, 'edt', edt, 'cur_date', cur_date, 'province_id',
 
 # Streams whose rows equal a batch query's rows share its SQL.
 SQL["stream_profile"] = SQL["running_profile"]
+SQL["stream_page_profile"] = SQL["device_score"]
 SQL["stream_dedup"] = SQL["page_dedup"]
 SQL["stream_interval_join"] = SQL["user_body_join"]
 SQL["stream_upsert"] = SQL["cdc_snapshot"]
@@ -466,3 +473,8 @@ SELECT p.age_group, p.price_interval, CAST(w.weight AS DOUBLE) AS weight FROM (
   WHERE o.total_amount IS NOT NULL) p
 JOIN {PRICE_W} w ON w.price_interval = p.price_interval AND w.age_group = p.age_group"""
 SQL["stream_age_label"] = SQL["age_label_as_run"]
+SQL["stream_watermark_join"] = SQL["user_body_join"]
+SQL["stream_olap_sink"] = f"SELECT id, user_id, total_amount FROM ({AD['order_info']})"
+SQL["stream_text_sink"] = SQL["stream_olap_sink"]
+SQL["stream_dim_enrich"] = SQL["dim_left_join"]
+SQL["query_rows"] = "SELECT CAST(n_nationkey AS VARCHAR) AS dimId, n_name AS dimName, n_regionkey AS parentId FROM nation"

@@ -262,7 +262,7 @@ def _changes(spark, sf):
 def cdc_parse(spark, sf):
     from portrait.sources import cdc
     p = _changes(spark, sf)
-    rid = F.coalesce(cdc.field("id", "bigint"), cdc.field("uid", "bigint"))
+    rid = F.coalesce(cdc.field("id", "bigint"), cdc.field("uid", "bigint"), cdc.field("id", "bigint", "before"))
     ok = ~F.col("_bad")
     return p.select(F.when(ok, F.col("source.table")).alias("tbl"), F.when(ok, F.col("op")).alias("op"),
                     F.when(ok, F.col("ts_ms")).alias("ts_ms"),
@@ -272,18 +272,19 @@ def cdc_parse(spark, sf):
 
 @register
 def cdc_route(spark, sf):
+    """One parse of the log feeds the four projections (a record
+    takes the branch of its table; deletes make no row)."""
     from portrait.sources import cdc
-    ch = cdc.good(_changes(spark, sf))
-    users = enrich_users(cdc.project_user(cdc.route(ch, "user_info")), A.AS_OF)
-    body = cdc.project_body(cdc.route(ch, "user_info_sup_msg"))
-    info = cdc.project_order_info(cdc.route(ch, "order_info"))
-    det = cdc.project_order_detail(cdc.route(ch, "order_detail"))
-    return (users.select(F.lit("user_info").alias("tbl"), "id", F.col("age_group").alias("v"))
-            .unionByName(body.select(F.lit("user_info_sup_msg").alias("tbl"), F.col("uid").alias("id"),
-                                     F.col("height").cast("string").alias("v")))
-            .unionByName(info.select(F.lit("order_info").alias("tbl"), "id", F.col("price_interval").alias("v")))
-            .unionByName(det.select(F.lit("order_detail").alias("tbl"), "id",
-                                    F.col("sku_num").cast("string").alias("v"))))
+    ch = cdc.rows_after(cdc.good(_changes(spark, sf)))
+    tbl = F.col("source.table")
+    age = S.birthday_fields(cdc.field("birthday"), A.AS_OF)["age"]
+    return ch.select(
+        tbl.alias("tbl"),
+        F.when(tbl == "user_info_sup_msg", cdc.field("uid", "bigint")).otherwise(cdc.field("id", "bigint")).alias("id"),
+        F.when(tbl == "user_info", S.age_band(age))
+        .when(tbl == "user_info_sup_msg", cdc.field("height", "int").cast("string"))
+        .when(tbl == "order_info", S.price_band(cdc.field("total_amount", "double")))
+        .when(tbl == "order_detail", cdc.field("sku_num", "int").cast("string")).alias("v"))
 
 
 @register
@@ -301,7 +302,7 @@ def dim_routing(spark, sf):
     from pyspark.sql import types as T
     cfg = const_frame(spark, A.ROUTING_CONFIG, T._parse_datatype_string(cdc.CONFIG_SCHEMA))
     t = Tables(spark, sf)
-    routed = cdc.route_by_config(A.change_log(t.customer, t.orders, t.lineitem), cfg)
+    routed = cdc.route_by_config(A.change_log(t.customer, t.orders, t.lineitem), cfg, source_type="cdc")
     return routed.select("topic", "row_key", cdc.canonical_fields().alias("fields"), "op")
 
 
@@ -385,17 +386,11 @@ def metric_sku(spark, sf):
 
 
 # ---- streams (file source -> stateful/joins -> sink, drained with availableNow) ----
-def _stage(spark, df, name, slice_col, n_slices=3, files=4):
+def _stream(spark, df, name, slice_col, n_slices=3, files=4):
     from portrait.session import scratch_path
-    from portrait.streaming.sources import stage_slices
+    from portrait.streaming.sources import read_stream, stage_slices
     path = scratch_path(spark, f"stage-{name}")
-    stage_slices(df, path, slice_col, n_slices, files)
-    return path, files
-
-
-def _stream(spark, df, name, slice_col, n_slices=3, files=4):
-    from portrait.streaming.sources import read_stream
-    path, per = _stage(spark, df, name, slice_col, n_slices, files)
+    per = stage_slices(df, path, slice_col, n_slices, files)
     return read_stream(spark, "files", path=path, schema=df.schema, max_files_per_trigger=per)
 
 
@@ -415,6 +410,23 @@ def stream_profile(spark, sf):
     return _drain(spark, running_profile_stream(dedup_stream(P.flatten_page_log(raw))), "profile")
 
 
+@register
+def stream_page_profile(spark, sf):
+    """The page-log job as a stream (A1 -> T1 -> A4 -> F11/F12): records
+    de-duplicated within the watermark, 2-minute windows closed by it, running
+    profile and device scores per closed window.  One last record far ahead
+    closes the windows of the finite input."""
+    from portrait.session import scratch_path
+    from portrait.streaming import page_log as PL
+    from portrait.streaming.sinks import run_to_completion
+    log = A.page_log(Tables(spark, sf).events, replay_every=10)
+    raw = _stream(spark, log.unionByName(PL.closing_record(log)), "pagelog-win", "seq")
+    out = scratch_path(spark, "out-page-profile")
+    run_to_completion(PL.closed_windows(raw), sink=PL.profile_sink(scratch_path(spark, "page-state"), out, SC.device_scores),
+                      checkpoint=scratch_path(spark, "ckpt-page-profile"))
+    return spark.read.parquet(out).select("uid", "window_start", "os", "judge_os", *_dbl(*SC.DEVICE_COLS))
+
+
 @register
 def stream_dedup(spark, sf):
     """A1 on a stream (no watermark: state kept, as in the original)."""
@@ -457,7 +469,7 @@ def stream_topic_sink(spark, sf):
     changes = _stream(spark, A.change_log(t.customer, t.orders, t.lineitem), "changes", "ts_ms", 2, 4)
     cfg = const_frame(spark, A.ROUTING_CONFIG, T._parse_datatype_string(cdc.CONFIG_SCHEMA))
     out = scratch_path(spark, "out-topics")
-    q = topic_sink(cdc.route_by_config(changes, cfg), "topic", scratch_path(spark, "ckpt-topics"), path=out,
+    q = topic_sink(cdc.route_by_config(changes, cfg, source_type="cdc"), "topic", scratch_path(spark, "ckpt-topics"), path=out,
                    trigger="availableNow")
     q.awaitTermination()
     return spark.read.parquet(out).select("topic", "row_key", cdc.canonical_fields().alias("fields"), "op")
@@ -496,3 +508,74 @@ def stream_age_label(spark, sf):
     ps = _stream(spark, pages(spark, t), "al-pages", "ts", 2, 2)
     out = AL.age_label(spark, ws, ps, "as_run", HOUR_MS, result_uid=F.col("_page_uid"))
     return _drain(spark, _label_cols(out), "age-label")
+
+
+@register
+def stream_watermark_join(spark, sf):
+    """J1 with event-time columns and a watermark on both sides: the join's
+    state is evicted once no partner can come (T2)."""
+    t = Tables(spark, sf)
+
+    def timed(df, name):
+        return df.withColumn(name, F.timestamp_millis("ts_ms")).withWatermark(name, "3 days")
+
+    users = timed(enrich_users(_stream(spark, A.user_info(t.customer), "wm-users", "ts_ms", 2, 2), A.AS_OF), "_ut")
+    body = timed(_stream(spark, A.user_sup_msg(t.customer), "wm-body", "ts_ms", 2, 2), "_bt")
+    j = J.interval_join(users, body, "id", "uid", "_ut", "_bt", -WO.DAY_MS, WO.DAY_MS, merge="right", time_out="event_time")
+    return _drain(spark, j.withColumn("event_ms", F.unix_millis("event_time")).drop("_ut", "_bt", "event_time"), "wm-ij")
+
+
+def _orders_stream(spark, t, name):
+    return _stream(spark, A.order_info(t.orders).select("id", "user_id", "total_amount", "province_id"), name, "id", 2, 2)
+
+
+@register
+def stream_olap_sink(spark, sf):
+    """Micro-batches as JSON lines, one folder per batch."""
+    from portrait.session import scratch_path
+    from portrait.streaming.sinks import olap_sink, run_to_completion
+    out = scratch_path(spark, "out-olap")
+    orders = _orders_stream(spark, Tables(spark, sf), "olap")
+    run_to_completion(orders, sink=olap_sink(out), checkpoint=scratch_path(spark, "ckpt-olap"))
+    return spark.read.schema(orders.schema).json(out).select("id", "user_id", "total_amount")
+
+
+@register
+def stream_text_sink(spark, sf):
+    """One JSON text line per row."""
+    from portrait.session import scratch_path
+    from portrait.streaming.sinks import text_sink
+    out = scratch_path(spark, "out-text")
+    orders = _orders_stream(spark, Tables(spark, sf), "text")
+    text_sink(orders, out, scratch_path(spark, "ckpt-text"), trigger="availableNow").awaitTermination()
+    row = F.from_json("value", orders.schema)
+    return spark.read.text(out).select(row.alias("r")).select("r.id", "r.user_id", "r.total_amount")
+
+
+@register
+def stream_dim_enrich(spark, sf):
+    """Each micro-batch meets the current snapshot of a
+    dimension that is loaded again when older than its time to live."""
+    from portrait.operators.dims import DimSpec, RefreshingDim, enrich_batches
+    from portrait.session import scratch_path
+    from portrait.streaming.sinks import olap_sink, run_to_completion
+    t = Tables(spark, sf)
+    out = scratch_path(spark, "out-dims")
+    provinces = RefreshingDim(lambda s: _provinces(Tables(s, sf)), ttl_seconds=0)  # every batch
+    sink = enrich_batches([DimSpec("province", "province_id", {"name": "province_name"})], {"province": provinces}, olap_sink(out, "parquet"))
+    run_to_completion(_orders_stream(spark, t, "dims"), sink=sink, checkpoint=scratch_path(spark, "ckpt-dims"))
+    return spark.read.parquet(out).select("id", "province_id", "province_name")
+
+
+@register
+def query_rows(spark, sf):
+    """A query's rows, its labels in camel case (the reader is any
+    DataFrame here; with a database it is the JDBC source)."""
+    from portrait.sources import jdbc
+    t = Tables(spark, sf)
+
+    def reader():
+        t.nation.createOrReplaceTempView("query_rows_nation")
+        return spark.sql("SELECT CAST(n_nationkey AS STRING) AS dim_id, n_name AS dim_name, n_regionkey AS parent_id FROM query_rows_nation")
+
+    return jdbc.read_query(spark, "", "", reader=reader, underline_to_camel=True)

@@ -111,9 +111,11 @@ def line_id() -> Column:
 def order_detail_log(lineitem: DataFrame) -> DataFrame:
     """Order lines as delivered: every fifth twice, and for every seventh an
     earlier version with a tenth of the amounts; ``pos`` is the log position."""
-    now = order_detail(lineitem).withColumn("pos", F.lit(1))
-    old = now.where("id % 7 = 0").withColumn("pos", F.lit(0)).withColumn("original_cents", F.floor(F.col("original_cents") / 10))
-    return now.unionByName(now.where("id % 5 = 0")).unionByName(old)
+    now, old = F.struct(F.lit(1).alias("pos"), F.lit(1).alias("part")), F.struct(F.lit(0).alias("pos"), F.lit(10).alias("part"))
+    versions = F.array(now, F.when(F.col("id") % 5 == 0, now), F.when(F.col("id") % 7 == 0, old))
+    lines = order_detail(lineitem)
+    each = lines.withColumn("_v", F.explode(F.filter(versions, lambda v: v.isNotNull())))
+    return each.select(*[F.floor(F.col(c) / F.col("_v.part")).alias(c) if c == "original_cents" else c for c in lines.columns], F.col("_v.pos").alias("pos"))
 
 
 def order_detail(lineitem: DataFrame) -> DataFrame:
@@ -322,19 +324,26 @@ HOUR_MS = 3_600_000
 
 
 def change_log(customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Snapshot change records (op 'r') of the four source tables."""
-    from portrait.sources.cdc import to_change_records
-    return (to_change_records(user_info(customer), "user_info")
+    """Snapshot change records (op 'r') of the four source tables, and a
+    delete for every 61st user (no ``after``)."""
+    from portrait.sources.cdc import to_change_records, to_delete_records
+    gone = to_delete_records(user_info(customer).where("id % 61 = 0"), "user_info", "id")
+    return (gone.unionByName(to_change_records(user_info(customer), "user_info"))
             .unionByName(to_change_records(user_sup_msg(customer), "user_info_sup_msg"))
             .unionByName(to_change_records(order_info(orders), "order_info"))
             .unionByName(to_change_records(order_detail(lineitem), "order_detail")))
 
 
 def change_log_text(customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """The same records as JSON text (``value``), plus malformed lines."""
+    """The same records as JSON text (``value``), plus broken ones: cut off,
+    with a text for ``ts_ms``, with a text for ``after``, without ``after``."""
     from portrait.sources.cdc import to_json_value
-    bad = (customer.filter(F.col("c_custkey") % BAD_EVERY == 0)
-           .select(F.concat(F.lit('{"op":"r","after":{"id":"'), F.col("c_custkey").cast("string")).alias("value")))
+    k = F.col("c_custkey")
+    head = F.concat(F.lit('{"op":"r","source":{"db":"shop","table":"user_info"},"ts_ms":'), k.cast("string"))
+    bad = customer.filter(k % BAD_EVERY == 0).select(
+        F.when(k % 4 == 0, F.concat(F.lit('{"op":"r","after":{"id":"'), k.cast("string")))
+        .when(k % 4 == 1, F.lit('{"op":"r","source":{"db":"shop","table":"user_info"},"ts_ms":"x","after":{"id":"1"}}'))
+        .when(k % 4 == 2, F.concat(head, F.lit(',"after":"oops"}'))).otherwise(F.concat(head, F.lit("}"))).alias("value"))
     return to_json_value(change_log(customer, orders, lineitem)).unionByName(bad)
 
 
@@ -344,40 +353,50 @@ ORDER_CHANGE_COLS = ["id", "user_id", "order_status", "total_amount", "consignee
 def order_change_history(orders: DataFrame) -> DataFrame:
     """Envelopes of order_info over time: create; for id % 3 == 0 an update
     (status '1002', consignee empty = no change); for id % 10 == 3 a delete;
-    for id % 20 == 3 a re-insert with only id, user_id and status 'R'; and
-    for id % 7 == 0 the create delivered twice.  One scan: every order
+    for id % 20 == 3 a re-insert with only id, user_id and status 'R'; for
+    id % 20 == 7 a delete and a re-insert, for id % 15 == 4 two updates, in
+    one millisecond; and for id % 7 == 0 the create delivered twice.  One scan: every order
     yields an array of its versions, exploded."""
     from portrait.sources.cdc import ENVELOPE, as_string_map
     o = order_info(orders).select(
         "id", "user_id", "order_status", F.col("total_amount").cast("string").alias("total_amount"),
         F.concat(F.lit("c"), F.col("user_id").cast("string")).alias("consignee"),
         F.col("province_id").cast("string").alias("province_id"), "ts_ms")
-    src = F.struct(F.lit("shop").alias("db"), F.lit("order_info").alias("table"))
     none = F.lit(None).cast(ENVELOPE["before"].dataType)
     full = as_string_map(ORDER_CHANGE_COLS)
     ts, k = F.col("ts_ms"), F.col("id")
 
-    def version(op, before, after, t):
+    def version(pos, op, before, after, t):
+        src = F.struct(F.lit("shop").alias("db"), F.lit("order_info").alias("table"), F.lit(pos).cast("long").alias("pos"))
         return F.struct(F.lit(op).alias("op"), before.alias("before"), after.alias("after"),
                         src.alias("source"), t.alias("ts_ms"))
 
+    def only(status, consignee=None):
+        some = [F.lit("id"), k.cast("string"), F.lit("user_id"), F.col("user_id").cast("string"), F.lit("order_status"), F.lit(status)]
+        return F.create_map(*some, *([F.lit("consignee"), F.lit(consignee)] if consignee else []))
+
     upd_after = F.map_concat(F.map_filter(full, lambda key, v: ~key.isin("order_status", "consignee")),
                              F.create_map(F.lit("order_status"), F.lit("1002"), F.lit("consignee"), F.lit("")))
-    again_after = F.create_map(F.lit("id"), k.cast("string"), F.lit("user_id"), F.col("user_id").cast("string"),
-                               F.lit("order_status"), F.lit("R"))
-    create = version("c", none, full, ts)
+    create = version(1, "c", none, full, ts)
     versions = F.array(
         create,
-        F.when(k % 3 == 0, version("u", full, upd_after, ts + HOUR_MS)),
-        F.when(k % 10 == 3, version("d", full, none, ts + 2 * HOUR_MS)),
-        F.when(k % 20 == 3, version("c", none, again_after, ts + 3 * HOUR_MS)),
+        F.when(k % 3 == 0, version(2, "u", full, upd_after, ts + HOUR_MS)),
+        F.when(k % 10 == 3, version(3, "d", full, none, ts + 2 * HOUR_MS)),
+        F.when(k % 20 == 3, version(4, "c", none, only("R"), ts + 3 * HOUR_MS)),
+        # one millisecond: delete then insert again, and two updates
+        F.when(k % 20 == 7, version(5, "d", full, none, ts + 4 * HOUR_MS)),
+        F.when(k % 20 == 7, version(6, "c", none, only("Q"), ts + 4 * HOUR_MS)),
+        F.when(k % 15 == 4, version(7, "u", full, only("zzz", "zzz"), ts + 5 * HOUR_MS)),
+        F.when(k % 15 == 4, version(8, "u", full, only("aaa", "aaa"), ts + 5 * HOUR_MS)),
         F.when(k % 7 == 0, create))
     return (o.select(F.explode(versions).alias("_v")).filter(F.col("_v").isNotNull())
             .select("_v.op", "_v.before", "_v.after", "_v.source", "_v.ts_ms"))
 
 
-ROUTING_CONFIG = [  # source_table, sink_table, sink_columns, sink_row_key, op
-    ("user_info", "dim_user", "id,name,gender,user_level", "id", "r"),
-    ("order_info", "dim_order", "id,user_id,order_status", "id", "r"),
-    ("user_info_sup_msg", "dim_user_body", "uid,height,weight", "uid", "r"),
+ROUTING_CONFIG = [  # source_table, source_type, sink_table, sink_columns, sink_row_key, op
+    ("user_info", "cdc", "dim_user", "id,name,gender,user_level", "id", "r,d"),
+    ("order_info", None, "dim_order", "id,user_id,order_status", "id", None),
+    ("user_info_sup_msg", "cdc", "dim_user_body", "uid,height,weight", "uid", "c,r"),
+    ("order_detail", "cdc", "dim_line", "id,sku_id", "id", "u"),
+    ("order_info", "file", "dim_never", "id", "id", None),
 ]

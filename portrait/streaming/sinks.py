@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from portrait.sources import cdc
+from portrait.streaming.state_table import StateTable
 
 
 def run_stream(df: DataFrame, *, sink: str | Callable = "parquet", path: str | None = None,
@@ -99,53 +100,28 @@ def olap_sink(path: str, fmt: str = "json") -> Callable[[DataFrame, int], None]:
     return write
 
 
-def upsert_sink(state_path: str, key: str, columns: list[str],
-                order: tuple[str, ...] = ("ts_ms",)) -> Callable[[DataFrame, int], None]:
+def upsert_sink(state_path: str, key: str, columns: list[str], order: tuple[str, ...] = cdc.ORDER,
+                buckets: int = 64, keep: int = 3) -> Callable[[DataFrame, int], None]:
     """S9 as a ``foreachBatch`` function over change records: the batch is
-    folded into per-key change state and merged with the stored state
-    (exact, see ``cdc.change_state``); the merged state is written as a new
-    version ``state_path/v=<batch_id>`` (retries overwrite the same
-    version).  ``read_upsert_snapshot`` shows the latest version.  A table
-    format with MERGE (Delta, Iceberg) would rewrite only touched files;
-    none is on this image's classpath."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = cdc.change_state(batch, key, columns, order)
-        prev = _latest_version(state_path, below=batch_id, spark=spark)
-        if prev is not None:
-            new = cdc.merge_change_states(spark.read.parquet(prev), new, key)
-        new.write.mode("overwrite").parquet(os.path.join(state_path, f"v={batch_id:012d}"))
-    return write
+    folded into per-key change state and merged (exactly, see
+    ``cdc.change_state``) with the stored state of the buckets that its keys
+    fall into; other buckets are not touched (``StateTable``).
+    ``read_upsert_snapshot`` shows the latest version."""
+    state = StateTable(state_path, key, buckets, keep)
 
+    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        return new if old is None else cdc.merge_change_states(old, new, key)
 
-def _latest_version(state_path: str, below: int | None = None, spark=None) -> str | None:
-    """Newest complete version folder, listed through Hadoop's FileSystem
-    (works on HDFS/S3/local alike)."""
-    from pyspark.sql import SparkSession
-    spark = spark or SparkSession.getActiveSession()
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(state_path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    best = None
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if not name.startswith("v="):
-            continue
-        n = int(name[2:])
-        if below is not None and n >= below:
-            continue
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")) and (best is None or n > best[0]):
-            best = (n, name)
-    return os.path.join(state_path, best[1]) if best else None
+    def write(batch: DataFrame, batch_id: int) -> None:
+        state.update(batch_id, cdc.change_state(batch, key, columns, order), merge)
+    return write
 
 
 def read_upsert_snapshot(spark, state_path: str, key: str) -> DataFrame:
-    v = _latest_version(state_path, spark=spark)
-    if v is None:
+    state = StateTable(state_path, key).read(spark)
+    if state is None:
         raise FileNotFoundError(state_path)
-    return cdc.state_to_snapshot(spark.read.parquet(v), key)
+    return cdc.state_to_snapshot(state, key)
 
 
 def console_sink(df: DataFrame, checkpoint: str, **kw) -> StreamingQuery:

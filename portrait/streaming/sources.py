@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portrait.session import materialize
+
 
 def read_stream(spark: SparkSession, kind: str = "files", *, path: str | None = None,
                 topic: str | None = None, servers: str | None = None, schema=None,
@@ -37,19 +39,26 @@ def read_stream(spark: SparkSession, kind: str = "files", *, path: str | None =
     raise ValueError(f"unknown source kind {kind!r}")
 
 
-def stage_slices(df: DataFrame, path: str, slice_col: str, n_slices: int, files_per_slice: int) -> None:
+#: Bytes of rows (by the schema's default width) for one staged file.
+STAGE_FILE_BYTES = 128 * 1024 * 1024
+
+
+def stage_slices(df: DataFrame, path: str, slice_col: str, n_slices: int, least_files: int = 2) -> int:
     """Write ``df`` as ``n_slices`` consecutive arrivals (slice i of
-    ``slice_col``'s range after slice i-1), each as ``files_per_slice``
-    files, so a file stream read with ``maxFilesPerTrigger =
-    files_per_slice`` sees them as successive micro-batches.  Every slice
-    is written by a parallel job (round-robin files, no single task)."""
-    lo_hi = df.agg(F.min(slice_col), F.max(slice_col)).first()
-    lo, hi = lo_hi[0], lo_hi[1]
+    ``slice_col``'s range after slice i-1) and return the files of each, so
+    that a file stream read with ``maxFilesPerTrigger`` of that many sees them
+    as successive micro-batches.  The source is computed once (checkpoint);
+    the number of files, and so of writing tasks, follows its size."""
+    df = materialize(df)
+    rows = df.count()
+    width = df._jdf.schema().defaultSize()
+    files = max(least_files, -(-rows * width // (n_slices * STAGE_FILE_BYTES)))
+    lo, hi = df.agg(F.min(slice_col), F.max(slice_col)).first()
     if lo is None:
         df.limit(0).write.mode("append").parquet(path)
-        return
+        return files
     width = (hi - lo) // n_slices + 1
     s = F.floor((F.col(slice_col) - F.lit(lo)) / F.lit(width))
     for i in range(n_slices):
-        (df.filter(s == i).repartition(files_per_slice)
-         .write.mode("append").parquet(path))
+        df.filter(s == i).repartition(files).write.mode("append").parquet(path)
+    return files

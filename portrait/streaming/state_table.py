@@ -1,0 +1,92 @@
+"""Keyed state kept between micro-batches as files, for ``foreachBatch``.
+
+State is dealt into buckets by a hash of its key.  A micro-batch reads and
+rewrites only the buckets that its keys fall into; a manifest per version
+names the version that holds each bucket, so all others stay as they are.  A
+retried batch reads the version before it and overwrites its own.  The last
+``keep`` versions stay readable; what only older ones name is deleted.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BUCKET = "_bucket"
+
+
+class StateTable:
+    """``buckets`` is fixed for the life of the table; a bucket is rewritten
+    by one task, so take as many as keep one within a task's memory."""
+
+    def __init__(self, path: str, key: str, buckets: int = 64, keep: int = 3):
+        self.path, self.key, self.buckets, self.keep = path, key, buckets, keep
+
+    def bucket(self):
+        return F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.buckets)).cast("int")
+
+    def manifest(self, spark: SparkSession, below: int | None = None) -> dict[int, int]:
+        """bucket -> version that holds it, as of the newest version."""
+        last = max((v for v in self._versions(spark) if below is None or v < below), default=None)
+        if last is None:
+            return {}
+        rows = spark.read.schema("bucket int, version long").parquet(f"{self.path}/manifest/v={last}").collect()
+        return {r["bucket"]: r["version"] for r in rows}  # at most ``buckets`` rows
+
+    def read(self, spark: SparkSession, buckets: list[int] | None = None, below: int | None = None) -> DataFrame | None:
+        """The state (of some buckets), or None where there is none."""
+        held = self.manifest(spark, below)
+        paths = [f"{self.path}/data/v={v}/{BUCKET}={b}" for b, v in sorted(held.items()) if buckets is None or b in buckets]
+        return spark.read.parquet(*paths) if paths else None
+
+    def update(self, batch_id: int, new: DataFrame, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> DataFrame | None:
+        """Rewrites the buckets of ``new``'s keys with ``merge(old, new)``;
+        returns the state of these buckets before the batch."""
+        spark = new.sparkSession
+        touched = [r[0] for r in new.select(self.bucket().alias("b")).distinct().collect()]  # at most ``buckets``
+        old = self.read(spark, touched, below=batch_id) if touched else None
+        held = self.manifest(spark, below=batch_id)
+        if touched:
+            merge(old, new).withColumn(BUCKET, self.bucket()).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/v={batch_id}")
+            held |= dict.fromkeys(touched, batch_id)
+        rows = ", ".join(f"({b}, {v})" for b, v in held.items())
+        table = spark.sql(f"SELECT CAST(col1 AS INT) AS bucket, CAST(col2 AS BIGINT) AS version FROM VALUES {rows}") if held else spark.sql("SELECT 0 AS bucket, 0L AS version WHERE false")
+        table.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/v={batch_id}")
+        self._clean(spark)
+        return old
+
+    def _fs(self, spark: SparkSession):
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        return path(self.path).getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+    def _versions(self, spark: SparkSession, of: str = "manifest") -> list[int]:
+        """Versions of complete writes, listed through Hadoop's FileSystem."""
+        fs, path = self._fs(spark)
+        root = path(f"{self.path}/{of}")
+        if not fs.exists(root):
+            return []
+        names = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("v=")]
+        return sorted(int(p.getName()[2:]) for p in names if of == "data" or fs.exists(path(p, "_SUCCESS")))
+
+    def _clean(self, spark: SparkSession) -> None:
+        versions = self._versions(spark)
+        kept = versions[-self.keep:]
+        named = {(b, v) for k in kept for b, v in self.manifest(spark, below=k + 1).items()}
+        fs, path = self._fs(spark)
+        for v in versions[:-self.keep]:
+            fs.delete(path(f"{self.path}/manifest/v={v}"), True)
+        for v in self._versions(spark, "data"):
+            if kept and v < kept[0] or v in kept:
+                folder = path(f"{self.path}/data/v={v}")
+                left = 0
+                for s in fs.listStatus(folder):
+                    name = s.getPath().getName()
+                    if name.startswith(f"{BUCKET}="):
+                        if (int(name[len(BUCKET) + 1:]), v) in named:
+                            left += 1
+                        else:
+                            fs.delete(s.getPath(), True)
+                if not left:
+                    fs.delete(folder, True)

@@ -5,9 +5,10 @@ import pytest
 
 import __spark_entry__ as E
 from oracle_harness import compare, duck
+from portrait.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-FAST = [n for n in E.queries() if not n.startswith("stream_")]
+FAST = [n for n in REGISTRY if not n.startswith("stream_")]
 
 
 def test_entry_smoke(spark):
@@ -17,7 +18,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_sql():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(REGISTRY) - set(E.oracle_sql())
     assert not missing, missing
 
 
@@ -28,5 +29,5 @@ def con():
 
 @pytest.mark.parametrize("name", FAST)
 def test_query_matches_oracle(spark, con, name):
-    r = compare(E.queries()[name](spark, SF), con, E.oracle_sql()[name])
+    r = compare(REGISTRY[name](spark, SF), con, E.oracle_sql()[name])
     assert r["schema_ok"] and r["values_ok"] and r["spark_rows"] == r["oracle_rows"], r

@@ -36,3 +36,34 @@ def test_reduce_by_window(spark):
     df = spark.createDataFrame([("u", 1000, 1.0), ("u", 2000, 2.0), ("u", 200_000, 5.0)], "uid string, ts long, v double")
     out = sorted(map(tuple, reduce_by_window(df, "uid", "ts", 120_000, F.sum("v").alias("s")).collect()))
     assert out == [("u", 0, 3.0), ("u", 120_000, 5.0)]
+
+
+def test_state_table_rewrites_touched_buckets_only(spark):
+    from portrait.streaming.state_table import StateTable
+
+    path = tempfile.mkdtemp(prefix="portrait-state-")
+    state = StateTable(path, "k", buckets=4, keep=2)
+
+    def merge(old, new):
+        rows = new if old is None else old.unionByName(new)
+        return rows.groupBy("k").agg(F.sum("n").alias("n"))
+
+    frame = lambda rows: spark.createDataFrame(rows, "k string, n long")
+    state.update(0, frame([(str(i), 1) for i in range(50)]), merge)
+    first = state.manifest(spark)
+    assert set(first) == {0, 1, 2, 3}
+    state.update(1, frame([("7", 10)]), merge)
+    state.update(1, frame([("7", 10)]), merge)  # a retried batch counts once
+    second = state.manifest(spark)
+    touched = [b for b in first if second[b] == 1]
+    assert len(touched) == 1 and all(second[b] == 0 for b in first if b not in touched)
+    assert [d for d in os.listdir(os.path.join(path, "data", "v=1")) if d.startswith("_bucket")] == [f"_bucket={touched[0]}"]
+    rows = {r.k: r.n for r in state.read(spark).collect()}
+    assert len(rows) == 50 and rows["7"] == 11 and rows["8"] == 1
+    for v in (2, 3, 4):
+        state.update(v, frame([("7", 1)]), merge)
+    assert state._versions(spark) == [3, 4]
+    assert sorted(map(int, (d[2:] for d in os.listdir(os.path.join(path, "data"))))) == [0, 3, 4]
+    assert {r.k: r.n for r in state.read(spark).collect()}["7"] == 14
+    state.update(5, frame([]), merge)  # an empty batch changes nothing
+    assert state.read(spark).count() == 50
