@@ -18,6 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 from portrait.sources import cdc
 from portrait.streaming.state_table import StateTable
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def run_stream(df: DataFrame, *, sink: str | Callable = "parquet", path: str | None = None,
                checkpoint: str, output_mode: str = "append", trigger: str = "availableNow",
@@ -28,18 +30,21 @@ def run_stream(df: DataFrame, *, sink: str | Callable = "parquet", path: str | N
     ``'availableNow'`` (drain and stop) or a processing-time interval like
     ``'5 seconds'`` (the original checkpointed every 5 s).
 
+    State is kept in RocksDB (on disk, beside the heap).
     ``state_partitions`` sizes the shuffles and state stores of the stream
     (fixed for the life of its checkpoint); default: the cluster's
     parallelism rather than the batch setting."""
     spark = df.sparkSession
     n = state_partitions or spark.sparkContext.defaultParallelism
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+    wanted = {"spark.sql.shuffle.partitions": str(n), "spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    old = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         return _start(df, sink, path, checkpoint, output_mode, trigger, partition_by, options, query_name)
-    finally:  # the stream copied the session conf when it started
-        spark.conf.set(key, old)
+    finally:  # the stream copied the session's settings when it started
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def _start(df, sink, path, checkpoint, output_mode, trigger, partition_by, options, query_name):

@@ -30,7 +30,6 @@ try:
 except Exception:  # pragma: no cover - older cloudpickle
     pass
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FIELDS = SET_FIELDS + ["search_item"]
 PROFILE_OUT = ("uid string, ts bigint, seq bigint, pv bigint, os string, ch string, md string, "
                "ba string, search_item string")
@@ -68,10 +67,8 @@ class RunningProfile(StatefulProcessor):
 
 
 def running_profile_stream(flat: DataFrame) -> DataFrame:
-    """T1 over a flattened, de-duplicated page-log stream."""
-    spark = flat.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """T1 over a flattened, de-duplicated page-log stream.  Start it with
+    ``sinks.run_stream``, which keeps state in RocksDB as this needs."""
     base = flat.select("uid", "ts", "seq", *[F.col(f"deviceInfo.{f}").alias(f) for f in SET_FIELDS],
                        "search_item")
     return base.groupBy("uid").transformWithStateInPandas(
