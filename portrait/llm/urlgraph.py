@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portrait.llm.common import cut, lower_ascii, table
+from portrait.llm.common import cut, lower_ascii, table, written
 
 #: Rules are a parameter, compared with every url; more of them are refused.
 MAX_RULES = 2_000
@@ -113,7 +113,9 @@ def judge_urls(pages: DataFrame, rules: list[UrlRule], id_col: str = "page_id",
     share = lambda verdict: F.avg((F.coalesce(F.col("fit.verdict"), F.lit("")) == verdict).cast("double"))
     seeds = ruled.where("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust"))
     scores = propagate(cut(seeds), cut(host_links(pages, url_col, html_col)), damping, turns)
-    blocked = scores.where(F.col("distrust") - F.col("trust") > threshold).select("host", F.lit(True).alias("bad"))
+    # written: where both sides of the join are plain reads, Spark can split the
+    # pages of one large host (or broadcast the blocked hosts, if they are few)
+    blocked = written(scores.where(F.col("distrust") - F.col("trust") > threshold).select("host", F.lit(True).alias("bad")))
     met = ruled.join(blocked, "host", "left")
     verdict = F.coalesce(F.col("fit.verdict"), F.when(F.col("bad"), "block").otherwise("allow"))
     return met.select(id_col, "host", "path", F.col("fit.text").alias("rule"), verdict.alias("verdict"))
