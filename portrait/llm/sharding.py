@@ -16,8 +16,8 @@ Ranks are two-level: rows are counted by (key, bucket of a hash), the counts
 (a table of bounded size) give each bucket's offset, and rows are numbered
 inside their bucket, so no task sorts all rows of a shard.  A group is known
 by its texts' hashes and is joined, not collected; a group that holds a third
-of the rows is counted by partial aggregation and its join is split by Spark
-(skewed joins).
+of the rows is counted by partial aggregation and its members meet its aims in
+parts.
 
 Defined cases: null texts are no group and have size 16; empty texts are
 equal texts; repeated ids are rows of their own; fewer rows than shards leave
@@ -30,10 +30,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from portrait.llm.common import cut, table
+from portrait.llm.common import cut, table, written
 
 #: Buckets of a two-level rank for each key.
 BUCKETS = 128
+#: Members of a group that are joined with its aims in one part.
+PART_ROWS = 500
 
 
 def nodes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -108,11 +110,15 @@ def propagate(linked: DataFrame, quotas: list[int], turns: int) -> DataFrame:
         before = F.coalesce(F.sum(F.col("n") + F.col("free")).over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         first = places.withColumn("free", free).withColumn("place", F.row_number().over(turn)).withColumn("before", before)
         chosen = first.where((F.col("place") == 1) | ((F.col("members") > average) & (F.col("before") < F.col("members"))))
-        aims = chosen.groupBy("g").agg(F.collect_list("shard").alias("aims"), F.collect_list(F.when(F.col("free") > 0, F.col("shard"))).alias("with_room"))
+        aims = chosen.groupBy("g").agg(F.collect_list("shard").alias("aims"), F.collect_list(F.when(F.col("free") > 0, F.col("shard"))).alias("with_room"), F.first("members").alias("members"))
         ask = F.when(F.size("with_room") > 0, F.col("with_room")).otherwise(F.col("aims"))
         aim = F.element_at(ask, (F.pmod(F.xxhash64(F.lit(3), "rid"), F.size(ask)) + 1).cast("int"))
         stays = F.array_contains("aims", F.col("shard"))
-        asked = cut(linked.join(aims, "g").withColumn("to", F.when(stays, F.col("shard")).otherwise(aim)).drop("aims", "with_room"))
+        # a large group's members are dealt over parts of PART_ROWS, its aims go to each
+        parts = F.ceil(F.col("members") / PART_ROWS).cast("int")
+        spread = aims.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("members")
+        dealt = linked.withColumn("part", F.pmod(F.xxhash64(F.lit(5), "rid"), parts).cast("int"))
+        asked = cut(dealt.join(spread, ["g", "part"]).withColumn("to", F.when(stays, F.col("shard")).otherwise(aim)).drop("aims", "with_room", "part"))
         wishes = {(r["shard"], r["to"]): r["n"] for r in asked.where("shard <> to").groupBy("shard", "to").agg(F.count("*").alias("n")).collect()}
         granted = grant(wishes, room)
         if not granted:
@@ -130,7 +136,8 @@ def assign(docs: DataFrame, shards: int = 40, turns: int = 8, id_col: str = "doc
     total = rows.count()
     quotas = [total // shards + (j < total % shards) for j in range(shards)]
     groups = rows.where("g IS NOT NULL").groupBy("g").agg(F.count("*").alias("members")).where("members > 1")
-    met = cut(rows.join(groups, "g", "left").select("rid", "id", "size", "text_crc32", "g", "members"))
+    # written: where both sides are plain reads, Spark can split one large group
+    met = cut(rows.join(written(groups), "g", "left").select("rid", "id", "size", "text_crc32", "g", "members"))
     linked, single = met.where("members IS NOT NULL"), met.where("members IS NULL")
     start = ranked(linked.withColumn("_all", F.lit(0)), ["_all"]).withColumn("shard", (F.col("rank") % shards).cast("int"))
     linked = propagate(cut(start.drop("_all", "rank")), quotas, turns)
