@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portrait.llm.common import cut, table
+from portrait.llm.common import cut, table, written
 
 # SPDX names and sentences of the licences' usual notices.
 TEMPLATES = (
@@ -141,7 +141,8 @@ def scan_licenses(docs: DataFrame, threshold: float = 0.7, id_col: str = "doc_id
     files = met.where("own_license IS NOT NULL AND dir IS NOT NULL").where(F.rlike("path", F.lit(FILE_NAME)) | (2 * F.col("note_words") >= F.col("words")))
     found = directory_licenses(files.select("dir", F.col("own_license").alias("license"), F.col("own_score").alias("score")),
                                met.where("dir IS NOT NULL").select("dir").distinct())
-    out = met.join(found, "dir", "left")
+    # written: where both sides are plain reads, Spark can split one large directory
+    out = met.join(written(found), "dir", "left")
     inherits = F.col("own_license").isNull()
     return out.select("id", "path", "own_license", "own_score", F.coalesce("own_license", "license").alias("license"), F.when(inherits, F.col("inherited_from")).alias("inherited_from"))
 
