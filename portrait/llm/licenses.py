@@ -5,18 +5,29 @@ A segment (a line's sentence) of a document that holds a cue word ("license",
 are one row, counted; each is a sparse TF-IDF vector over its words, with
 document frequencies counted over all candidate segments and the templates.
 Its licence is the template sentence with the largest cosine, if that reaches
-``threshold``.  A document's own licence is that of its best segment.
+``threshold``.
 
-A licence file (named like LICENSE or COPYING, or made of licence segments
-for at least half of its words) licenses its directory.  A document without a
+What spans lines is compared too: the whole text of a document with a cue,
+its comment blocks, its paragraphs and their sentences (``passages``) against
+the licences' full texts and file headers (``license_texts``), those of more
+than one line also against the template sentences.  Here document frequencies
+are counted over these fixed texts alone, so a score does not depend on how
+many documents carry the same licence.  A document's own licence is that of
+its whole text where that is like a full text, else of its best segment or
+passage.
+
+A licence file (named like LICENSE or COPYING, made of licence segments for at
+least half of its words, or with a whole text that reaches ``threshold``)
+licenses its directory.  A document without a
 licence of its own inherits from the nearest ancestor directory that has one,
 by a join of the distinct directories' ancestor paths with the licensed
 directories.
 
 All steps are DataFrame operations: regular expressions, explode, partial
 aggregations and joins.  Texts are read once and not shuffled; only texts
-with a cue are split.  The templates are a small fixed table (its size does
-not depend on the data), the only broadcast that is asked for.
+with a cue are split, written and counted by words.  The templates are small
+fixed tables (their size does not depend on the data), the only broadcasts
+that are asked for.
 
 Defined cases: null and empty texts have no segments; null paths lie in no
 directory (no inheritance, but a licence of their own counts); repeated ids
@@ -27,7 +38,10 @@ ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portrait.llm.common import cut, table, written
@@ -63,6 +77,12 @@ CUE = r"(?i)licen[sc]e|copyright|redistribut|permission is hereby|public domain|
 SENTENCE = r"\n|(?<=[.!?;])[\x20\t]+(?=[A-Z])"
 WORDS = r"[a-z0-9]+(?:[.][0-9]+)*"
 FILE_NAME = r"(?i)(?:^|/)(?:licen[sc]e|copying|notice)(?:[.-][^/]*)?$"
+#: Marks around a block comment, and a run of lines that all begin as comments.
+BLOCK_MARK = r"/\*|\*/|<!--|-->|\"{3}|'{3}"
+COMMENT_RUN = r"(?md)(?:^[\x20\t]*(?:/[/*]|\*|#|--|;|%)[^\n]*+(?:\n|\z))++"
+#: Between paragraphs: a line without a letter or digit.
+BLANK = r"\n[^\p{L}\p{N}\n]*(?=\n)"
+WRAPPED = r"(?<=[.!?;])\s+(?=[A-Z])"
 
 
 def word_counts(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -72,15 +92,63 @@ def word_counts(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def segments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "path") -> DataFrame:
-    """(rid, id, path, words, notes): one row a document; ``notes`` are its
-    segments with a cue, lower-cased and with white space runs as one space."""
+    """(rid, id, path, words, notes, text): one row a document; ``notes`` are
+    its segments with a cue, lower-cased and with white space runs as one
+    space; the text is kept where it has a cue."""
     text = F.col(text_col)
     parts = F.filter(F.split(text, SENTENCE), lambda s: F.rlike(s, F.lit(CUE)))
     notes = F.transform(parts, lambda s: F.trim(F.regexp_replace(F.lower(s), r"\s+", " ")))
     has = F.coalesce(F.rlike(text, F.lit(CUE)), F.lit(False))
     words = F.when(has, F.size(F.split(F.trim(text), r"\s+")))
     return docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), F.col(path_col).alias("path"), words.alias("words"),
-                       F.when(has, notes).otherwise(F.array().cast("array<string>")).alias("notes"))
+                       F.when(has, notes).otherwise(F.array().cast("array<string>")).alias("notes"), F.when(has, text).alias("text"))
+
+
+def passages(text: Column) -> Column:
+    """The distinct parts of a text that may be a header: the text itself
+    (always the first), its comment blocks, the paragraphs of all these and
+    their sentences; without a cue they are left out."""
+    wholes = F.concat(F.array(text), F.split(text, BLOCK_MARK), F.regexp_extract_all(text, F.lit(COMMENT_RUN), F.lit(0)))
+    parts = F.flatten(F.transform(F.filter(F.array_distinct(wholes), lambda s: F.rlike(s, F.lit(CUE))), lambda s: F.concat(F.array(s), F.split(s, BLANK))))
+    some = F.array_distinct(F.filter(parts, lambda s: F.rlike(s, F.lit(CUE))))
+    sentences = F.filter(F.flatten(F.transform(some, lambda s: F.split(s, WRAPPED))), lambda s: F.contains(F.trim(s), F.lit("\n")) & F.rlike(s, F.lit(CUE)))
+    return F.array_distinct(F.concat(some, sentences))
+
+
+def full_texts() -> list[tuple[str, str, bool]]:
+    """(license, text, whether it is a header) of the fixed full texts and file headers."""
+    files = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    return [(re.sub(r"(?:\.header.*)?\.txt$", "", f.name), f.read_text(encoding="utf-8"), ".header" in f.name) for f in files]
+
+
+def passage_licenses(rows: DataFrame, threshold: float, templates=TEMPLATES) -> DataFrame:
+    """``rows``: (rid, text).  (rid, license, score, whole, full) of the
+    passages whose best cosine reaches ``threshold``; ``whole``: the passage is
+    the whole text, ``full``: it is that and like a licence's full text."""
+    full = full_texts()
+    known = [*((name, text) for name, text, _ in full), *templates]
+    n, few, header = len(known), len(full), [h for _, _, h in full]
+    listed = F.explode(F.array(*[F.struct(F.lit(i).alias("template"), F.lit(t).alias("sentence")) for i, (_, t) in enumerate(known)])).alias("t")
+    counts = cut(word_counts(rows.sparkSession.range(1).select(listed).select("t.*"), "template", "sentence"))
+    of_word = counts.groupBy("word").agg(F.count("*").alias("df"), F.map_from_entries(F.collect_list(F.struct("template", "tf"))).alias("tfs"))
+    rare = F.log(F.lit(1.0 + n)) + 1.0  # of a word of no template
+    idf = F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("df"))) + 1.0
+    weight = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(F.col("tfs")[i], F.lit(0)) * F.col("idf"))
+    vocabulary = cut(of_word.withColumn("idf", idf).select("word", "idf", weight.alias("v")))
+    norms = vocabulary.agg(*[F.sqrt(F.sum(F.col("v")[i] * F.col("v")[i])).alias(f"norm{i}") for i in range(n)]).collect()[0]  # one row of the fixed templates
+
+    each = rows.where("text IS NOT NULL").select("rid", F.posexplode(passages(F.col("text"))).alias("n", "passage"))
+    word = F.explode(F.regexp_extract_all(F.lower("passage"), F.lit(WORDS), F.lit(0)))
+    lines = F.contains(F.trim("passage"), F.lit("\n"))
+    tf = each.select("rid", "n", lines.alias("wrapped"), word.alias("word")).groupBy("rid", "n", "wrapped", "word").agg(F.count("*").alias("tf"))
+    w = F.col("tf") * F.coalesce("idf", rare)
+    met = tf.join(F.broadcast(vocabulary), "word", "left").select("rid", "n", "wrapped", w.alias("w"), "v")
+    dots = met.groupBy("rid", "n", "wrapped").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *[F.coalesce(F.sum(F.col("w") * F.col("v")[i]), F.lit(0.0)).alias(f"dot{i}") for i in range(n)])
+    scores = [F.struct((-F.round(F.col(f"dot{i}") / (F.col("norm") * F.lit(norms[i])), 6)).alias("less"), F.lit(name).alias("license"), F.lit(i < few and not header[i]).alias("full")) for i, (name, _) in enumerate(known)]
+    # a passage of one line meets the template sentences as a segment
+    best = F.when(F.col("wrapped"), F.array_min(F.array(*scores))).otherwise(F.array_min(F.array(*scores[:few])))
+    found = dots.select("rid", "n", best.alias("b")).where(-F.col("b.less") >= threshold)
+    return found.select("rid", F.col("b.license").alias("license"), (-F.col("b.less")).alias("score"), (F.col("n") == 0).alias("whole"), (F.col("b.full") & (F.col("n") == 0)).alias("full"))
 
 
 def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
@@ -132,13 +200,16 @@ def scan_licenses(docs: DataFrame, threshold: float = 0.7, id_col: str = "doc_id
     each = rows.where(F.size("notes") > 0).select("rid", F.explode("notes").alias("note"))
     notes = cut(each.groupBy("note").agg(F.count("*").alias("docs")))
     classes = cut(classify(notes, threshold, templates))
-    best = F.min(F.struct((-F.col("score")).alias("less"), "license"))
-    own = (each.join(classes, "note").groupBy("rid")
-           .agg(best.alias("b"), F.sum(F.size(F.split("note", " "))).alias("note_words"))
-           .select("rid", F.col("b.license").alias("own_license"), (-F.col("b.less")).alias("own_score"), "note_words"))
+    noted = each.join(classes, "note").select("rid", "license", "score", F.size(F.split("note", " ")).alias("note_words"), F.lit(False).alias("whole"), F.lit(False).alias("full"))
+    spanning = passage_licenses(rows, threshold, templates).select("rid", "license", "score", F.lit(0).alias("note_words"), "whole", "full")
+    # licences share sentences: what the whole text is like goes before them
+    first = F.min(F.struct((~F.col("full")).alias("part"), (-F.col("score")).alias("less"), "license"))
+    own = (noted.unionByName(spanning).groupBy("rid")
+           .agg(first.alias("b"), F.sum("note_words").alias("note_words"), F.max("whole").alias("whole"))
+           .select("rid", F.col("b.license").alias("own_license"), (-F.col("b.less")).alias("own_score"), "note_words", "whole"))
     folder = F.regexp_extract(F.col("path"), "^(.*)/[^/]*$", 1)  # "" for a file at the top, null without a path
     met = cut(rows.select("rid", "id", "path", "words", folder.alias("dir")).join(own, "rid", "left"))
-    files = met.where("own_license IS NOT NULL AND dir IS NOT NULL").where(F.rlike("path", F.lit(FILE_NAME)) | (2 * F.col("note_words") >= F.col("words")))
+    files = met.where("own_license IS NOT NULL AND dir IS NOT NULL").where(F.rlike("path", F.lit(FILE_NAME)) | F.col("whole") | (2 * F.col("note_words") >= F.col("words")))
     found = directory_licenses(files.select("dir", F.col("own_license").alias("license"), F.col("own_score").alias("score")),
                                met.where("dir IS NOT NULL").select("dir").distinct())
     # written: where both sides are plain reads, Spark can split one large directory

@@ -81,3 +81,48 @@ def test_empty_table(spark):
 def test_no_python_runs_in_the_query(spark, capsys):
     L.op10_licenses(spark, "/root/testdata/sf0.001").explain("formatted")
     assert not any(x in capsys.readouterr().out for x in ("Python", "Pandas", "Arrow"))
+
+
+GPL2 = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+LGPL = GPL2.replace("program", "library").replace("General", "Lesser General").replace("version 2", "version 2.1")
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/.\n"
+
+
+def test_whole_files_and_wrapped_headers(spark):
+    """Texts that have a licence over many lines, none in one line."""
+    full = {name: text for name, text, header in L.full_texts() if not header}
+    code = "int main() { return 0; }\n" * 40
+    commented = lambda t: "/*\n" + "".join(f" * {x}\n" for x in t.splitlines()) + " */\n" + code
+    rows, want = [], {}
+    for name, text in full.items():
+        rows += [(len(rows), f"Copyright (c) 2021 Some Body <some@body.example>\n\n{text}", f"{name}/src/7"), (len(rows) + 1, code, f"{name}/src/deep/8")]
+        want |= {len(rows) - 2: (name, None), len(rows) - 1: (name, f"{name}/src")}
+    for name, text in (("GPL-2.0", GPL2), ("GPL-3.0", GPL2.replace("version 2", "version 3").replace("software;", "software:")), ("LGPL-2.1", LGPL), ("MPL-2.0", MPL)):
+        for made in (commented(text), "".join(f"# {x}\n" for x in text.splitlines()) + code, f"/*\n{text}*/\n{code}", f"A tool.\n\n{text}\n{code}"):
+            rows += [(len(rows), made, f"code/{len(rows)}"), (len(rows) + 1, "x", "code/none")]
+            want |= {len(rows) - 2: (name, None), len(rows) - 1: (None, None)}
+    rows.append((len(rows), "Some tool. This work is licensed under the GNU General\nPublic License, version 3. It does things.", "code/wrapped"))
+    want[len(rows) - 1] = ("GPL-3.0", None)
+    rows.append((len(rows), "The history of copyright and of the public domain\nfills many books. " * 30, "code/prose"))
+    want[len(rows) - 1] = (None, None)
+    df = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    got = {r.id: (r.license, r.inherited_from) for r in L.scan_licenses(df).collect()}
+    assert got == want
+    # the score of a whole text does not depend on how many others there are
+    few = L.scan_licenses(df.where("doc_id = 0")).collect()[0]
+    assert few.own_license == want[0][0] and few.own_score > 0.9
+
+
+def test_time_of_comment_runs(spark):
+    lines = "license\n" + "# x\n" * 100_000 + "/* " * 50_000
+    df = spark.createDataFrame([(1, lines, "a/b"), (2, "license " + "\n" * 200_000, "a/b")], "doc_id long, text string, path string")
+    assert [r.own_license for r in L.scan_licenses(df).collect()] == [None, None]
