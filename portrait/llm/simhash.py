@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portrait.llm.common import cut, table, text_key
+from portrait.llm.common import cut, table, written
 from portrait.llm.components import connected_components
 
 #: Home fingerprints that a task holds of one anchor at a time.
@@ -224,14 +224,15 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3, code_bl
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that have the least id of their
-    near-duplicate group (a null id comes after all others).  A row is known
-    by its id and its text's hash, so rows that repeat both stay together."""
-    keyed = docs.select(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key")).alias("row_key"), F.col(text_col).alias("text"))
+    """One row of each near-duplicate group of ``docs``, all columns: the one
+    with the least id (a null id comes after all others), and of rows that
+    share it the one with the least number in a written table."""
+    rows = written(docs.select(F.monotonically_increasing_id().alias("n"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")))
+    own = F.col(f"doc.`{id_col}`")
+    keyed = rows.select(F.struct(own.isNull().alias("last"), own.alias("id"), "n").alias("row_key"), F.col(f"doc.`{text_col}`").alias("text"))
     groups = simhash_groups(keyed, shingle, max_bits, id_col="row_key", text_col="text")
-    first = groups.where(F.col("row_key") == F.col("component_id")).select(F.col("row_key.id").alias("_keep_id"), F.col("row_key.key").alias("_keep_key")).distinct()
-    own = F.col("_d.`" + id_col + "`"), text_key(F.col("_d.`" + text_col + "`"))
-    return docs.alias("_d").join(first.alias("_k").hint("shuffle_hash"), own[0].eqNullSafe(F.col("_k._keep_id")) & (own[1] == F.col("_k._keep_key")), "left_semi")
+    first = groups.where(F.col("row_key") == F.col("component_id")).select("row_key.n")
+    return rows.join(first.hint("shuffle_hash"), "n", "left_semi").select("doc.*")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -174,3 +174,10 @@ def test_query_equals_brute_force(spark):
     prints = [(i, brute_print(t)) for i, t in rows]
     want = {(i, f"{f:016x}", c) for (i, f), c in zip(prints, brute_groups(prints))}
     assert {tuple(r) for r in simhash.op3_simhash(spark, sf).collect()} == want
+
+
+def test_keep_one_of_rows_that_repeat_id_and_text(spark):
+    text = "the same words in every copy of this text"
+    rows = [(1, text), (1, text), (1, text), (None, "none has an id here"), (None, "none has an id here"), (2, "another text altogether, alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(simhash.keep_one(docs).collect(), key=str) == sorted({(i, t) for i, t in rows}, key=str)
