@@ -4,7 +4,8 @@
 2. line dedup: repeated lines go, documents stay
 3. SimHash near-dedup: one document of each group stays
 4. benchmark decontamination: documents with a benchmark passage go
-5. BPE: (doc_id, n_tokens, ids) of what is left
+5. BPE: (doc_id, n_tokens, ids, decoded_sha256) of what is left, the last of
+   the text that the ids decode to
 
 Each stage works on all that its predecessor kept, written as Parquet and
 read again.  Stages 1 to 4 return the columns of ``documents``.  Columns may
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portrait.llm import bpe, decontaminate, linededup, quality, simhash
-from portrait.llm.common import table, written
+from portrait.llm.common import sha256_text, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +43,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    encoded = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.decode(bpe.encode(docs, path), path)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", sha256_text(F.col("decoded")).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

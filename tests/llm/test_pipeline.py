@@ -62,3 +62,14 @@ def test_stages_keep_the_columns_and_bear_odd_rows(spark, tmp_path):
 
 def test_names_and_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "simhash near-dedup", "benchmark decontamination", "bpe encoding"]
+
+
+def test_last_stage_decodes(spark):
+    import hashlib
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = [(1, "Some words, 12 of them: naïve façades?"), (2, ""), (3, None), (4, "word " * 500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.bpe_encoding(spark, docs, "").collect()}
+    decoded = {i: library.decode(library.encode(t or "", add_special_tokens=False).ids, skip_special_tokens=False) for i, t in rows}
+    assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in decoded.items()}
