@@ -5,7 +5,8 @@ suffix array of its documents' words and binary-searches every suffix of
 every benchmark item in it.  A suffix that occurs to the depth of a window
 (``window`` words, or the whole of a shorter item) gives the range of all its
 places; places that follow each other in both texts join into the longest
-verbatim matches.
+verbatim matches.  ``longest`` is 0 for a document whose longest shared
+passage with an item is shorter than a window (or than the whole item).
 
 The array is sorted by as many words as a window has, and leaves out suffixes
 that cannot match because one of their first words is in no benchmark item
