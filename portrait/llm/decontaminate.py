@@ -17,6 +17,7 @@ holds one block at a time and a task loads one after the other, so a larger
 benchmark costs more passes over a slice's words, not more memory.
 
 Defined cases: null texts have no words; an item without words has no window;
+an item with a null id is left out, with all its windows;
 equal windows of several items count for each of them; repeated ids and rows
 are judged row by row; an empty benchmark hits nothing and an empty document
 table gives an empty result; other columns pass through ``remove_matches``
