@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from portrait.llm.bpe import op1_bpe
+from portrait.llm.convrepair import op12_convrepair
 from portrait.llm.decontaminate import op4_decontaminate
 from portrait.llm.htmltext import op5_htmltext
 from portrait.llm.licenses import OP10_SQL, op10_licenses
@@ -28,6 +29,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
+    "op12_convrepair": op12_convrepair,
 }
 
 SQL: dict[str, str] = {
