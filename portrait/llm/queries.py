@@ -16,6 +16,7 @@ from portrait.llm.pii import op9_pii
 from portrait.llm.quality import op6_quality
 from portrait.llm.sharding import op8_sharding
 from portrait.llm.simhash import op3_simhash
+from portrait.llm.suffixdedup import op11_suffixdedup
 from portrait.llm.tokenalign import op13_tokenalign
 from portrait.llm.urlgraph import OP2_SQL, op2_urlgraph
 
@@ -30,6 +31,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
+    "op11_suffixdedup": op11_suffixdedup,
     "op12_convrepair": op12_convrepair,
     "op13_tokenalign": op13_tokenalign,
 }
