@@ -10,7 +10,8 @@ than that merge (checked when the vocabulary is loaded).
 
 The vocabulary is a broadcast of fixed size (its number of tokens does not
 depend on the data).  No shuffle; memory is bounded by ``SLICE_CHARS`` of
-text and ``CACHE_WORDS`` remembered chunks a task.
+text, a group of ``GROUP_CHARS`` of them or ``GROUP_CHUNKS`` different chunks,
+and ``CACHE_BYTES`` of remembered ones a task.
 
 Defined cases: a null text encodes as the empty text (no ids); repeated rows
 and ties are encoded each on its own; an empty table gives an empty result;
@@ -34,10 +35,17 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portrait.llm.common import SLICE_CHARS, sha256_text, slices, table
+from portrait.llm.common import SLICE_CHARS, sha256_text, slices, table, trimmed
 
-#: Chunks of text whose ids a task remembers (it then starts afresh).
+#: Chunks of text, and words, whose ids a task remembers at most, and the bytes
+#: of either memory.
 CACHE_WORDS = 400_000
+CACHE_BYTES = 100_000_000
+#: Texts are merged together up to so many characters or different chunks.
+GROUP_CHARS = 16_000_000
+GROUP_CHUNKS = 300_000
+#: Positions that enter the pair index at one time.
+NOTE_POSITIONS = 1_000_000
 
 
 def byte_letters() -> list[str]:
@@ -85,7 +93,7 @@ class Vocabulary:
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The merge rank of each pair; -1 where it has none."""
-        key = a * self.size + b
+        key = a.astype(np.int64) * self.size + b
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.rank_of[at], -1)
 
@@ -96,9 +104,10 @@ class Vocabulary:
         data = np.frombuffer(b"".join(raw), dtype=np.uint8)
         n, ends = len(data), np.cumsum(sizes)
         # one slot more: slot n stands for "no neighbour"
-        sym = np.append(self.inner[data], -1)
+        place = np.int32 if n < 2**31 - 2 else np.int64
+        sym = np.append(self.inner[data], -1).astype(np.int32)
         sym[ends - 1] = self.last[data[ends - 1]]
-        nxt, prv = np.arange(1, n + 2), np.arange(-1, n)
+        nxt, prv = np.arange(1, n + 2, dtype=place), np.arange(-1, n, dtype=place)
         nxt[ends - 1] = n
         prv[ends - sizes] = n
         nxt[n] = prv[n] = n
@@ -121,7 +130,8 @@ class Vocabulary:
                     index[r] = [part]
                     heapq.heappush(heap, r)
 
-        note(np.flatnonzero(nxt[:n] != n))
+        for s in range(0, n, NOTE_POSITIONS):
+            note(s + np.flatnonzero(nxt[s:min(n, s + NOTE_POSITIONS)] != n).astype(place))
         while heap:
             r = heapq.heappop(heap)
             lists = index.pop(r)
@@ -136,7 +146,7 @@ class Vocabulary:
                         free = nxt[p]
                     else:
                         free = -1
-                at = np.array(taken, dtype=np.int64)
+                at = np.array(taken, dtype=place)
             if not len(at):
                 continue
             gone = nxt[at]
@@ -185,48 +195,120 @@ def text_chunks(vocabulary: Vocabulary):
 
 def chunk_encoder(vocabulary: Vocabulary):
     """A function: chunk lists of some texts -> a mapping that has the ids
-    (int32 bytes) of each chunk in them."""
+    (int32 bytes) of each chunk in them.  It remembers chunks, and beside
+    them words, and forgets the oldest beyond ``CACHE_WORDS`` or
+    ``CACHE_BYTES``."""
     _, words = text_chunks(vocabulary)
     as_bytes = {i: np.int32(i).tobytes() for i in vocabulary.special.values()}
     known: dict = dict(as_bytes)
+    merged: dict[str, bytes] = {}
+    held = {id(known): 0, id(merged): 0}
+
+    def weight(key: str, ids: bytes) -> int:
+        return len(key) + len(ids) + 200
+
+    def remember(cache: dict, new: dict) -> None:
+        """Enter ``new``, which stays; older entries go if there is no room."""
+        size = held[id(cache)] + sum(map(weight, new, new.values()))
+        over = len(cache) + len(new) - len(as_bytes) - CACHE_WORDS
+        if over > 0 or size > CACHE_BYTES:
+            gone = []
+            for key, ids in cache.items():
+                if over <= 0 and size <= CACHE_BYTES:
+                    break
+                if key not in as_bytes:
+                    gone.append(key)
+                    size -= weight(key, ids)
+                    over -= 1
+            for key in gone:
+                del cache[key]
+        cache.update(new)
+        held[id(cache)] = size
 
     def ids_of(split: list[list]) -> dict:
-        nonlocal known
-        fresh = [c for c in set().union(*split) if c not in known]
-        if fresh and len(known) + len(fresh) > CACHE_WORDS:
-            known = dict(as_bytes)
-            fresh = [c for c in set().union(*split) if c not in known]
+        every = set().union(*split)
+        fresh = [c for c in every if c not in known]
         if fresh:
             parts = [words(c) for c in fresh]
-            distinct = list(set().union(*parts))
-            merged = dict(zip(distinct, vocabulary.encode_words(distinct))) if distinct else {}
-            known.update((c, b"".join(map(merged.__getitem__, ws))) for c, ws in zip(fresh, parts))
+            distinct = list({w for ws in parts for w in ws if w not in merged})
+            got = dict(zip(distinct, vocabulary.encode_words(distinct))) if distinct else {}
+            both = got.get
+            new = {c: b"".join([both(w) or merged[w] for w in ws]) for c, ws in zip(fresh, parts)}
+            remember(merged, got)
+            if len(known) + len(new) - len(as_bytes) > CACHE_WORDS or held[id(known)] + sum(map(weight, new, new.values())) > CACHE_BYTES:
+                for c in every:  # what this call needs goes to the young end
+                    if c not in as_bytes and c in known:
+                        new[c] = known.pop(c)
+                        held[id(known)] -= weight(c, new[c])
+            remember(known, new)
         return known
 
     return ids_of
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, ids array<int>) of every row of ``docs``."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(Vocabulary(path))
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
+def _encoded(shared, out: list[str]):
+    """A function over batches (id, text): ids, and with ``decoded`` in
+    ``out`` the text that they decode to, in one pass.  Texts wait until
+    ``GROUP_CHARS`` of them, or ``GROUP_CHUNKS`` different chunks, are there;
+    these are merged together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, _ = text_chunks(shared.value)
-        ids_of = chunk_encoder(shared.value)
+        vocabulary = shared.value
+        chunks, _ = text_chunks(vocabulary)
+        ids_of = chunk_encoder(vocabulary)
+        tokens = vocabulary.tokens
+
+        def emit(group: list[pa.RecordBatch], seen: set) -> Iterator[pa.RecordBatch]:
+            known = ids_of([seen])
+            get = known.__getitem__
+            said = {c: " ".join([tokens[i] for i in np.frombuffer(known[c], dtype=np.int32).tolist()]) for c in seen} if "decoded" in out else {}
+            for batch in group:
+                texts = batch.column(1).to_pylist()
+                for s, e in slices(texts, SLICE_CHARS // 4):
+                    split = [chunks(t) if t else [] for t in texts[s:e]]
+                    raw = [b"".join(map(get, c)) for c in split]
+                    offsets = np.cumsum([0, *map(len, raw)]) // 4
+                    cols = [batch.column(0).slice(s, e - s), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(raw), dtype=np.int32)))]
+                    if "decoded" in out:  # tokens are joined by one space, inside chunks and between them
+                        cols.append(pa.array([" ".join(filter(None, map(said.__getitem__, c))) for c in split], pa.string()))
+                    yield pa.RecordBatch.from_arrays(cols, names=out)
+
+        group: list[pa.RecordBatch] = []
+        seen: set = set()
+        chars = 0
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for s, e in slices(texts, SLICE_CHARS):
-                split = [chunks(t) if t else [] for t in texts[s:e]]
-                get = ids_of(split).__getitem__
-                raw = [b"".join(map(get, c)) for c in split]
-                offsets = np.cumsum([0, *map(len, raw)]) // 4
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(raw), dtype=np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s, e - s), ids], names=[id_col, "ids"])
+            for s, e in slices(texts, SLICE_CHARS // 4):
+                if chars >= GROUP_CHARS or len(seen) >= GROUP_CHUNKS:
+                    yield from emit(group, seen)
+                    group, seen, chars = [], set(), 0
+                group.append(batch.slice(s, e - s))
+                for t in texts[s:e]:
+                    if t:
+                        seen.update(chunks(t))
+                        chars += len(t)
+            del texts
+        if group:
+            yield from emit(group, seen)
+
+    return trimmed(run)
 
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, ids array<int>) of every row of ``docs``."""
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
+    id_type = rows.schema[0].dataType.simpleString()
+    return rows.mapInArrow(_encoded(shared, [id_col, "ids"]), f"`{id_col}` {id_type}, ids array<int>")
+
+
+def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, ids array<int>, decoded) of every row of ``docs``: ``encode``
+    and ``decode`` in one pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
     id_type = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{id_col}` {id_type}, ids array<int>")
+    return rows.mapInArrow(_encoded(shared, [id_col, "ids", "decoded"]), f"`{id_col}` {id_type}, ids array<int>, decoded string")
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -260,7 +342,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    encoded = encode_decode(table(spark, sf_dir, "documents"), path)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +63,30 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def trimmed(run: Callable) -> Callable:
+    """``run``, a function over a task's batches, that in the end gives memory
+    it no longer uses back to the system: Python workers serve many tasks, and
+    what one stage made them hold would stay beside the next."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except AttributeError:  # another C library
+                pass
+
+    return wrapped
+
+
 def slices(texts: list, limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """(start, end) runs of ``texts`` of about ``limit`` characters; a longer
     text is a run of its own."""
