@@ -27,29 +27,46 @@ plain text; further columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portrait.llm.bpe import byte_letters
-from portrait.llm.common import slices, table, written
+from portrait.llm.common import slices, table, trimmed, written
 
 #: Characters whose documents share a dictionary of id pairs.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 4_000_000
 #: Characters that are aligned, and that are tokenised, at one time.
-ALIGN_CHARS = 1_000_000
+ALIGN_CHARS = 500_000
 TOKEN_CHARS = 200_000
+#: Bytes of remembered segments a task, and parts known as plain.
+CACHE_BYTES = 60_000_000
+PLAIN_PARTS = 300_000
+#: What may open a segment and end one: no white space, marks or controls there.
+opens = regex.compile(r"[^\s\p{C}\p{Z}\p{M}]")
+closes = regex.compile(r"[^\s\p{C}\p{Z}]\Z")
+#: A piece that holds a space after something else.
+inside = regex.compile("[^▁]▁")
 
 
 class Sides:
-    """Both tokenizers: ids of texts and the bytes of each id."""
+    """Both tokenizers: ids of texts and the bytes of each id.
+
+    Texts are tokenised by *segment*: what stands between two single spaces.
+    Byte-level BPE cuts a text by its pattern before a space that follows a
+    letter, digit or mark, and no piece of B goes on over such a place, so a
+    segment's tokens do not depend on what is around it; they are remembered.
+    Where the files do not warrant this, a text is one segment."""
 
     def __init__(self, a_json: str, b_model: bytes):
         import sentencepiece
@@ -66,11 +83,73 @@ class Sides:
         self.a_bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
-        self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        return [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)], self.b.encode(texts, num_threads=1)
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        spec = json.loads(a_json)
+        before = spec.get("pre_tokenizer") or {}
+        self.local = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not spec.get("normalizer")
+                      and not any(inside.search(p) for p in pieces) and self.b.encode("a b  c") == self.b.encode("a b") + self.b.encode(" c"))
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.held = 0
+        self.plain: set[str] = set()
+
+    def segments(self, text: str) -> list[str]:
+        """The segments of a text; each follows a space that is its own."""
+        if not self.local:
+            return [text]
+        out: list[str] = []
+        plain, loose = self.plain, True  # loose: the segment before is not closed for the next
+        for part in text.split(" "):
+            if part in plain:
+                fits = ends = True
+            else:
+                fits, ends = bool(part) and bool(opens.match(part)), bool(part) and bool(closes.search(part))
+                if fits and ends and len(part) < 40:
+                    if len(plain) > PLAIN_PARTS:
+                        plain.clear()
+                    plain.add(part)
+            if out and (loose or not fits):
+                out[-1] += " " + part
+            else:
+                out.append(part)
+            loose = not ends
+        return out
+
+    def learn(self, segments: set[str]) -> None:
+        """Tokenise segments that are not known; those whose tokens do not
+        give back their bytes are known as None."""
+        if self.held > CACHE_BYTES:
+            self.known, self.held = {}, 0
+        new = [s for s in segments if s not in self.known]
+        for i, j in slices(new, TOKEN_CHARS):
+            part = new[i:j]
+            want = [b" " + s.encode() for s in part]
+            sides = [([e.ids for e in self.a.encode_batch([" " + s for s in part], add_special_tokens=False)], self.a_bytes),
+                     (self.b.encode(part, num_threads=1), self.b_bytes)]
+            raw = []
+            fine = [True] * len(part)
+            for ids, names in sides:
+                flat = list(chain.from_iterable(ids))
+                ends = np.cumsum([0, *map(len, ids)])
+                size = np.concatenate([[0], np.cumsum([len(names[t]) for t in flat])])[ends]
+                joined = b"".join([names[t] for t in flat])
+                for k, (s, e) in enumerate(zip(size.tolist(), size[1:].tolist())):
+                    if joined[s:e] != want[k]:
+                        fine[k] = False
+                data = np.array(flat, dtype="<i4").tobytes()
+                raw.append([data[s:e] for s, e in zip((4 * ends[:-1]).tolist(), (4 * ends[1:]).tolist())])
+            self.known.update((s, (a, b) if ok else None) for s, a, b, ok in zip(part, *raw, fine))
+            self.held += sum(250 + len(s) + len(a) + len(b) for s, a, b in zip(part, *raw))
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both sides, or None where a side's bytes are not the text's."""
+        split = [self.segments(t) for t in texts]
+        self.learn(set().union(*split))
+        out = []
+        for s in split:
+            both = list(map(self.known.__getitem__, s))
+            out.append(None if None in both else tuple(np.frombuffer(b"".join([x[k] for x in both]), dtype="<i4") for k in (0, 1)))
+        return out
 
 
 def overlaps(doc_a: np.ndarray, size_a: np.ndarray, doc_b: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,19 +190,9 @@ class Aligner:
 
     def tokens(self, texts: list[str | None]) -> tuple[list, list]:
         """Ids of both sides; none where the bytes are not the text's."""
-        some = [t for t in texts if t]
-        ids_a: list = []
-        ids_b: list = []
-        for s, e in slices(some, TOKEN_CHARS):
-            x, y = self.sides.encode(some[s:e])
-            for t, a, b in zip(some[s:e], x, y):
-                want = b" " + t.encode()
-                if b"".join(map(self.sides.a_bytes.__getitem__, a)) != want or b"".join(map(self.sides.b_bytes.__getitem__, b)) != want:
-                    a = b = ()
-                ids_a.append(np.array(a, dtype=np.int64))
-                ids_b.append(np.array(b, dtype=np.int64))
-        none, it = np.zeros(0, dtype=np.int64), iter(zip(ids_a, ids_b))
-        both = [next(it) if t else (none, none) for t in texts]
+        got = iter(self.sides.encode([t for t in texts if t]))
+        none = np.zeros(0, dtype=np.int64)
+        both = [(next(got) or (none, none)) if t else (none, none) for t in texts]
         return [a for a, _ in both], [b for _, b in both]
 
     def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -133,7 +202,7 @@ class Aligner:
         by_a, by_b = self.tokens(texts)
         n = len(texts)
         n_a, n_b = (np.array([len(x) for x in side], dtype=np.int64) for side in (by_a, by_b))
-        ids_a, ids_b = np.concatenate([*by_a, np.zeros(0, np.int64)]), np.concatenate([*by_b, np.zeros(0, np.int64)])
+        ids_a, ids_b = (np.concatenate([*side, np.zeros(0, np.int64)]).astype(np.int64) for side in (by_a, by_b))
         doc_a, doc_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
         size_a, size_b = self.size_a[ids_a], self.size_b[ids_b]
         at_a, at_b = overlaps(doc_a, size_a, doc_b, size_b) if len(ids_a) else (doc_a, doc_b)
@@ -225,7 +294,7 @@ def blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", te
             yield done()
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, "block bigint, pairs array<bigint>, holders array<bigint>, "
+    return rows.mapInArrow(trimmed(run), "block bigint, pairs array<bigint>, holders array<bigint>, "
                                 f"docs array<struct<id:{id_type},n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,n_pairs:bigint,groups:string>>, "
                                 "n bigint, at binary, times binary")
 
@@ -269,7 +338,7 @@ def score(block_rows: DataFrame, b_size: int) -> DataFrame:
 
     fields = [f for f in block_rows.schema["docs"].dataType.elementType.fields if f.name != "n_pairs"]
     kept = [f.name for f in fields]
-    return joined.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", n_best bigint, count_sum bigint")
+    return joined.mapInArrow(trimmed(run), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", n_best bigint, count_sum bigint")
 
 
 def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

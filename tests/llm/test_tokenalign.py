@@ -132,3 +132,16 @@ def test_given_table(spark):
     got = {r["doc_id"]: tuple(r[c] for c in COLUMNS[:5]) + (r["groups_sha256"],) for r in T.op13_tokenalign(spark, sf).collect()}
     want = plain(rows_short)
     assert len(got) == len(rows) and all(got[w[0]] == w[:5] + w[7:] for w in want)
+
+
+def test_segments_give_the_tokens_of_the_whole_text():
+    sides = T.Sides(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    assert sides.local
+    rng = random.Random(4)
+    letters = [chr(c) for c in (*range(256), 0x301, 0x2028, 0x3000, 0x200B, 0x1F600, 0x4E2D, 0x2581, 0xFEFF, 0x1680, 0xFB01)] + [" "] * 70 + ["'s", "the", "<s>", "<0x0A>", "<|endoftext|>"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 60))) for _ in range(4000)]
+    whole = zip(sides.a.encode_batch([" " + t for t in texts], add_special_tokens=False), sides.b.encode(texts, num_threads=1))
+    for t, got, (a, b) in zip(texts, sides.encode(texts), whole):
+        same = b"".join(sides.a_bytes[i] for i in a.ids) == (" " + t).encode() == b"".join(sides.b_bytes[i] for i in b)
+        assert (got is not None) == same
+        assert not same or (got[0].tolist(), got[1].tolist()) == (a.ids, b)
