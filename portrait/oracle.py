@@ -478,3 +478,7 @@ SQL["stream_olap_sink"] = f"SELECT id, user_id, total_amount FROM ({AD['order_in
 SQL["stream_text_sink"] = SQL["stream_olap_sink"]
 SQL["stream_dim_enrich"] = SQL["dim_left_join"]
 SQL["query_rows"] = "SELECT CAST(n_nationkey AS VARCHAR) AS dimId, n_name AS dimName, n_regionkey AS parentId FROM nation"
+SQL["stream_metric_traffic"] = SQL["metric_traffic"]
+SQL["stream_metric_home_detail"] = SQL["metric_home_detail"]
+SQL["stream_metric_cart"] = SQL["metric_cart"]
+SQL["stream_metric_sku"] = SQL["metric_sku"]

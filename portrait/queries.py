@@ -525,6 +525,54 @@ def stream_watermark_join(spark, sf):
     return _drain(spark, j.withColumn("event_ms", F.unix_millis("event_time")).drop("_ut", "_bt", "event_time"), "wm-ij")
 
 
+def _report(spark, name, df, keys, staged):
+    """A metric's stream in update mode, drained; its report as it stands."""
+    from portrait.session import scratch_path
+    from portrait.streaming import metrics as SM
+    from portrait.streaming.sinks import run_to_completion
+    out = scratch_path(spark, f"out-{name}")
+    run_to_completion(df(staged), sink=SM.report_sink(out), output_mode="update", checkpoint=scratch_path(spark, f"ckpt-{name}"))
+    return SM.read_report(spark, out, keys)
+
+
+def _page_stream(spark, sf, name):
+    return _stream(spark, A.page_log(Tables(spark, sf).events), name, "ts")
+
+
+DAY_KEYS = ["stt", "edt", "cur_date"]
+
+
+@register
+def stream_metric_traffic(spark, sf):
+    """M1 on a stream: first-seen flags per day, summed."""
+    from portrait.streaming.metrics import traffic_stream
+    return _report(spark, "m1", traffic_stream, [*DAY_KEYS, "vc", "ch", "ar", "is_new"], _page_stream(spark, sf, "m1"))
+
+
+@register
+def stream_metric_home_detail(spark, sf):
+    """M2 on a stream."""
+    from portrait.streaming.metrics import home_detail_stream
+    return _report(spark, "m2", home_detail_stream, DAY_KEYS, _page_stream(spark, sf, "m2"))
+
+
+@register
+def stream_metric_cart(spark, sf):
+    """M4 on a stream."""
+    from portrait.streaming.metrics import cart_add_stream
+    return _report(spark, "m4", cart_add_stream, DAY_KEYS, _page_stream(spark, sf, "m4"))
+
+
+@register
+def stream_metric_sku(spark, sf):
+    """M7 on a stream: earlier versions of lines arrive first, their updates
+    in a later micro-batch, which takes the old amounts back."""
+    from portrait.streaming.metrics import sku_deltas, sku_report
+    t = Tables(spark, sf)
+    lines = _stream(spark, A.order_detail_log(t.lineitem), "m7", "pos", 2)
+    return sku_report(_drain(spark, sku_deltas(lines), "m7"), dims(t))
+
+
 def _orders_stream(spark, t, name):
     return _stream(spark, A.order_info(t.orders).select("id", "user_id", "total_amount", "province_id"), name, "id", 2, 2)
 
