@@ -26,6 +26,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from collections import ChainMap
 from collections.abc import Iterator
 from itertools import chain
 
@@ -188,7 +189,7 @@ def text_chunks(vocabulary: Vocabulary):
 
     def words(chunk: str) -> list[str]:
         # letter by letter: the one rule of lower() that looks around is the final sigma
-        return word.findall(unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower())
+        return word.findall(chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower())
 
     return chunks, words
 
@@ -204,21 +205,22 @@ def chunk_encoder(vocabulary: Vocabulary):
     merged: dict[str, bytes] = {}
     held = {id(known): 0, id(merged): 0}
 
-    def weight(key: str, ids: bytes) -> int:
-        return len(key) + len(ids) + 200
+    def weight(entries: dict) -> int:
+        return sum(map(len, entries)) + sum(map(len, entries.values())) + 200 * len(entries)
 
-    def remember(cache: dict, new: dict) -> None:
-        """Enter ``new``, which stays; older entries go if there is no room."""
-        size = held[id(cache)] + sum(map(weight, new, new.values()))
+    def remember(cache: dict, new: dict, keep: set) -> None:
+        """Enter ``new``; if there is no room older entries go, but for those
+        in ``keep``."""
+        size = held[id(cache)] + weight(new)
         over = len(cache) + len(new) - len(as_bytes) - CACHE_WORDS
         if over > 0 or size > CACHE_BYTES:
             gone = []
             for key, ids in cache.items():
                 if over <= 0 and size <= CACHE_BYTES:
                     break
-                if key not in as_bytes:
+                if key not in as_bytes and key not in keep:
                     gone.append(key)
-                    size -= weight(key, ids)
+                    size -= len(key) + len(ids) + 200
                     over -= 1
             for key in gone:
                 del cache[key]
@@ -232,15 +234,10 @@ def chunk_encoder(vocabulary: Vocabulary):
             parts = [words(c) for c in fresh]
             distinct = list({w for ws in parts for w in ws if w not in merged})
             got = dict(zip(distinct, vocabulary.encode_words(distinct))) if distinct else {}
-            both = got.get
-            new = {c: b"".join([both(w) or merged[w] for w in ws]) for c, ws in zip(fresh, parts)}
-            remember(merged, got)
-            if len(known) + len(new) - len(as_bytes) > CACHE_WORDS or held[id(known)] + sum(map(weight, new, new.values())) > CACHE_BYTES:
-                for c in every:  # what this call needs goes to the young end
-                    if c not in as_bytes and c in known:
-                        new[c] = known.pop(c)
-                        held[id(known)] -= weight(c, new[c])
-            remember(known, new)
+            get = (merged | got).__getitem__ if len(got) > len(merged) else ChainMap(got, merged).__getitem__
+            new = {c: get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws)) for c, ws in zip(fresh, parts)}
+            remember(merged, got, set())
+            remember(known, new, every)
         return known
 
     return ids_of
@@ -259,19 +256,17 @@ def _encoded(shared, out: list[str]):
         tokens = vocabulary.tokens
 
         def emit(group: list[pa.RecordBatch], seen: set) -> Iterator[pa.RecordBatch]:
-            known = ids_of([seen])
-            get = known.__getitem__
-            said = {c: " ".join([tokens[i] for i in np.frombuffer(known[c], dtype=np.int32).tolist()]) for c in seen} if "decoded" in out else {}
+            get = ids_of([seen]).__getitem__
             for batch in group:
-                texts = batch.column(1).to_pylist()
-                for s, e in slices(texts, SLICE_CHARS // 4):
-                    split = [chunks(t) if t else [] for t in texts[s:e]]
-                    raw = [b"".join(map(get, c)) for c in split]
-                    offsets = np.cumsum([0, *map(len, raw)]) // 4
-                    cols = [batch.column(0).slice(s, e - s), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(raw), dtype=np.int32)))]
-                    if "decoded" in out:  # tokens are joined by one space, inside chunks and between them
-                        cols.append(pa.array([" ".join(filter(None, map(said.__getitem__, c))) for c in split], pa.string()))
-                    yield pa.RecordBatch.from_arrays(cols, names=out)
+                split = [chunks(t) if t else [] for t in batch.column(1).to_pylist()]
+                raw = [b"".join(map(get, c)) for c in split]
+                offsets = np.cumsum([0, *map(len, raw)]) // 4
+                ids = np.frombuffer(b"".join(raw), dtype=np.int32)
+                cols = [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))]
+                if "decoded" in out:
+                    names, upto = list(map(tokens.__getitem__, ids.tolist())), offsets.tolist()
+                    cols.append(pa.array([" ".join(names[s:e]) for s, e in zip(upto, upto[1:])], pa.string()))
+                yield pa.RecordBatch.from_arrays(cols, names=out)
 
         group: list[pa.RecordBatch] = []
         seen: set = set()

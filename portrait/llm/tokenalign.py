@@ -48,9 +48,10 @@ from portrait.llm.common import slices, table, trimmed, written
 BLOCK_CHARS = 4_000_000
 #: Characters that are aligned, and that are tokenised, at one time.
 ALIGN_CHARS = 500_000
-TOKEN_CHARS = 200_000
-#: Bytes of remembered segments a task, and parts known as plain.
-CACHE_BYTES = 60_000_000
+TOKEN_CHARS = 50_000
+#: Bytes of remembered segments a task (as many older ones stay beside them),
+#: and parts known as plain.
+CACHE_BYTES = 40_000_000
 PLAIN_PARTS = 300_000
 #: What may open a segment and end one: no white space, marks or controls there.
 opens = regex.compile(r"[^\s\p{C}\p{Z}\p{M}]")
@@ -89,7 +90,10 @@ class Sides:
         before = spec.get("pre_tokenizer") or {}
         self.local = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not spec.get("normalizer")
                       and not any(inside.search(p) for p in pieces) and self.b.encode("a b  c") == self.b.encode("a b") + self.b.encode(" c"))
+        self.a_size = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
+        self.b_size = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
         self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.older: dict[str, tuple[bytes, bytes] | None] = {}
         self.held = 0
         self.plain: set[str] = set()
 
@@ -97,17 +101,24 @@ class Sides:
         """The segments of a text; each follows a space that is its own."""
         if not self.local:
             return [text]
-        out: list[str] = []
-        plain, loose = self.plain, True  # loose: the segment before is not closed for the next
-        for part in text.split(" "):
-            if part in plain:
-                fits = ends = True
+        parts = text.split(" ")
+        odd = set()
+        for part in set(parts) - self.plain:
+            if part and opens.match(part) and closes.search(part):
+                if len(part) < 40:
+                    self.plain.add(part)
             else:
+                odd.add(part)
+        if len(self.plain) > PLAIN_PARTS:
+            self.plain.clear()
+        if not odd:
+            return parts
+        out: list[str] = []
+        loose = True  # the segment before is not closed for the next
+        for part in parts:
+            fits = ends = True
+            if part in odd:
                 fits, ends = bool(part) and bool(opens.match(part)), bool(part) and bool(closes.search(part))
-                if fits and ends and len(part) < 40:
-                    if len(plain) > PLAIN_PARTS:
-                        plain.clear()
-                    plain.add(part)
             if out and (loose or not fits):
                 out[-1] += " " + part
             else:
@@ -115,36 +126,59 @@ class Sides:
             loose = not ends
         return out
 
-    def learn(self, segments: set[str]) -> None:
-        """Tokenise segments that are not known; those whose tokens do not
-        give back their bytes are known as None."""
-        if self.held > CACHE_BYTES:
-            self.known, self.held = {}, 0
-        new = [s for s in segments if s not in self.known]
-        for i, j in slices(new, TOKEN_CHARS):
-            part = new[i:j]
-            want = [b" " + s.encode() for s in part]
-            sides = [([e.ids for e in self.a.encode_batch([" " + s for s in part], add_special_tokens=False)], self.a_bytes),
-                     (self.b.encode(part, num_threads=1), self.b_bytes)]
-            raw = []
-            fine = [True] * len(part)
-            for ids, names in sides:
-                flat = list(chain.from_iterable(ids))
-                ends = np.cumsum([0, *map(len, ids)])
-                size = np.concatenate([[0], np.cumsum([len(names[t]) for t in flat])])[ends]
-                joined = b"".join([names[t] for t in flat])
-                for k, (s, e) in enumerate(zip(size.tolist(), size[1:].tolist())):
-                    if joined[s:e] != want[k]:
-                        fine[k] = False
-                data = np.array(flat, dtype="<i4").tobytes()
-                raw.append([data[s:e] for s, e in zip((4 * ends[:-1]).tolist(), (4 * ends[1:]).tolist())])
-            self.known.update((s, (a, b) if ok else None) for s, a, b, ok in zip(part, *raw, fine))
-            self.held += sum(250 + len(s) + len(a) + len(b) for s, a, b in zip(part, *raw))
+    def _side(self, ids: list[list[int]], names: list[bytes], sizes: np.ndarray, want: bytes, upto: np.ndarray) -> list[bytes] | None:
+        """Ids (bytes) of segments that end at ``upto`` in ``want``; None where
+        these are not the tokens' bytes and ends."""
+        flat = list(chain.from_iterable(ids))
+        if b"".join(map(names.__getitem__, flat)) != want:
+            return None
+        flat = np.array(flat, dtype="<i4")
+        ends = np.cumsum(sizes[flat])
+        at = np.searchsorted(ends, upto)
+        if (ends[at] != upto).any():
+            return None
+        cuts = (4 * np.concatenate([[0], at + 1])).tolist()
+        data = flat.tobytes()
+        return [data[s:e] for s, e in zip(cuts, cuts[1:])]
+
+    def _learn(self, part: list[str]) -> None:
+        """Tokenise segments at one go, as one text; where that does not give
+        their bytes back, in halves; one that never does is known as None."""
+        if self.local:
+            texts, spaced = [" ".join(part)], [" " + " ".join(part)]
+        else:
+            texts, spaced = part, [" " + s for s in part]
+        want = [b" " + s.encode() for s in part]
+        upto = np.cumsum([len(w) for w in want])
+        want = b"".join(want)
+        a = self._side([e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)], self.a_bytes, self.a_size, want, upto)
+        b = a and self._side(self.b.encode(texts, num_threads=1), self.b_bytes, self.b_size, want, upto)
+        if b:
+            self.known.update(zip(part, zip(a, b)))
+            self.held += 300 * len(part) + 2 * len(want)
+        elif len(part) == 1:
+            self.known[part[0]] = None
+            self.held += 300 + len(want)
+        else:
+            half = len(part) // 2
+            self._learn(part[:half])
+            self._learn(part[half:])
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both sides, or None where a side's bytes are not the text's."""
         split = [self.segments(t) for t in texts]
-        self.learn(set().union(*split))
+        if self.held > CACHE_BYTES:  # what is asked for again comes back from the older ones
+            self.known, self.older, self.held = {}, self.known, 0
+        new = []
+        for s in set().union(*split):
+            if s not in self.known:
+                if s in self.older:
+                    self.known[s] = self.older[s]
+                    self.held += 300 + 3 * len(s)
+                else:
+                    new.append(s)
+        for i, j in slices(new, TOKEN_CHARS):
+            self._learn(new[i:j])
         out = []
         for s in split:
             both = list(map(self.known.__getitem__, s))
@@ -153,15 +187,17 @@ class Sides:
 
 
 def overlaps(doc_a: np.ndarray, size_a: np.ndarray, doc_b: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (in A, in B) of all overlapping tokens, by place.  Both sides
-    tile the same bytes, document after document."""
-    a = pd.DataFrame({"doc": doc_a, "at": np.cumsum(size_a) - size_a, "a": np.arange(len(size_a))})
-    b = pd.DataFrame({"doc": doc_b, "at": np.cumsum(size_b) - size_b, "b": np.arange(len(size_b))})
+    """Positions (in A, in B) of all overlapping tokens.  Both sides tile the
+    same bytes, document after document."""
+    start_a, start_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
+    a = pd.DataFrame({"doc": doc_a, "at": start_a, "a": np.arange(len(size_a))}, copy=False)
+    b = pd.DataFrame({"doc": doc_b, "at": start_b, "b": np.arange(len(size_b))}, copy=False)
     covered = pd.merge_asof(a, b, on="at", by="doc")
-    covering = pd.merge_asof(b, a.rename(columns={"at": "a_at"}), left_on="at", right_on="a_at", by="doc")
-    covering = covering[covering["a_at"] != covering["at"]]
-    both = pd.concat([covered[["at", "a", "b"]], covering[["at", "a", "b"]]]).sort_values("at", kind="stable")
-    return both["a"].to_numpy(np.int64), both["b"].to_numpy(np.int64)
+    # equal starts are met by the first direction already
+    own = start_a[np.minimum(np.searchsorted(start_a, start_b), len(start_a) - 1)] != start_b
+    covering = pd.merge_asof(b[own], a, on="at", by="doc")
+    return (np.concatenate([covered["a"].to_numpy(np.int64), covering["a"].to_numpy(np.int64)]),
+            np.concatenate([covered["b"].to_numpy(np.int64), covering["b"].to_numpy(np.int64)]))
 
 
 @dataclass
@@ -182,8 +218,7 @@ class Aligner:
 
     def __init__(self, sides: Sides):
         self.sides = sides
-        self.size_a = np.array([len(x) for x in sides.a_bytes], dtype=np.int64)
-        self.size_b = np.array([len(x) for x in sides.b_bytes], dtype=np.int64)
+        self.size_a, self.size_b = sides.a_size, sides.b_size
         # each id followed by what parts it from the next: inside a side, at its end
         self.names = ([f"{i}{e}" for i in range(len(sides.a_bytes)) for e in ",|"]
                       + [f"{i}{e}" for i in range(len(sides.b_bytes)) for e in ",;"])
@@ -208,14 +243,15 @@ class Aligner:
         at_a, at_b = overlaps(doc_a, size_a, doc_b, size_b) if len(ids_a) else (doc_a, doc_b)
 
         end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
-        common = np.intersect1d(end_a, end_b, assume_unique=True)
-        group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
-        before_a = np.concatenate([[0], np.cumsum(np.bincount(group_a, minlength=len(common)))])
-        before_b = np.concatenate([[0], np.cumsum(np.bincount(group_b, minlength=len(common)))])
-        last_a, last_b = np.isin(end_a, common), np.isin(end_b, common)
+        partner = np.searchsorted(end_b, end_a)  # the last B end is the last A end
+        last_a = end_b[partner] == end_a if len(end_a) else np.zeros(0, dtype=bool)
+        last_b = np.zeros(len(end_b), dtype=bool)
+        last_b[partner[last_a]] = True
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        upto_a, upto_b = (np.concatenate([[0], np.flatnonzero(last) + 1]) for last in (last_a, last_b))  # tokens in the groups before
         name = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
-        name[np.arange(len(ids_a)) + before_b[group_a]] = ids_a * 2 + last_a
-        name[np.arange(len(ids_b)) + before_a[group_b + 1]] = 2 * len(self.size_a) + ids_b * 2 + last_b
+        name[np.arange(len(ids_a)) + upto_b[group_a]] = ids_a * 2 + last_a
+        name[np.arange(len(ids_b)) + upto_a[group_b + 1]] = 2 * len(self.size_a) + ids_b * 2 + last_b
         written_out = list(map(self.names.__getitem__, name.tolist()))
         upto = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
         groups = ["".join(written_out[s:e])[:-1] for s, e in zip(upto, upto[1:])]
@@ -223,14 +259,13 @@ class Aligner:
         n_groups = np.bincount(doc_a[last_a], minlength=n)
         doc_l = doc_a[at_a]
         n_links = np.bincount(doc_l, minlength=n)
-        pair = ids_a[at_a] * len(self.size_b) + ids_b[at_b]
-        order = np.lexsort((pair, doc_l))
-        pair, doc_l = pair[order], doc_l[order]
-        new = np.ones(len(pair), dtype=bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (doc_l[1:] != doc_l[:-1])
-        first = np.flatnonzero(new)
-        times = np.diff(np.append(first, len(pair)))
-        return np.stack([n_a, n_b, n_groups, n_links], axis=1), groups, pair[first], times, np.bincount(doc_l[first], minlength=n)
+        kinds = len(self.size_a) * len(self.size_b)
+        key = doc_l * kinds + ids_a[at_a] * len(self.size_b) + ids_b[at_b]
+        key.sort()
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, dtype=np.int64)
+        times = np.diff(np.append(first, len(key)))
+        doc, pair = np.divmod(key[first], kinds)
+        return np.stack([n_a, n_b, n_groups, n_links], axis=1), groups, pair, times, np.bincount(doc, minlength=n)
 
 
 def squeeze(numbers: np.ndarray) -> bytes:
