@@ -394,12 +394,17 @@ def _stream(spark, df, name, slice_col, n_slices=3, files=4):
     return read_stream(spark, "files", path=path, schema=df.schema, max_files_per_trigger=per)
 
 
-def _drain(spark, df, name, **kw):
+def _topic(spark, df, name, **kw):
+    """Drain a stream into a folder, the topic of the next one."""
     from portrait.session import scratch_path
     from portrait.streaming.sinks import run_to_completion
     out, ck = scratch_path(spark, f"out-{name}"), scratch_path(spark, f"ckpt-{name}")
     run_to_completion(df, sink="parquet", path=out, checkpoint=ck, **kw)
-    return spark.read.parquet(out)
+    return out
+
+
+def _drain(spark, df, name, **kw):
+    return spark.read.parquet(_topic(spark, df, name, **kw))
 
 
 @register
@@ -416,15 +421,16 @@ def stream_page_profile(spark, sf):
     de-duplicated within the watermark, 2-minute windows closed by it, running
     profile and device scores per closed window.  One last record far ahead
     closes the windows of the finite input."""
-    from portrait.session import scratch_path
     from portrait.streaming import page_log as PL
-    from portrait.streaming.sinks import run_to_completion
+    from portrait.streaming.sources import read_stream
+    from portrait.streaming.stateful import running_windows_stream
     log = A.page_log(Tables(spark, sf).events, replay_every=10)
     raw = _stream(spark, log.unionByName(PL.closing_record(log)), "pagelog-win", "seq")
-    out = scratch_path(spark, "out-page-profile")
-    run_to_completion(PL.closed_windows(raw), sink=PL.profile_sink(scratch_path(spark, "page-state"), out, SC.device_scores),
-                      checkpoint=scratch_path(spark, "ckpt-page-profile"))
-    return spark.read.parquet(out).select("uid", "window_start", "os", "judge_os", *_dbl(*SC.DEVICE_COLS))
+    closed = PL.closed_windows(raw).where(F.col("uid") != PL.CLOSER)
+    topic = read_stream(spark, "files", path=_topic(spark, closed, "closed-windows"), schema=closed.schema)
+    profile = running_windows_stream(topic)
+    done = _drain(spark, SC.device_scores(profile, spark), "page-profile")
+    return done.select("uid", "window_start", "os", "judge_os", *_dbl(*SC.DEVICE_COLS))
 
 
 @register
@@ -448,12 +454,11 @@ def stream_interval_join(spark, sf):
 def stream_upsert(spark, sf):
     """Change records folded into a keyed snapshot batch by batch."""
     from portrait.session import scratch_path
-    from portrait.streaming.sinks import read_upsert_snapshot, run_to_completion, upsert_sink
+    from portrait.streaming.sinks import read_upsert_snapshot, upsert_stream
     hist = _stream(spark, A.order_change_history(Tables(spark, sf).orders), "orders-cdc", "ts_ms")
-    state = scratch_path(spark, "upsert-state")
-    run_to_completion(hist, sink=upsert_sink(state, "id", A.ORDER_CHANGE_COLS),
-                      checkpoint=scratch_path(spark, "ckpt-upsert"))
-    snap = read_upsert_snapshot(spark, state, "id")
+    checkpoint = scratch_path(spark, "ckpt-upsert")
+    upsert_stream(hist, "id", A.ORDER_CHANGE_COLS, checkpoint, trigger="availableNow").awaitTermination()
+    snap = read_upsert_snapshot(spark, checkpoint, "id", A.ORDER_CHANGE_COLS)
     return snap.select(F.col("id").cast("bigint").alias("id"), *[c for c in A.ORDER_CHANGE_COLS if c != "id"])
 
 

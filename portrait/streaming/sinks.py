@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from portrait.sources import cdc
-from portrait.streaming.state_table import StateTable
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -105,28 +104,28 @@ def olap_sink(path: str, fmt: str = "json") -> Callable[[DataFrame, int], None]:
     return write
 
 
-def upsert_sink(state_path: str, key: str, columns: list[str], order: tuple[str, ...] = cdc.ORDER,
-                buckets: int = 64, keep: int = 3) -> Callable[[DataFrame, int], None]:
-    """S9 as a ``foreachBatch`` function over change records: the batch is
-    folded into per-key change state and merged (exactly, see
-    ``cdc.change_state``) with the stored state of the buckets that its keys
-    fall into; other buckets are not touched (``StateTable``).
-    ``read_upsert_snapshot`` shows the latest version."""
-    state = StateTable(state_path, key, buckets, keep)
-
-    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
-        return new if old is None else cdc.merge_change_states(old, new, key)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        state.update(batch_id, cdc.change_state(batch, key, columns, order), merge)
-    return write
-
-
-def read_upsert_snapshot(spark, state_path: str, key: str) -> DataFrame:
-    state = StateTable(state_path, key).read(spark)
-    if state is None:
-        raise FileNotFoundError(state_path)
-    return cdc.state_to_snapshot(state, key)
+def upsert_stream(changes: DataFrame, key: str, columns: list[str], checkpoint: str, *, order: tuple[str, ...] = cdc.ORDER,
+                  sink: str | Callable = "noop", **kw) -> StreamingQuery:
+    """Change records folded into per-key change state by Spark's own
+    streaming aggregation, in update mode: a micro-batch touches the state of
+    its keys only, combined on the map side first, so a hot key is one row a
+    task.  ``sink`` gets the changed keys: key, ``_gone`` (deleted) and the
+    columns as they now are; the table itself is the state, see
+    ``read_upsert_snapshot``."""
+    state = cdc.change_state(changes, key, columns, order)
+    live = ~F.col("_last.gone")
+    rows = state.select(key, F.col("_last.gone").alias("_gone"), *[F.when(live, F.col(f"{c}.v")).alias(c) for c in columns if c != key])
+    return run_stream(rows, sink=sink, output_mode="update", checkpoint=checkpoint, **kw)
+
+
+def read_upsert_snapshot(spark, checkpoint: str, key: str, columns: list[str], batch_id: int | None = None) -> DataFrame:
+    """The upsert table as of a batch (default: the latest finished one), read
+    back from the stream's state, a task for each state partition."""
+    r = spark.read.format("statestore").option("path", checkpoint)
+    state = (r if batch_id is None else r.option("batchId", batch_id)).load()
+    names = [key, "_last", *[c for c in columns if c != key]]
+    # by place: the aggregates of the state all have one name
+    return cdc.state_to_snapshot(state.select("key.*", F.inline(F.array("value"))).toDF(*names), key)
 
 
 def console_sink(df: DataFrame, checkpoint: str, **kw) -> StreamingQuery:

@@ -1,15 +1,18 @@
 """Stateful stream operators: keyed running profile (T1), exact dedup
 (A1), last row per window (A4), watermark options (T2/T3).
 
-T1 keeps, per uid, the page count and the five distinct-value sets in
+T1 keeps, per uid, the page count and the distinct values of five fields in
 keyed state (``transformWithStateInPandas``, RocksDB state store) and emits
-one row per input row, like the original keyed process function.  Rows of
-one micro-batch are processed in (ts, seq) order; rows arriving in later
-batches are taken in arrival order (the original's semantics).
+one row per input row, like the original keyed process function.  A value is an
+entry of its own in a map state, so a new one is one put and the set is never
+rewritten.  Rows of one
+micro-batch are processed in (ts, seq) order; rows arriving in later batches are
+taken in arrival order (the original's semantics).
 """
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,34 +36,49 @@ except Exception:  # pragma: no cover - older cloudpickle
 FIELDS = SET_FIELDS + ["search_item"]
 PROFILE_OUT = ("uid string, ts bigint, seq bigint, pv bigint, os string, ch string, md string, "
                "ba string, search_item string")
-_STATE = "pv bigint, " + ", ".join(f"{f} array<string>" for f in FIELDS)
 
 
 class RunningProfile(StatefulProcessor):
-    """Per uid: pv and sets; one output row per input row."""
+    """Per uid: page count and values; one output row per input row.  A row
+    stands for one record, or with ``windows`` for the ``n`` records and the
+    values (arrays) of a closed window."""
+
+    def __init__(self, windows: bool = False):
+        self.windows = windows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("profile", _STATE)
+        self.pv = handle.getValueState("pv", "n bigint")
+        self.seen = handle.getMapState("seen", "field int, value string", "known boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "seq"], kind="stable")
-        if self.state.exists():
-            cur = self.state.get()
-            pv, sets = int(cur[0]), [set(x or []) for x in cur[1:]]
-        else:
-            pv, sets = 0, [set() for _ in FIELDS]
-        out = {c: [] for c in ["uid", "ts", "seq", "pv"] + FIELDS}
-        cols = [pdf[f].tolist() for f in FIELDS]
-        for i, (ts, seq) in enumerate(zip(pdf["ts"].tolist(), pdf["seq"].tolist())):
-            pv += 1
-            out["uid"].append(key[0]); out["ts"].append(ts); out["seq"].append(seq); out["pv"].append(pv)
+        order = ["window_start", "ts", "seq"] if self.windows else ["ts", "seq"]
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(order, kind="stable")
+        pv = int(self.pv.get()[0]) if self.pv.exists() else 0
+        sets = [[] for _ in FIELDS]  # sorted by bytes
+        if pv:
+            for j, v in self.seen.keys():
+                sets[j].append((v.encode("utf-8"), v))
+        for x in sets:
+            x.sort()
+        known = [{v for _, v in x} for x in sets]
+        text = [",".join(v for _, v in x) for x in sets]
+        counts = pdf["n"].tolist() if self.windows else [1] * len(pdf)
+        out = {f: [] for f in FIELDS}
+        pvs = []
+        for n, *values in zip(counts, *(pdf[f].tolist() for f in FIELDS)):
+            pv += int(n)
+            pvs.append(pv)
             for j, f in enumerate(FIELDS):
-                v = cols[j][i]
-                if v is not None and v == v:  # skip null / NaN
-                    sets[j].add(v)
-                out[f].append(",".join(sorted(sets[j], key=lambda s: s.encode("utf-8"))))
-        self.state.update((pv, *[sorted(s) for s in sets]))
-        yield pd.DataFrame(out)
+                for v in (values[j] if self.windows else (values[j],)):
+                    if v is not None and v == v and v not in known[j]:  # null / NaN is no value
+                        known[j].add(v)
+                        insort(sets[j], (v.encode("utf-8"), v))
+                        text[j] = ",".join(v for _, v in sets[j])
+                        self.seen.updateValue((j, v), (True,))
+                out[f].append(text[j])
+        self.pv.update((pv,))
+        first = {"uid": [key[0]] * len(pdf)} | {c: pdf[c].tolist() for c in order}
+        yield pd.DataFrame(first | {"pv": pvs} | out)
 
     def close(self) -> None:
         pass
@@ -75,6 +93,14 @@ def running_profile_stream(flat: DataFrame) -> DataFrame:
         RunningProfile(), PROFILE_OUT, "append", "None")
 
 
+def running_windows_stream(closed: DataFrame) -> DataFrame:
+    """The running profile at the end of each closed window (``page_log``):
+    the state's input is one row a uid and window, whatever their traffic."""
+    out = PROFILE_OUT.replace("uid string,", "uid string, window_start bigint,")
+    return closed.select("uid", "window_start", "ts", "seq", "n", *FIELDS).groupBy("uid").transformWithStateInPandas(
+        RunningProfile(windows=True), out, "append", "None")
+
+
 def dedup_stream(flat: DataFrame, watermark: str | None = None, time_col: str = "event_time") -> DataFrame:
     """A1 on a stream: the first arrival of each distinct record passes.
     ``watermark=None`` keeps every record ever seen in state, as the

@@ -3,11 +3,12 @@
 import json
 import os
 import tempfile
+import time
 
 from pyspark.sql import functions as F
 
 from portrait.operators.profile import reduce_by_window
-from portrait.streaming.sinks import kafka_value, text_sink, topic_sink
+from portrait.streaming.sinks import kafka_value, read_upsert_snapshot, text_sink, topic_sink, upsert_stream
 from portrait.streaming.sources import read_stream
 
 
@@ -38,32 +39,57 @@ def test_reduce_by_window(spark):
     assert out == [("u", 0, 3.0), ("u", 120_000, 5.0)]
 
 
-def test_state_table_rewrites_touched_buckets_only(spark):
-    from portrait.streaming.state_table import StateTable
-
-    path = tempfile.mkdtemp(prefix="portrait-state-")
-    state = StateTable(path, "k", buckets=4, keep=2)
-
-    def merge(old, new):
-        rows = new if old is None else old.unionByName(new)
-        return rows.groupBy("k").agg(F.sum("n").alias("n"))
-
-    frame = lambda rows: spark.createDataFrame(rows, "k string, n long")
-    state.update(0, frame([(str(i), 1) for i in range(50)]), merge)
-    first = state.manifest(spark)
-    assert set(first) == {0, 1, 2, 3}
-    state.update(1, frame([("7", 10)]), merge)
-    state.update(1, frame([("7", 10)]), merge)  # a retried batch counts once
-    second = state.manifest(spark)
-    touched = [b for b in first if second[b] == 1]
-    assert len(touched) == 1 and all(second[b] == 0 for b in first if b not in touched)
-    assert [d for d in os.listdir(os.path.join(path, "data", "v=1")) if d.startswith("_bucket")] == [f"_bucket={touched[0]}"]
-    rows = {r.k: r.n for r in state.read(spark).collect()}
-    assert len(rows) == 50 and rows["7"] == 11 and rows["8"] == 1
-    for v in (2, 3, 4):
-        state.update(v, frame([("7", 1)]), merge)
-    assert state._versions(spark) == [3, 4]
-    assert sorted(map(int, (d[2:] for d in os.listdir(os.path.join(path, "data"))))) == [0, 3, 4]
-    assert {r.k: r.n for r in state.read(spark).collect()}["7"] == 14
-    state.update(5, frame([]), merge)  # an empty batch changes nothing
-    assert state.read(spark).count() == 50
+CHANGE = "op string, before map<string,string>, after map<string,string>, source struct<table:string,pos:long>, ts_ms long"
+
+
+def change(op, key, ts, pos=0, **after):
+    full = {"id": key, **after}
+    return (op, full if op == "d" else None, None if op == "d" else full, ("t", pos), ts)
+
+
+def upsert(spark, batches, sink="noop"):
+    base = tempfile.mkdtemp(prefix="portrait-upsert-")
+    src = os.path.join(base, "in")
+    schema = spark.createDataFrame([], CHANGE).schema
+    for rows in batches:
+        spark.createDataFrame(rows, CHANGE).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)  # the file source orders arrivals by modification time
+    s = read_stream(spark, "files", path=src, schema=schema, max_files_per_trigger=1)
+    ck = os.path.join(base, "ck")
+    upsert_stream(s, "id", ["id", "a", "b"], ck, sink=sink, trigger="availableNow").awaitTermination()
+    return ck
+
+
+BATCHES = [[change("c", "1", 10, a="x", b="y"), change("c", "2", 10, a="p"), change("c", "3", 10, a="q")],
+           [change("u", "1", 20, a="z", b=""), change("d", "2", 20), change("u", "3", 5, a="older", b="new")],
+           [change("c", "2", 30, b="again"), change("u", "1", 20, a="z", b="")]]  # the last one is a replay
+
+
+def test_upsert_stream_reads_back_from_state(spark):
+    ck = upsert(spark, BATCHES)
+    rows = lambda b=None: {tuple(r) for r in read_upsert_snapshot(spark, ck, "id", ["id", "a", "b"], b).collect()}
+    assert rows(0) == {("1", "x", "y"), ("2", "p", None), ("3", "q", None)}
+    assert rows(1) == {("1", "z", "y"), ("3", "q", "new")}
+    assert rows() == {("1", "z", "y"), ("2", None, "again"), ("3", "q", "new")}
+
+
+def test_upsert_stream_equals_batch_and_tells_changed_keys(spark):
+    from portrait.sources import cdc
+
+    seen = []
+    ck = upsert(spark, BATCHES, sink=lambda batch, _: seen.append({tuple(r) for r in batch.collect()}))
+    every = spark.createDataFrame([r for b in BATCHES for r in b], CHANGE)
+    want = {tuple(r) for r in cdc.apply_changes(every, "id", ["id", "a", "b"]).collect()}
+    assert {tuple(r) for r in read_upsert_snapshot(spark, ck, "id", ["id", "a", "b"]).collect()} == want
+    seen = [x for x in seen if x]
+    assert seen[1] == {("1", False, "z", "y"), ("2", True, None, None), ("3", False, "q", "new")}
+    assert seen[2] == {("1", False, "z", "y"), ("2", False, None, "again")}
+
+
+def test_upsert_stream_goes_on_from_its_checkpoint(spark):
+    ck = upsert(spark, BATCHES[:1])
+    src = os.path.join(os.path.dirname(ck), "in")
+    spark.createDataFrame(BATCHES[1], CHANGE).coalesce(1).write.mode("append").parquet(src)
+    s = read_stream(spark, "files", path=src, schema=spark.createDataFrame([], CHANGE).schema, max_files_per_trigger=1)
+    upsert_stream(s, "id", ["id", "a", "b"], ck, trigger="availableNow").awaitTermination()
+    assert {tuple(r) for r in read_upsert_snapshot(spark, ck, "id", ["id", "a", "b"]).collect()} == {("1", "z", "y"), ("3", "q", "new")}

@@ -101,3 +101,33 @@ def test_interval_join_with_watermarks_equals_batch(spark):
     got = sorted(map(tuple, spark.read.parquet(out).collect()))
     want = sorted((k, lt, rt) for k, lt in lrows for k2, rt in rrows if k == k2 and lt - 120_000 <= rt <= lt + 60_000)
     assert got == want and len(want) > 0
+
+
+def _profile_rows(spark, rows, ddl, stream):
+    src, out, ck = _dirs()
+    schema = spark.createDataFrame([], ddl).schema
+    for batch in rows:
+        spark.createDataFrame(batch, ddl).coalesce(1).write.mode("append").parquet(src)
+        import time
+        time.sleep(1.1)
+    s = read_stream(spark, "files", path=src, schema=schema, max_files_per_trigger=1)
+    run_to_completion(stream(s), sink="parquet", path=out, checkpoint=ck)
+    return spark.read.parquet(out)
+
+
+def test_running_windows_stream_adds_sets_and_counts(spark):
+    ddl = "uid string, window_start long, ts long, seq long, n long, os array<string>, ch array<string>, md array<string>, ba array<string>, search_item array<string>"
+    batches = [[("1", 0, 5, 1, 3, ["iOS"], ["b", "a"], [], ["x"], []), ("2", 0, 6, 2, 1, [], [], [], [], ["ü"])],
+               [("1", 240, 250, 5, 1, ["iOS"], ["c"], [], ["x"], ["z"]), ("1", 120, 130, 4, 2, ["Android"], ["a"], ["m"], ["x"], ["é"])]]
+    got = _profile_rows(spark, batches, ddl, ST.running_windows_stream)
+    assert sorted(map(tuple, got.select("uid", "window_start", "pv", "os", "ch", "md", "search_item").collect())) == [
+        ("1", 0, 3, "iOS", "a,b", "", ""), ("1", 120, 5, "Android,iOS", "a,b", "m", "é"), ("1", 240, 6, "Android,iOS", "a,b,c", "m", "z,é"),
+        ("2", 0, 1, "", "", "", "ü")]
+
+
+def test_running_profile_over_batches(spark):
+    ddl = "uid string, ts long, seq long, deviceInfo struct<os:string,ch:string,md:string,ba:string>, search_item string"
+    batches = [[("1", 5, 1, ("iOS", "a", "m", None), None), ("1", 4, 0, ("iOS", "b", "m", None), "q")], [("1", 9, 2, ("Android", "a", "m", "x"), "q")]]
+    got = _profile_rows(spark, batches, ddl, ST.running_profile_stream)
+    assert sorted(map(tuple, got.select("seq", "pv", "os", "ch", "ba", "search_item").collect())) == [
+        (0, 1, "iOS", "b", "", "q"), (1, 2, "iOS", "a,b", "", "q"), (2, 3, "Android,iOS", "a,b", "x", "q")]
