@@ -104,7 +104,7 @@ class Sides:
         parts = text.split(" ")
         odd = set()
         for part in set(parts) - self.plain:
-            if part and opens.match(part) and closes.search(part):
+            if part.isalnum() or part and opens.match(part) and closes.search(part):
                 if len(part) < 40:
                     self.plain.add(part)
             else:
@@ -169,20 +169,17 @@ class Sides:
         split = [self.segments(t) for t in texts]
         if self.held > CACHE_BYTES:  # what is asked for again comes back from the older ones
             self.known, self.older, self.held = {}, self.known, 0
-        new = []
-        for s in set().union(*split):
-            if s not in self.known:
-                if s in self.older:
-                    self.known[s] = self.older[s]
-                    self.held += 300 + 3 * len(s)
-                else:
-                    new.append(s)
+        new = set().union(*split) - self.known.keys()
+        again = new & self.older.keys()
+        self.known.update((s, self.older[s]) for s in again)
+        self.held += 350 * len(again)
+        new = list(new - again)
         for i, j in slices(new, TOKEN_CHARS):
             self._learn(new[i:j])
         out = []
         for s in split:
             both = list(map(self.known.__getitem__, s))
-            out.append(None if None in both else tuple(np.frombuffer(b"".join([x[k] for x in both]), dtype="<i4") for k in (0, 1)))
+            out.append(None if None in both else tuple(np.frombuffer(b"".join(x), dtype="<i4") for x in zip(*both)))
         return out
 
 
@@ -297,7 +294,13 @@ def blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", te
         def done() -> pa.RecordBatch:
             nonlocal serial, block
             pair, held = np.concatenate(block.pairs), np.concatenate(block.held)
-            known, at, holders = np.unique(pair, return_inverse=True, return_counts=True)
+            at, known = pd.factorize(pair)
+            order = np.argsort(known)
+            known = known[order]
+            place = np.empty(len(order), dtype=np.int64)
+            place[order] = np.arange(len(order))
+            at = place[at]
+            holders = np.bincount(at, minlength=len(known))
             step = np.diff(at, prepend=0)
             first = (np.cumsum(held) - held)[held > 0]
             step[first] = at[first]
