@@ -17,8 +17,10 @@ holds one block at a time and a task loads one after the other, so a larger
 benchmark costs more passes over a slice's words, not more memory.
 
 Defined cases: null texts have no words; an item without words has no window;
-an item with a null id is left out, with all its windows;
-equal windows of several items count for each of them; repeated ids and rows
+an item with a null id counts for the words that are hit, but is in no list of
+items (``longest_item`` is null where only such items match longest);
+equal windows of several items count for each of them, items of equal words are
+kept and searched once; repeated ids and rows
 are judged row by row; an empty benchmark hits nothing and an empty document
 table gives an empty result; other columns pass through ``remove_matches``
 whatever their names.
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from portrait.llm.common import SLICE_CHARS, slices, table
+from portrait.llm.common import SLICE_CHARS, slices, table, trimmed
 
 #: Words of one block of benchmark items (a longer item is a block of its own).
 BLOCK_WORDS = 1_000_000
@@ -58,7 +60,7 @@ class Block:
     windows with the places where each stands."""
 
     ids: dict[bytes, int]
-    names: list[str]  # item ids
+    names: list[list[str]]  # ids of the items with the same words, sorted, nulls left out
     windows: np.ndarray  # (distinct windows, window), 0 beyond the end
     lengths: np.ndarray
     first_place: np.ndarray  # window -> its run of places
@@ -66,10 +68,15 @@ class Block:
     place_at: np.ndarray
 
 
-def make_block(items: list[tuple[str, list[bytes]]], window: int) -> Block:
+def make_block(items: list[tuple[str | None, list[bytes]]], window: int) -> Block:
     ids: dict[bytes, int] = {}
     rows, item, at = [], [], []
-    for k, (_, words) in enumerate(items):
+    same: dict[tuple, list[str]] = {}
+    for name, words in items:
+        names = same.setdefault(tuple(words), [])
+        if name is not None:
+            names.append(name)
+    for k, words in enumerate(same):
         seq = [ids.setdefault(w, len(ids) + 1) for w in words]
         for j in range(max(1, len(seq) - window + 1)):
             rows.append(seq[j:j + window] + [0] * (window - len(seq)))
@@ -78,7 +85,7 @@ def make_block(items: list[tuple[str, list[bytes]]], window: int) -> Block:
     windows, kind = np.unique(np.array(rows, dtype=np.int32).reshape(-1, window), axis=0, return_inverse=True)
     order = np.argsort(kind, kind="stable")
     first = np.searchsorted(kind[order], np.arange(len(windows) + 1))
-    return Block(ids, [k for k, _ in items], windows, (windows > 0).sum(axis=1), first, np.array(item)[order], np.array(at)[order])
+    return Block(ids, [sorted(x) for x in same.values()], windows, (windows > 0).sum(axis=1), first, np.array(item)[order], np.array(at)[order])
 
 
 def blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> Iterator[Block]:
@@ -86,7 +93,7 @@ def blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> Ite
     split, items, total = word_splitter(), [], 0
     for row in benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).toLocalIterator():
         words = split(row[1])
-        if not words or row[0] is None:
+        if not words:
             continue
         if items and total + len(words) > BLOCK_WORDS:
             yield make_block(items, window)
@@ -162,6 +169,11 @@ def scan_slice(texts: list, loaded, split) -> dict[str, list]:
         np.add.at(edge, place + block.lengths[kind], -1)
         hit |= np.cumsum(edge)[:n] > 0
         doc = np.searchsorted(starts, place, side="right") - 1
+        # which items: each window of a document once, however often it stands there
+        for key in np.unique(doc * len(block.windows) + kind).tolist():
+            i, k = divmod(key, len(block.windows))
+            for x in set(block.place_item[block.first_place[k]:block.first_place[k + 1]].tolist()):
+                items[i].update(block.names[x])
         width = block.first_place[kind + 1] - block.first_place[kind]
         upto, s = np.cumsum(width), 0
         while s < len(place):
@@ -179,11 +191,11 @@ def scan_slice(texts: list, loaded, split) -> dict[str, list]:
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(new)) - 1
             total = where[last] + size[last] - where[first]
-            for i, k in set(zip(d.tolist(), item.tolist())):
-                items[i].add(block.names[k])
             for i, length, k, a, b in zip(d[first].tolist(), total.tolist(), item[first].tolist(), (where[first] - starts[d[first]]).tolist(), item_at[first].tolist()):
-                if length > longest[i][0] or length == longest[i][0] and (block.names[k], a, b) < longest[i][1:]:
-                    longest[i] = (length, block.names[k], a, b)
+                name = block.names[k][0] if block.names[k] else None
+                rank = lambda n, *at: (n is None, n or "", *at)  # noqa: E731  least item, nulls last
+                if length > longest[i][0] or length == longest[i][0] and rank(name, a, b) < rank(*longest[i][1:]):
+                    longest[i] = (length, name, a, b)
             s = e
     sums = np.concatenate([[0], np.cumsum(hit)])
     return {
@@ -229,7 +241,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, carry: list[str], window: int =
     schema = StructType().add("row", rows.schema["row"].dataType)
     for f in StructType.fromDDL(RESULT).fields:
         schema = schema.add(f)
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def remove_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text",

@@ -18,9 +18,9 @@ def brute(docs, items, window=W):
     windows = {}
     for k, t in items:
         w = words(t)
-        if w and k is not None:
+        if w:  # an item with a null id counts for the words, but has no id to list
             for j in range(max(1, len(w) - window + 1)):
-                windows.setdefault(tuple(w[j:j + window]), set()).add(str(k))
+                windows.setdefault(tuple(w[j:j + window]), set()).update([] if k is None else [str(k)])
     lengths = {len(x) for x in windows}
     out = []
     for t in docs:
@@ -34,7 +34,7 @@ def brute(docs, items, window=W):
                     found |= windows[key]
         for k, it in items:
             v = words(it)
-            if str(k) in found:
+            if v:
                 for p in range(len(w)):
                     for j in range(len(v)):
                         n = 0
@@ -101,7 +101,7 @@ def test_rows_and_removal(spark, monkeypatch):
     rows = [(k if k % 7 else None, t, "a", k) for k, t in enumerate(docs)]
     df = spark.createDataFrame([*rows, rows[3]], "doc_id long, text string, row string, n_hit long")
     bench = spark.createDataFrame([(k, t, 1) for k, t in items], "item_id long, text string, doc_id int")
-    want = brute([*docs, docs[3]], [x for x in items if x[0] is not None])
+    want = brute([*docs, docs[3]], items)
     got = sorted((r.n_words, r.n_hit, r["items"], r.longest) for r in D.scan(df, bench, ["doc_id"]).collect())
     assert got == sorted(want)
     kept = D.remove_matches(df, bench)
@@ -140,3 +140,23 @@ def test_query_equals_brute_force(spark):
                 found |= windows[key]
         want.add((i, len(w), sum(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), sum(hit) > 0))
     assert {tuple(r)[:6] for r in D.op4_decontaminate(spark, sf).collect()} == want
+
+
+def test_items_with_a_null_id_count_for_the_words(spark):
+    docs = spark.createDataFrame([(1, "say one two three again"), (2, "nothing")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "one two three"), ("b", "two three")], "item_id string, text string")
+    got = {r.row.doc_id: r for r in D.scan(docs, items, ["doc_id"], window=10).collect()}
+    assert (got[1].n_hit, got[1].items, got[1].longest, got[1].longest_item) == (3, ["b"], 3, None)
+    assert (got[2].n_hit, got[2].items) == (0, [])
+    assert [r.doc_id for r in D.remove_matches(docs, items).collect()] == [2]
+
+
+def test_many_equal_items_and_a_window_many_times():
+    import resource
+    split = D.word_splitter()
+    passage = "a b c d e f g h i j"
+    block = D.make_block([(f"{k:05}", split(passage)) for k in range(5000)], W)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = D.scan_slice([" x ".join([passage] * 5000)], lambda: iter([block]), split)
+    assert found["n_hit"] == [50_000] and len(found["items"][0]) == 5000 and found["longest"] == [10]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200_000
