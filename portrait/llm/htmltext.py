@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from portrait.llm.common import slices, table
+from portrait.llm.common import slices, table, trimmed
 
 # Frequent function words of the languages that pages come in.
 STOP_WORDS = frozenset((
@@ -262,7 +262,7 @@ def extract(pages: DataFrame, carry: list[str], html_col: str = "html") -> DataF
             for s, e in slices(html):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s, e - s), pa.array(map(main_text, html[s:e]), pa.string())], names=["row", "text"])
 
-    return rows.mapInArrow(run, StructType().add("row", rows.schema["row"].dataType).add("text", "string"))
+    return rows.mapInArrow(trimmed(run), StructType().add("row", rows.schema["row"].dataType).add("text", "string"))
 
 
 def op5_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from portrait.llm.common import cut, sha256_text, slices, table, text_key, written
+from portrait.llm.common import cut, sha256_text, slices, table, text_key, trimmed, written
 
 SPACE = " \t\n\x0b\x0c\r"
 UPPER = {i: i + 32 for i in range(65, 91)}
@@ -75,7 +75,7 @@ def line_keys(docs: DataFrame, min_chars: int = 20, id_col: str = "doc_id", text
                     [pa.array(h[:, 0]), pa.array(h[:, 1]), batch.column(0).take(take), batch.column(1).take(take), pa.array(lines, pa.int32()), pa.array(at, pa.list_(pa.int32()))],
                     names=["hi", "lo", "doc", "tk", "n_lines", "at"])
 
-    return rows.mapInArrow(run, "hi long, lo long, doc long, tk long, n_lines int, at array<int>")
+    return rows.mapInArrow(trimmed(run), "hi long, lo long, doc long, tk long, n_lines int, at array<int>")
 
 
 def stream_keys(min_docs: int):
@@ -164,7 +164,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([len(x) for x in batch.column(3).to_pylist()], pa.int32()), pa.array(maps, pa.binary())],
                                              names=["doc", "tk", "n_lines", "n_dropped", "bitmap"])
 
-    return lost.mapInArrow(run, "doc long, tk long, n_lines int, n_dropped int, bitmap binary")
+    return lost.mapInArrow(trimmed(run), "doc long, tk long, n_lines int, n_dropped int, bitmap binary")
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, carry: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,7 +196,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, carry: list[str], id_col:
     schema = StructType().add("row", rows.schema["row"].dataType)
     for f in StructType.fromDDL("n_lines long, n_dropped long, kept string").fields:
         schema = schema.add(f)
-    return met.mapInArrow(run, schema)
+    return met.mapInArrow(trimmed(run), schema)
 
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

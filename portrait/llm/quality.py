@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from portrait.llm.common import cut, table
+from portrait.llm.common import cut, table, trimmed
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_lines", "n_ended", "n_alpha", "n_distinct", "n_upper", "n_letters", "n_marks"]
@@ -116,7 +116,7 @@ def with_counts(docs: DataFrame, carry: list[str], text_col: str = "text") -> Da
     schema = StructType().add("row", rows.schema["row"].dataType)
     for c in COUNTS:
         schema = schema.add(c, "long")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def votes(rules: tuple[Rule, ...] = RULES) -> Column:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portrait.llm.common import cut, table, written
+from portrait.llm.common import cut, table, trimmed, written
 from portrait.llm.components import connected_components
 
 #: Home fingerprints that a task holds of one anchor at a time.
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             fps = np.array([text_fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=[id_col, "fp"])
 
-    return rows.mapInArrow(run, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(trimmed(run), f"`{id_col}` {rows.schema[0].dataType.simpleString()}, fp long")
 
 
 def hamming_nearest() -> np.ndarray:
@@ -125,7 +125,7 @@ def replicate(classes: DataFrame, near: int, code_blocks: int) -> DataFrame:
                     home = np.concatenate([np.ones(len(fp), dtype=bool), np.zeros(len(row), dtype=bool)])
                     yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(home), pa.array(np.concatenate([fp, fp[row]]))], names=["anchor", "home", "fp"])
 
-    return classes.select("fp").mapInArrow(run, "anchor long, home boolean, fp long")
+    return classes.select("fp").mapInArrow(trimmed(run), "anchor long, home boolean, fp long")
 
 
 def component_roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
