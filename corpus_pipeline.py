@@ -44,7 +44,7 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = bpe.decode(bpe.encode(docs, path), path)
+    encoded = bpe.encode_decode(docs, path)
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", sha256_text(F.col("decoded")).alias("decoded_sha256"))
 
 
