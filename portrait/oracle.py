@@ -482,3 +482,6 @@ SQL["stream_metric_traffic"] = SQL["metric_traffic"]
 SQL["stream_metric_home_detail"] = SQL["metric_home_detail"]
 SQL["stream_metric_cart"] = SQL["metric_cart"]
 SQL["stream_metric_sku"] = SQL["metric_sku"]
+SQL["stream_snapshot_log"] = """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 10 = 0 THEN 'Z' ELSE o_orderstatus END AS status, CAST(o_custkey AS BIGINT) AS user_id
+FROM orders WHERE o_orderkey % 25 <> 0"""

@@ -620,6 +620,31 @@ def stream_dim_enrich(spark, sf):
     return spark.read.parquet(out).select("id", "province_id", "province_name")
 
 
+@register
+def stream_snapshot_log(spark, sf):
+    """A table and its change log as one source.  The snapshot is read in
+    key ranges; the stream then stops and starts again twice, and goes on in
+    the log from its offset.  The database is DuckDB over the given file."""
+    from portrait.session import scratch_path
+    from portrait.sources.change_table import change_table
+    from portrait.streaming.sinks import read_upsert_snapshot, upsert_stream
+    orders, columns = f"read_parquet('{sf}/orders.parquet')", ["id", "status", "user_id"]
+    table = f"(SELECT o_orderkey AS id, o_orderstatus AS status, o_custkey AS user_id FROM {orders})"
+    log = (f"(SELECT o_orderkey * 2 AS pos, 'u' AS op, o_orderkey * 2 AS ts_ms, o_orderkey AS id, 'Z' AS status, o_custkey AS user_id FROM {orders} WHERE o_orderkey % 10 = 0 "
+           f"UNION ALL SELECT o_orderkey * 2 + 1, 'd', o_orderkey * 2 + 1, o_orderkey, NULL, NULL FROM {orders} WHERE o_orderkey % 25 = 0)")
+
+    def connect():
+        import duckdb
+        return duckdb.connect()
+
+    checkpoint = scratch_path(spark, "ckpt-snapshot-log")
+    for upto in ("0", f"(SELECT MAX(o_orderkey) FROM {orders})", "9223372036854775807"):  # the log as far as it has come
+        source = change_table("orders_with_log", connect, table, "id", columns, log=f"(SELECT * FROM {log} WHERE pos <= {upto})", name="orders", parts=8)
+        spark.dataSource.register(source)
+        upsert_stream(spark.readStream.format("orders_with_log").load(), "id", columns, checkpoint, trigger="availableNow").awaitTermination()
+    return read_upsert_snapshot(spark, checkpoint, "id", columns).select(F.col("id").cast("bigint").alias("id"), "status", F.col("user_id").cast("bigint").alias("user_id"))
+
+
 @register
 def query_rows(spark, sf):
     """A query's rows, its labels in camel case (the reader is any
