@@ -168,6 +168,20 @@ def window_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     return l.join(r, on=["_k", "window_start"], how="inner").withColumnRenamed("_k", "key")
 
 
+#: Buckets of ``hash_filter``: the filter has at most so many rows of 4 bytes.
+FILTER_BUCKETS = 1 << 20
+
+
+def hash_filter(df: DataFrame, key: Column, keys_of: DataFrame, their_key: Column) -> DataFrame:
+    """The rows of ``df`` whose key may be among the keys of ``keys_of``, by a
+    filter of fixed size: the hash buckets that the keys fall into, broadcast.
+    No row with such a key is lost; some others stay by chance, so a join on
+    the key has to follow.  Beyond a few million keys it filters little."""
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BUCKETS)).cast("int")
+    held = keys_of.select(bucket(their_key).alias("_bucket")).distinct()
+    return df.withColumn("_bucket", bucket(key)).join(F.broadcast(held), "_bucket", "left_semi").drop("_bucket")
+
+
 def dim_join(df: DataFrame, dim: DataFrame, key: str, dim_key: str, columns: dict[str, str],
              how: str = "left", max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
              broadcast: bool | None = None) -> DataFrame:

@@ -204,7 +204,15 @@ def window_join_minute(spark, sf):
 def _age_label(spark, sf, mode):
     t = Tables(spark, sf)
     uid = F.floor(F.col("user_id") / A.USER_DIV).cast("string")
-    return _label_cols(AL.age_label(spark, wide(t), pages(spark, t, mode), mode, HOUR_MS, result_uid=uid))
+    tree = categories(t) if mode == "repaired" else None
+
+    def scores(rows):
+        rows = SC.device_scores(rows, spark)
+        # as run, search scores are neither shown nor added up
+        return rows if tree is None else SC.search_scores(rows, spark, tree, A.category_compare_dic(t.region), "search_term")
+
+    log = A.page_log(t.events, replay_every=10)
+    return _label_cols(AL.age_label_of_log(spark, wide(t), log, lambda x: PP.window_rows(x, categories=tree), scores, mode, HOUR_MS, result_uid=uid))
 
 
 def _label_cols(out):

@@ -1,0 +1,41 @@
+"""The page side of the age label, reduced to what can meet an order."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from portrait import queries as Q
+from portrait.operators import joins as J
+from portrait.plans import age_label as AL
+from portrait.sources import adapters as A
+from portrait.sources.tables import Tables
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_hash_filter_loses_no_key(spark, monkeypatch):
+    rows = spark.range(2000).select(F.col("id").cast("string").alias("k"), "id").union(spark.createDataFrame([(None, 7)], "k string, id long"))
+    keys = spark.createDataFrame([(str(i),) for i in range(0, 2000, 50)] + [(None,), ("absent",)], "u string")
+    kept = {r.k for r in J.hash_filter(rows, F.col("k"), keys, F.col("u")).collect()}
+    assert {str(i) for i in range(0, 2000, 50)} | {None} <= kept and len(kept) <= 45
+    monkeypatch.setattr(J, "FILTER_BUCKETS", 1)  # a full filter keeps all
+    assert J.hash_filter(rows, F.col("k"), keys, F.col("u")).count() == 2001
+    assert J.hash_filter(rows, F.col("k"), keys.limit(0), F.col("u")).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["as_run", "repaired"])
+def test_reduced_label_equals_the_whole_one(spark, mode):
+    t = Tables(spark, SF)
+    uid = F.floor(F.col("user_id") / A.USER_DIV).cast("string")
+    whole = AL.age_label(spark, Q.wide(t), Q.pages(spark, t, mode), mode, Q.HOUR_MS, result_uid=uid)
+    cols = ["window_start", "key", "result.id", "Log.ts", "Log.judge_os", "Log.pv", "device", "search", "sum", "new_ageGroup"]
+    want = sorted(map(tuple, whole.select(*cols).collect()), key=repr)
+    names = [F.col(c) for c in cols]
+    import portrait.queries as queries
+    seen = {}
+    monkey = queries._label_cols
+    queries._label_cols = lambda out: seen.setdefault("out", out)
+    try:
+        queries._age_label(spark, SF, mode)
+    finally:
+        queries._label_cols = monkey
+    assert sorted(map(tuple, seen["out"].select(*names).collect()), key=repr) == want and want
