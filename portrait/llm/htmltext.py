@@ -64,7 +64,6 @@ OWN = frozenset("header masthead byline".split())
 SHORT, LONG = 70, 200  # code points of a block
 STOP_LOW, STOP_HIGH = 0.10, 0.25  # stop words among words
 LINKS = 0.33  # share of a block's text inside links
-DEPTH = 64  # outer containers that tell blocks apart
 UNCLOSED = ("nav", "header", "footer", "head")
 
 # Every alternative stops at the next "<" (but a comment, which ends once), so
@@ -81,9 +80,11 @@ RAW_END = {name: re.compile(rf"</{name}\s*>|\Z", re.I) for name in RAW}
 
 @dataclass
 class Block:
-    """Text between block-level tags.  ``path``: the containers it is in."""
+    """Text between block-level tags.  ``low``: how many containers stayed open
+    from where the block before began to where this one does, so the least of
+    the blocks on the way is the number of containers that two blocks share."""
 
-    path: tuple[int, ...]
+    low: int
     boilerplate: bool
     article: bool
     runs: list[str] = field(default_factory=list)
@@ -116,18 +117,28 @@ def is_area(name: str, attributes: str, in_article: bool) -> bool:
 def page_blocks(html: str) -> list[Block]:
     """The blocks with text of a page, in order."""
     out: list[Block] = []
-    open_: list[tuple[str, int, bool, bool]] = []  # name, number, boilerplate, article
+    open_: list[tuple[str, bool, bool]] = []  # name, boilerplate, article
     named: Counter = Counter()  # open elements by name
-    links = breaks = number = 0
-    block = Block((), False, False)
+    links = breaks = lowest = 0
+    block = Block(0, False, False)
+
+    def close() -> str:
+        """Close the innermost open container."""
+        nonlocal lowest
+        name = open_.pop()[0]
+        lowest = min(lowest, len(open_))
+        return name
 
     def end() -> None:
-        nonlocal block
+        nonlocal block, lowest
         block.text = " ".join("".join(block.runs).split())
         if block.text:
             out.append(block)
-        last = open_[-1] if open_ else ("", 0, False, False)
-        block = Block(tuple(x[1] for x in open_[:DEPTH]), last[2], last[3])
+            since = lowest
+        else:  # a block without text is none: the next one follows the one before it
+            since = min(block.low, lowest)
+        _, boilerplate, article = open_[-1] if open_ else ("", False, False)
+        block, lowest = Block(since, boilerplate, article), len(open_)
 
     def say(raw: str) -> None:
         nonlocal breaks
@@ -160,16 +171,16 @@ def page_blocks(html: str) -> list[Block]:
             if name == "a":
                 links = 1  # links do not nest: a second one closes the first
                 continue
-            inside = open_[-1] if open_ else ("", 0, False, False)
-            area = is_area(name, attributes, inside[3])
+            inside = open_[-1] if open_ else ("", False, False)
+            area = is_area(name, attributes, inside[2])
             if name in ("article", "main") and not area:
                 while any(named[x] for x in UNCLOSED):  # these were never closed
-                    named[open_.pop()[0]] -= 1
-                inside = open_[-1] if open_ else ("", 0, False, False)
+                    named[close()] -= 1
+                inside = open_[-1] if open_ else ("", False, False)
             if name == "body":
                 while named["head"]:
-                    named[open_.pop()[0]] -= 1
-                inside = open_[-1] if open_ else ("", 0, False, False)
+                    named[close()] -= 1
+                inside = open_[-1] if open_ else ("", False, False)
             if name not in BLOCK and not area:
                 if name in ("img", "input", "wbr"):
                     block.runs.append("" if name == "wbr" else " ")
@@ -179,14 +190,13 @@ def page_blocks(html: str) -> list[Block]:
                 end()
                 continue
             if name in CONTAINER or area:
-                number += 1
                 named[name] += 1
-                open_.append((name, number, inside[2] or area, inside[3] or name in ("article", "main")))
+                open_.append((name, inside[1] or area, inside[2] or name in ("article", "main")))
             end()
         elif name == "a":
             links = 0
         elif named[name]:
-            while (last := open_.pop()[0]) != name:
+            while (last := close()) != name:
                 named[last] -= 1
             named[name] -= 1
             end()
@@ -213,14 +223,16 @@ def first_pass(block: Block) -> int:
     return 0
 
 
-def shared(a: tuple, b: tuple) -> int:
-    """Containers that two blocks are both in."""
-    n = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        n += 1
-    return n
+def shared(blocks: list[Block], decided: list[int]) -> tuple[list[int], list[int]]:
+    """For every block the containers that it shares with the nearest decided
+    block before it and behind it (0 where there is none)."""
+    n = len(blocks)
+    before, behind, known = [0] * n, [0] * n, set(decided)
+    for i in range(1, n):
+        before[i] = blocks[i].low if i - 1 in known else min(before[i - 1], blocks[i].low)
+    for i in range(n - 2, -1, -1):
+        behind[i] = blocks[i + 1].low if i + 1 in known else min(behind[i + 1], blocks[i + 1].low)
+    return before, behind
 
 
 def label(blocks: list[Block]) -> None:
@@ -233,6 +245,7 @@ def label(blocks: list[Block]) -> None:
                 b.label = -1
     decided = [i for i, b in enumerate(blocks) if b.label]
     first = [b.label for b in blocks]
+    before, behind = shared(blocks, decided)
     for i, b in enumerate(blocks):
         if first[i]:
             continue
@@ -242,7 +255,7 @@ def label(blocks: list[Block]) -> None:
             other = blocks[j]
             # an area says nothing about what stands beside it, nor does the page about its article
             if not other.boilerplate and not (b.article and not other.article):
-                near.append((-shared(b.path, other.path), abs(i - j), -first[j]))
+                near.append((-(before if j < i else behind)[i], abs(i - j), -first[j]))
         b.label = -min(near)[2] if near else 1
 
 

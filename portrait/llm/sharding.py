@@ -32,7 +32,8 @@ from pyspark.sql.window import Window
 
 from portrait.llm.common import cut, table, written
 
-#: Buckets of a two-level rank for each key.
+#: Rows in a bucket of a two-level rank, about; there are ``BUCKETS`` at least.
+BUCKET_ROWS = 50_000
 BUCKETS = 128
 #: Members of a group that are joined with its aims in one part.
 PART_ROWS = 500
@@ -49,17 +50,20 @@ def nodes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return cut(rows)
 
 
-def ranked(df: DataFrame, keys: list[str], name: str = "rank", buckets: int = BUCKETS) -> DataFrame:
+def ranked(df: DataFrame, keys: list[str], rows: int, name: str = "rank") -> DataFrame:
     """``df`` with each row's rank (from 0) among the rows of its key, in an
-    order drawn by hash of ``rid``.  The keys take few values, so the table of
-    offsets is small: values of the keys times ``buckets`` rows."""
+    order drawn by hash of ``rid``.  The number of buckets follows ``rows``, how
+    many rows there are, so no task sorts more than a bucket; the offsets are a
+    row for each bucket and value of the keys and come by a join on both, which
+    the rows are dealt by already."""
+    buckets = max(BUCKETS, -(-rows // BUCKET_ROWS))
     df = df.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(7), "rid"), F.lit(buckets)))
     part = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = df.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
     offsets = counts.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(part), F.lit(0)).alias("_offset"))
     inside = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy("rid"))
     numbered = df.withColumn("_inside", inside)
-    return (numbered.join(F.broadcast(offsets), [*keys, "_bucket"])
+    return (numbered.join(offsets, [*keys, "_bucket"])
             .withColumn(name, (F.col("_offset") + F.col("_inside") - 1).cast("long")).drop("_bucket", "_inside", "_offset"))
 
 
@@ -99,7 +103,8 @@ def grant(wishes: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int
 
 def propagate(linked: DataFrame, quotas: list[int], turns: int) -> DataFrame:
     """``linked`` (rid, g, members, shard, ...) after the moves."""
-    spark, average = linked.sparkSession, max(1, sum(quotas) // len(quotas))
+    spark, total = linked.sparkSession, sum(quotas)
+    average = max(1, total // len(quotas))
     for _ in range(turns):
         held = {r["shard"]: r["n"] for r in linked.groupBy("shard").agg(F.count("*").alias("n")).collect()}
         room = [q - held.get(j, 0) for j, q in enumerate(quotas)]
@@ -124,7 +129,7 @@ def propagate(linked: DataFrame, quotas: list[int], turns: int) -> DataFrame:
         if not granted:
             return linked
         allowed = values(spark, [(i, j, n) for (i, j), n in granted.items()], "shard, to, allowed")
-        moving = ranked(asked.where("shard <> to"), ["shard", "to"]).join(F.broadcast(allowed), ["shard", "to"], "left")
+        moving = ranked(asked.where("shard <> to"), ["shard", "to"], total // len(quotas)).join(F.broadcast(allowed), ["shard", "to"], "left")
         moved = moving.withColumn("shard", F.when(F.col("rank") < F.coalesce("allowed", F.lit(0)), F.col("to")).otherwise(F.col("shard")))
         linked = cut(moved.select(linked.columns).unionByName(asked.where("shard = to").select(linked.columns)))
     return linked
@@ -139,7 +144,7 @@ def assign(docs: DataFrame, shards: int = 40, turns: int = 8, id_col: str = "doc
     # written: where both sides are plain reads, Spark can split one large group
     met = cut(rows.join(written(groups), "g", "left").select("rid", "id", "size", "text_crc32", "g", "members"))
     linked, single = met.where("members IS NOT NULL"), met.where("members IS NULL")
-    start = ranked(linked.withColumn("_all", F.lit(0)), ["_all"]).withColumn("shard", (F.col("rank") % shards).cast("int"))
+    start = ranked(linked.withColumn("_all", F.lit(0)), ["_all"], total).withColumn("shard", (F.col("rank") % shards).cast("int"))
     linked = propagate(cut(start.drop("_all", "rank")), quotas, turns)
     held = {r["shard"]: r["n"] for r in linked.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     upto, ends = 0, []
@@ -147,10 +152,10 @@ def assign(docs: DataFrame, shards: int = 40, turns: int = 8, id_col: str = "doc
         upto += q - held.get(j, 0)
         ends.append(upto)
     full = F.size(F.filter(F.array(*[F.lit(e).cast("long") for e in ends]), lambda e: e <= F.col("rank")))
-    filled = ranked(single.withColumn("_all", F.lit(0)), ["_all"]).withColumn("shard", full.cast("int"))
+    filled = ranked(single.withColumn("_all", F.lit(0)), ["_all"], total).withColumn("shard", full.cast("int"))
     names = ["rid", "id", "size", "text_crc32", "shard"]
     placed = cut(linked.select(names).unionByName(filled.select(names)))
-    return ranked(placed, ["shard"], "slot").select("id", "size", "text_crc32", "shard", "slot")
+    return ranked(placed, ["shard"], total // shards, "slot").select("id", "size", "text_crc32", "shard", "slot")
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

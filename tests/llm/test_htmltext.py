@@ -73,3 +73,16 @@ def test_rows(spark):
     got = H.extract(df, ["page_id", "row", "text"]).collect()
     assert sorted(r.text for r in got) == sorted([w for _, w in PAGES[:6]] + [PAGES[5][1], ""])
     assert H.extract(df.limit(0), ["page_id"]).count() == 0
+
+
+def test_containers_of_any_depth_tell_blocks_apart():
+    """An open short block takes the label of its own container, however deep."""
+    for depth in (3, 70, 5000):
+        deep = "<div>" * depth
+        text = "<p>" + "the and of to in a word with the and of to in the same " * 4 + "</p>"
+        far = "<p>" + "xq zv kw " * 60 + "</p>"  # long, without stop words: boilerplate
+        page = f"<body>{deep}<div>{far}</div><div><p>short one</p>{text}</div>{'</div>' * depth}</body>"
+        got = H.main_text(page).split("\n")
+        assert got[0] == "short one" and len(got) == 2, depth
+        page = f"<body>{deep}<div>{text}</div><div><p>short one</p>{far}</div>{'</div>' * depth}</body>"
+        assert "short one" not in H.main_text(page), depth

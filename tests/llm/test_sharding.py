@@ -90,3 +90,15 @@ def test_no_python_runs_in_the_query(spark, capsys):
     groups = check(rows, texts, 40)
     assert sum(len(set(v)) > 1 for v in groups.values() if len(v) <= 5) == 0
     assert {(r["law"], r["grown_shard"]) for r in rows} == {("rows", None)}
+
+
+def test_buckets_follow_the_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(S, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(S, "BUCKETS", 2)
+    df = spark.range(500).selectExpr("id AS rid", "id % 3 AS k")
+    got = S.ranked(df, ["k"], 500).collect()
+    for k in range(3):
+        mine = sorted(r["rank"] for r in got if r["k"] == k)
+        assert mine == list(range(len(mine)))
+    texts = {i: f"text {i % 150}" for i in range(400)}
+    check(S.assign(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 8).collect(), texts, 8)
