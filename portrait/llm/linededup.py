@@ -78,6 +78,11 @@ def line_keys(docs: DataFrame, min_chars: int = 20, id_col: str = "doc_id", text
     return rows.mapInArrow(trimmed(run), "hi long, lo long, doc long, tk long, n_lines int, at array<int>")
 
 
+#: Rows of a key's first documents that a task holds before it knows whether
+#: there are ``min_docs`` of them.
+HELD_ROWS = 10_000
+
+
 def stream_keys(min_docs: int):
     """A function over one partition's rows in order of (key, id descending):
     yields lines to drop, and what only the neighbour partitions can settle."""
@@ -89,11 +94,12 @@ def stream_keys(min_docs: int):
         seen: list[int] = []  # the first min_docs documents of the key
         head: list[tuple] = []  # rows of its first document, if a neighbour may hold a larger one
         wait: list[tuple] = []  # rows of the documents up to min_docs - 1, beside the first
-        last = None
+        last = row_before = None
+        left_open = False  # rows of the key went out undecided
         out: list[tuple] = []
 
         def settle() -> None:
-            """Return what the partition's first or last key leaves open."""
+            """Return what a key leaves open."""
             out.extend((*key, d, 0, 0, [], SEEN) for d in seen)
             out.extend((*key, *r, PENDING) for r in head + wait)
 
@@ -111,10 +117,13 @@ def stream_keys(min_docs: int):
             part = batch.take(pa.array(rows)).to_pydict()
             for a, b, d, tk, lines, at in zip(part["hi"], part["lo"], part["doc"], part["tk"], part["n_lines"], part["at"]):
                 if (a, b) != key:
-                    if key is not None and first_key:
-                        settle()
+                    if key is not None and (first_key or left_open):
+                        settle() if first_key else out.extend((*key, d, 0, 0, [], SEEN) for d in seen)
                         first_key = False
-                    key, seen, head, wait, last = (a, b), [], [], [], None
+                    key, seen, head, wait, last, row_before, left_open = (a, b), [], [], [], None, None, False
+                if (d, tk) == row_before:  # the same text of the same id says the same again
+                    continue
+                row_before = (d, tk)
                 if d != last:
                     last = d
                     if len(seen) < min_docs:
@@ -130,6 +139,9 @@ def stream_keys(min_docs: int):
                     wait.append(row)
                 else:
                     out.append((*key, *row, DROP))
+                if len(head) + len(wait) > HELD_ROWS:
+                    out.extend((*key, *r, PENDING) for r in head + wait)
+                    head, wait, left_open = [], [], True
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
                 out.clear()
@@ -144,9 +156,10 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col
     """(doc, tk, n_lines, n_dropped, bitmap) for every row that loses lines.
     bitmap: zlib of one bit a line, 1 = stays, first line in the high bit."""
     keys = written(line_keys(docs, min_chars, id_col, text_col))
-    dealt = keys.repartitionByRange("hi", "lo", F.desc("doc")).sortWithinPartitions("hi", "lo", F.desc("doc"))
+    order = ["hi", "lo", F.desc("doc"), "tk"]  # one id (or none) may be on many rows
+    dealt = keys.repartitionByRange(*order).sortWithinPartitions(*order)
     found = cut(dealt.mapInArrow(stream_keys(min_docs), "hi long, lo long, doc long, tk long, n_lines int, at array<int>, kind byte"))
-    # at most two keys for each partition
+    # at most two keys for each partition, and one for each HELD_ROWS rows
     open_keys = (found.where(F.col("kind") == SEEN).groupBy("hi", "lo")
                  .agg(F.countDistinct("doc").alias("docs"), F.max("doc").alias("largest")).where(F.col("docs") >= min_docs))
     late = (found.where(F.col("kind") == PENDING).join(F.broadcast(open_keys), ["hi", "lo"]).where("doc < largest")

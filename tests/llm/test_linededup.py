@@ -112,3 +112,27 @@ def test_bitmap_has_one_bit_a_line(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert L.drop_repeated_lines(df).count() == 0
+
+
+@pytest.mark.parametrize("held", [0, 1, 3])
+def test_rows_beyond_what_a_task_holds(monkeypatch, held):
+    monkeypatch.setattr(L, "HELD_ROWS", held)
+    for seed in range(6):
+        test_stream_over_any_partition_bounds(seed)
+
+
+def test_many_rows_of_one_id_and_of_none(spark, monkeypatch):
+    monkeypatch.setattr(L, "HELD_ROWS", 5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 12)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    line, other = "a line of more than twenty characters", "another line of more than twenty characters"
+    rows = [(None, f"{line}\nrow {k}") for k in range(60)] + [(5, f"{line}\n{other}\nown {k}") for k in range(60)] + [(5, f"{line}\nsame")] * 40
+    rows += [(4, other), (3, line), (3, other)]
+    try:
+        df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, kept int")
+        found = L.apply_bitmaps(df, L.keep_bitmaps(df), ["kept"]).collect()
+        assert {r.row.kept: (r.n_lines, r.n_dropped, r["kept"]) for r in found} == dict(enumerate(brute(rows)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
