@@ -31,8 +31,6 @@ from pyspark.sql import functions as F
 
 from portrait.llm.common import cut, lower_ascii, table, written
 
-#: Rules are a parameter, compared with every url; more of them are refused.
-MAX_RULES = 2_000
 CUT_TURNS = 5
 HREF = r"""(?i)<a\s[^<>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
@@ -58,15 +56,27 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, "://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def fitting_rule(host: Column, path: Column, rules: list[UrlRule]) -> Column:
-    """The longest rule that fits, as struct (text, verdict); null if none."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    order = sorted(set(rules), key=lambda r: (-len(r.text), r.text, r.verdict))
-    if not order:
-        return F.lit(None).cast("struct<text:string,verdict:string>")
-    known = F.array(*[F.struct(F.lit(r.host).alias("host"), F.lit(r.path).alias("path"), F.lit(r.text).alias("text"), F.lit(r.verdict).alias("verdict")) for r in order])
-    fits = F.filter(known, lambda r: ((host == r["host"]) | F.endswith(host, F.concat(F.lit("."), r["host"]))) & F.startswith(path, r["path"]))
+def rule_table(spark: SparkSession, rules: list[UrlRule]) -> DataFrame:
+    """(rule_host, place, path, text, verdict) of the distinct rules; ``place``
+    puts the rule first that wins: the longest, then the first by text."""
+    rows = [(r.host, -len(r.text), r.path, r.text, r.verdict) for r in sorted(set(rules), key=lambda r: (r.text, r.verdict))]
+    return spark.createDataFrame(rows, "rule_host string, place int, path string, text string, verdict string")
+
+
+def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, rules): for each host its rules, and those of the domains that it
+    is in, the winning ones first.  A host meets the rules by its suffixes (one
+    for each label), so any number of rules costs one join on hosts."""
+    labels = F.split("host", r"\.")
+    suffix = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    met = hosts.select("host", F.explode(suffix).alias("rule_host")).join(rules, "rule_host")
+    return met.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("place", "text", "verdict", "path"))).alias("rules"))
+
+
+def fitting_rule(path: Column, rules: Column) -> Column:
+    """The first of a host's rules whose path fits, as struct (text, verdict);
+    null if none."""
+    fits = F.filter(rules, lambda r: F.startswith(path, r["path"]))
     return F.get(F.transform(fits, lambda r: F.struct(r["text"].alias("text"), r["verdict"].alias("verdict"))), F.lit(0))
 
 
@@ -105,11 +115,14 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = 0.85, turns:
     return score.groupBy("host").agg(value("trust"), value("distrust"))
 
 
-def judge_urls(pages: DataFrame, rules: list[UrlRule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+def judge_urls(pages: DataFrame, rules: list[UrlRule] | DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                damping: float = 0.85, turns: int = 20, threshold: float = 0.075) -> DataFrame:
-    """(id_col, host, path, rule, verdict) of every page."""
+    """(id_col, host, path, rule, verdict) of every page.  ``rules``: a list,
+    or a table as ``rule_table`` makes it."""
     at = pages.select(F.col(id_col), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
-    ruled = at.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
+    known = host_rules(at.select("host").where("host <> ''").distinct(), rules if isinstance(rules, DataFrame) else rule_table(pages.sparkSession, rules))
+    # written, as the blocked hosts below
+    ruled = at.join(written(known), "host", "left").withColumn("fit", fitting_rule(F.col("path"), F.col("rules"))).drop("rules")
     share = lambda verdict: F.avg((F.coalesce(F.col("fit.verdict"), F.lit("")) == verdict).cast("double"))
     seeds = ruled.where("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust"))
     scores = propagate(cut(seeds), cut(host_links(pages, url_col, html_col)), damping, turns)

@@ -69,8 +69,10 @@ def test_rules(spark):
     df = spark.createDataFrame([(i, u, "") for i, u in enumerate(urls)], "page_id long, url string, html string")
     got = [(r.rule, r.verdict) for r in U.judge_urls(df, rules).orderBy("page_id").collect()]
     assert got == [("a.b/x", "allow"), ("b/xyz", "block"), (None, "allow"), ("b/xyz" if len("b/xyz") > len("a.b/x") else "a.b/x", "block" if len("b/xyz") > len("a.b/x") else "allow"), ("c", "block"), ("c", "block"), (None, "allow")]
-    with pytest.raises(ValueError):
-        U.judge_urls(df, [U.UrlRule(str(i), "/", "block") for i in range(U.MAX_RULES + 1)])
+    many = rules + [U.UrlRule(f"h{i}.a.b", "/x", "allow") for i in range(5_000)]  # any number of rules
+    assert [(r.rule, r.verdict) for r in U.judge_urls(df, many).orderBy("page_id").collect()] == got
+    one = spark.createDataFrame([(1, "http://deep.h77.a.b/xyz", "")], "page_id long, url string, html string")
+    assert [(r.rule, r.verdict) for r in U.judge_urls(one, U.rule_table(spark, many)).collect()] == [("h77.a.b/x", "allow")]
 
 
 def test_empty_table_and_no_rules(spark):
