@@ -485,3 +485,6 @@ SQL["stream_metric_sku"] = SQL["metric_sku"]
 SQL["stream_snapshot_log"] = """
 SELECT o_orderkey AS id, CASE WHEN o_orderkey % 10 = 0 THEN 'Z' ELSE o_orderstatus END AS status, CAST(o_custkey AS BIGINT) AS user_id
 FROM orders WHERE o_orderkey % 25 <> 0"""
+SQL["stream_metric_login"] = SQL["metric_login"]
+SQL["stream_metric_payment"] = SQL["metric_payment"]
+SQL["stream_memory_sink"] = f"SELECT province_id, count(*) AS n FROM ({AD['order_info']}) GROUP BY province_id"

@@ -576,6 +576,21 @@ def stream_metric_cart(spark, sf):
     return _report(spark, "m4", cart_add_stream, DAY_KEYS, _page_stream(spark, sf, "m4"))
 
 
+@register
+def stream_metric_login(spark, sf):
+    """M3 on a stream: the days of each user as state."""
+    from portrait.streaming.metrics import day_report, login_deltas
+    return day_report(_drain(spark, login_deltas(_page_stream(spark, sf, "m3"), back_days=3), "m3"), "uu_ct", "back_ct")
+
+
+@register
+def stream_metric_payment(spark, sf):
+    """M5 on a stream."""
+    from portrait.streaming.metrics import day_report, payment_deltas
+    orders = _stream(spark, A.order_info(Tables(spark, sf).orders), "m5", "ts_ms")
+    return day_report(_drain(spark, payment_deltas(orders), "m5"), "payment_uu_ct", "new_payer_ct")
+
+
 @register
 def stream_metric_sku(spark, sf):
     """M7 on a stream: earlier versions of lines arrive first, their updates
@@ -613,6 +628,17 @@ def stream_text_sink(spark, sf):
     return spark.read.text(out).select(row.alias("r")).select("r.id", "r.user_id", "r.total_amount")
 
 
+@register
+def stream_memory_sink(spark, sf):
+    """S15 with the sink that tests read: orders by province, complete mode
+    (the table is small: a row for each province)."""
+    from portrait.session import scratch_path
+    from portrait.streaming.sinks import run_to_completion
+    counts = _orders_stream(spark, Tables(spark, sf), "memory").groupBy("province_id").agg(F.count("*").alias("n"))
+    run_to_completion(counts, sink="memory", query_name="orders_by_province", output_mode="complete", checkpoint=scratch_path(spark, "ckpt-memory"))
+    return spark.table("orders_by_province")
+
+
 @register
 def stream_dim_enrich(spark, sf):
     """Each micro-batch meets the current snapshot of a

@@ -1,4 +1,4 @@
-"""Daily metrics on a stream (M1, M2, M4, M7).
+"""Daily metrics on a stream (M1-M5, M7).
 
 A distinct count over a day becomes a sum: the first record of a visitor (of a
 session, of a page's visitor) in a day carries a flag, all others carry none,
@@ -10,6 +10,8 @@ so any window's flags add up to the day's count.
 * The flags feed plain windowed sums in update mode: the report of a day moves
   while the day goes on.  ``slot_ms`` cuts days into shorter windows whose flags
   still add up to the day.
+* ``login_deltas`` (M3) and ``payment_deltas`` (M5) keep the days of each user;
+  a day that arrives late changes the flags of its neighbours, as deltas.
 * ``sku_deltas`` (M7) turns deliveries of order lines into changes of the daily
   sums: a later delivery of a line takes its old amounts back and adds its new
   ones; a delivery older than the one that counts changes nothing.
@@ -21,6 +23,7 @@ of all records is one state row.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -110,6 +113,61 @@ def read_report(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return (rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch_id").alias("_r")).select(*keys, *[f"_r.{c}" for c in others]))
 
 
+# ---- M3, M5 --------------------------------------------------------------------------
+DAY_DELTA = "day_ms bigint, users bigint, flagged bigint"
+
+
+def _user_days(rows: DataFrame, user: str, watermark: str) -> DataFrame:
+    """(user, day_ms) of each user's first record of a day, whatever the
+    traffic: de-duplicated by Spark's own operator, combined before Python."""
+    timed = rows.withColumn("_at", F.timestamp_millis("_ms")).withWatermark("_at", watermark).select(user, F.window("_at", "1 day").alias("day"))
+    return timed.dropDuplicates(["day", user]).select(user, F.unix_millis("day.start").alias("day_ms"))
+
+
+def _neighbours(flag: Callable[[int | None, int], bool]):
+    """State function over a user's days: what new days change.  ``flag`` says
+    whether a day counts, from the day before it (None: the first) and itself."""
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        days = list(state.get[0]) if state.exists else []
+        out = []
+        for day in sorted({int(d) for f in frames for d in f["day_ms"].tolist()} - set(days)):
+            at = bisect_left(days, day)
+            before = days[at - 1] if at else None
+            out.append((day, 1, int(flag(before, day))))
+            if at < len(days):  # the next day has another one before it now
+                out.append((days[at], 0, int(flag(day, days[at])) - int(flag(before, days[at]))))
+            days.insert(at, day)
+        if out:
+            state.update((days,))
+            yield pd.DataFrame(out, columns=["day_ms", "users", "flagged"])
+
+    return run
+
+
+def login_deltas(raw: DataFrame, back_days: int = 8, watermark: str = "10 minutes") -> DataFrame:
+    """M3 as changes (day_ms, users, flagged): active users and users who
+    return (their active day before is ``back_days`` or more days before)."""
+    c = F.col("common")
+    rows = raw.where(c.isNotNull()).select(F.coalesce(c.uid, F.lit("-1")).alias("uid"), F.col("ts").alias("_ms")).where("uid <> ''")
+    back = _neighbours(lambda before, day: before is not None and day - before >= back_days * DAY_MS)
+    return _user_days(rows, "uid", watermark).groupBy("uid").applyInPandasWithState(back, DAY_DELTA, "days array<bigint>", "append", GroupStateTimeout.NoTimeout)
+
+
+def payment_deltas(orders: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """M5 as changes: payers and first-time payers of the day."""
+    first = _neighbours(lambda before, day: before is None)
+    rows = orders.select("user_id", F.col("ts_ms").alias("_ms"))
+    return _user_days(rows, "user_id", watermark).groupBy("user_id").applyInPandasWithState(first, DAY_DELTA, "days array<bigint>", "append", GroupStateTimeout.NoTimeout)
+
+
+def day_report(deltas: DataFrame, users: str, flagged: str) -> DataFrame:
+    """(stt, edt, cur_date, users, flagged) from the changes so far."""
+    from portrait.operators.metrics import day_window
+    return (deltas.select(*day_window("day_ms"), "users", "flagged").groupBy("stt", "edt", "cur_date")
+            .agg(F.sum("users").alias(users), F.sum("flagged").alias(flagged)).where(F.col(users) > 0))
+
+
 # ---- M7 ----------------------------------------------------------------------------
 CENTS = ["original_cents", "activity_cents", "coupon_cents"]
 LINE = ["ts_ms", "pos", "sku_id", *CENTS]

@@ -101,15 +101,23 @@ def running_windows_stream(closed: DataFrame) -> DataFrame:
         RunningProfile(windows=True), out, "append", "None")
 
 
+def content_digest(flat: DataFrame, content: list[str]) -> DataFrame:
+    """``flat`` with ``_digest``: 32 bytes that stand for the content (SHA-256
+    of its JSON, which tells null, text and number apart)."""
+    return flat.withColumn("_digest", F.unhex(F.sha2(F.to_json(F.struct(*content)).cast("binary"), 256)))
+
+
 def dedup_stream(flat: DataFrame, watermark: str | None = None, time_col: str = "event_time") -> DataFrame:
     """A1 on a stream: the first arrival of each distinct record passes.
-    ``watermark=None`` keeps every record ever seen in state, as the
-    original did; with a delay, ``dropDuplicatesWithinWatermark`` bounds
-    the state (``time_col`` must be a timestamp column)."""
+    State holds a digest of each record, not the record.
+    ``watermark=None`` keeps every record's digest for ever, as the original
+    kept its text; with a delay, ``dropDuplicatesWithinWatermark`` bounds the
+    state (``time_col`` must be a timestamp column)."""
     content = [c for c in flat.columns if c not in ("seq", time_col)]
+    rows = content_digest(flat, content)
     if watermark is None:
-        return flat.dropDuplicates(content)
-    return flat.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(content)
+        return rows.dropDuplicates(["_digest"]).drop("_digest")
+    return rows.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(["_digest"]).drop("_digest")
 
 
 def with_event_time(df: DataFrame, ms_col: str = "ts", out: str = "event_time") -> DataFrame:

@@ -34,7 +34,7 @@ def arrivals(spark, rows_of, schema):
     return s, os.path.join(base, "out"), os.path.join(base, "ckpt")
 
 
-@pytest.mark.parametrize("name", ["stream_metric_traffic", "stream_metric_home_detail", "stream_metric_cart", "stream_metric_sku"])
+@pytest.mark.parametrize("name", ["stream_metric_traffic", "stream_metric_home_detail", "stream_metric_cart", "stream_metric_sku", "stream_metric_login", "stream_metric_payment"])
 def test_stream_equals_batch_sql(spark, name):
     r = compare(E.queries()[name](spark, SF), duck(SF), E.oracle_sql()[name])
     assert r["schema_ok"] and r["values_ok"] and r["spark_rows"] == r["oracle_rows"] > 0, r
@@ -94,3 +94,26 @@ def test_a_day_that_all_lines_have_left_is_no_row(spark):
     from portrait.plans.wide_orders import Dims
     dims = Dims(one("id", "sku_name", "tm_id", "category3_id"), one("id", "tm_name"), one("id", "name", "category2_id"), one("id", "name", "category1_id"), one("id", "name"))
     assert [r["stt"] for r in SM.sku_report(got, dims).collect()] == [M.DAY_MS]
+
+
+def test_days_that_arrive_late_change_their_neighbours(spark):
+    day = M.DAY_MS
+    rows = [[record("1", 0, 1), record("1", 20 * day, 2), record("2", 3 * day, 3)], [record("1", 15 * day, 4), record("2", 3 * day + 5, 5)], [record("1", 2 * day, 6)]]
+    s, out, ck = arrivals(spark, rows, PAGE_LOG_DDL)
+    run_to_completion(SM.login_deltas(s, back_days=8, watermark="100 days"), sink="parquet", path=out, checkpoint=ck)
+    got = SM.day_report(spark.read.parquet(out), "uu_ct", "back_ct").select("stt", "uu_ct", "back_ct")
+    every = spark.createDataFrame([r for b in rows for r in b], PAGE_LOG_DDL)
+    want = M.login(every, back_days=8).select("stt", "uu_ct", "back_ct")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert spark.read.parquet(out).where("flagged < 0").count() == 1  # day 20 follows day 15 now
+
+
+def test_first_payment_moves_to_an_earlier_day(spark):
+    day = M.DAY_MS
+    ddl = "user_id long, ts_ms long"
+    batches = [[(1, 9 * day), (2, 9 * day), (None, 9 * day)], [(1, 4 * day), (2, 10 * day)]]
+    s, out, ck = arrivals(spark, batches, ddl)
+    run_to_completion(SM.payment_deltas(s, watermark="100 days"), sink="parquet", path=out, checkpoint=ck)
+    got = SM.day_report(spark.read.parquet(out), "payment_uu_ct", "new_payer_ct")
+    want = M.payment(spark.createDataFrame([r for b in batches for r in b], ddl))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))

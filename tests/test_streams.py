@@ -131,3 +131,20 @@ def test_running_profile_over_batches(spark):
     got = _profile_rows(spark, batches, ddl, ST.running_profile_stream)
     assert sorted(map(tuple, got.select("seq", "pv", "os", "ch", "ba", "search_item").collect())) == [
         (0, 1, "iOS", "b", "", "q"), (1, 2, "iOS", "a,b", "", "q"), (2, 3, "Android,iOS", "a,b", "x", "q")]
+
+
+def test_dedup_state_holds_digests(spark):
+    """Long records cost state by number, not by length; nulls, texts and
+    empty texts differ."""
+    from portrait.streaming.sinks import run_stream
+
+    src, out, ck = _dirs()
+    ddl = "uid string, ts long, note string, seq long"
+    rows = [("1", k, "x" * 5000, k) for k in range(100)] * 2 + [("1", 1, None, 900), ("1", 1, "", 901), ("1", 1, "null", 902), (None, 1, "", 903)]
+    spark.createDataFrame([(u, t, n, i) for i, (u, t, n, _) in enumerate(rows)], ddl).coalesce(1).write.parquet(src)
+    s = read_stream(spark, "files", path=src, schema=spark.createDataFrame([], ddl).schema)
+    q = run_stream(ST.dedup_stream(s), sink="parquet", path=out, checkpoint=ck)
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == 104
+    state = spark.read.format("statestore").option("path", ck).load()
+    assert state.count() == 104 and state.select(F.max(F.octet_length("key._digest"))).first()[0] == 32
