@@ -510,6 +510,24 @@ def stream_wide_orders(spark, sf):
     return _drain(spark, WO.wide_orders(users, body, detail, info, dims(t), A.AS_OF), "wide")
 
 
+@register
+def stream_wide_watermark(spark, sf):
+    """J1-J3 and J6 as a chain of streams with watermarks on every join."""
+    from portrait.streaming import wide_orders as SW
+    from portrait.streaming.sources import read_stream
+    t = Tables(spark, sf)
+
+    def arriving(df, name, n, files):
+        return _stream(spark, df, name, "ts_ms", n, files)
+
+    def topic(df, name):
+        return read_stream(spark, "files", path=_topic(spark, df, name), schema=df.schema)
+
+    users = topic(SW.user_topic(arriving(A.user_info(t.customer), "ww-users", 2, 2), arriving(A.user_sup_msg(t.customer), "ww-body", 2, 2), A.AS_OF), "ww-user-topic")
+    orders = topic(SW.order_topic(arriving(A.order_detail(t.lineitem), "ww-detail", 3, 4), arriving(A.order_info(t.orders), "ww-info", 3, 4), dims(t)), "ww-order-topic")
+    return _drain(spark, SW.wide_topic(orders, users), "ww-wide")
+
+
 @register
 def stream_age_label(spark, sf):
     """The scoring job as a stream over its two input topics: wide order
