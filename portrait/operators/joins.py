@@ -48,12 +48,14 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> D
     return df
 
 
-def broadcast_if_few(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+def broadcast_if_few(df: DataFrame, max_rows: int = 100_000, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """For small tables that are derived from large ones (a dictionary out of
-    the facts), which the optimizer takes for large: written once, counted,
-    and broadcast only if the count proves them small."""
+    the facts), which the optimizer takes for large: written once, measured,
+    and broadcast only if rows and bytes prove them small (bytes: of the rows
+    as JSON, times ``UNPACKED``)."""
     df = materialize(df)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()
+    return F.broadcast(df) if rows <= max_rows and UNPACKED * (size or 0) <= max_bytes else df
 
 
 def row_preserving_bytes(base: DataFrame, out: DataFrame) -> int | None:

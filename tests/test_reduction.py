@@ -39,3 +39,11 @@ def test_reduced_label_equals_the_whole_one(spark, mode):
     finally:
         queries._label_cols = monkey
     assert sorted(map(tuple, seen["out"].select(*names).collect()), key=repr) == want and want
+
+
+def test_broadcast_needs_few_rows_and_few_bytes(spark):
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    small = spark.range(100).select("id", F.lit("x" * 100).alias("v"))
+    assert hinted(J.broadcast_if_few(small)) and hinted(J.broadcast_if_few(small.limit(0)))
+    assert not hinted(J.broadcast_if_few(small, max_rows=99))
+    assert not hinted(J.broadcast_if_few(small, max_bytes=50_000))
