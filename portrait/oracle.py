@@ -489,3 +489,5 @@ SQL["stream_metric_login"] = SQL["metric_login"]
 SQL["stream_metric_payment"] = SQL["metric_payment"]
 SQL["stream_memory_sink"] = f"SELECT province_id, count(*) AS n FROM ({AD['order_info']}) GROUP BY province_id"
 SQL["stream_wide_watermark"] = SQL["order_user_join"]
+SQL["stream_search_score"] = SQL["search_score"]
+SQL["stream_label_chain"] = SQL["age_label_as_run"]

@@ -423,24 +423,35 @@ def stream_profile(spark, sf):
     return _drain(spark, running_profile_stream(dedup_stream(P.flatten_page_log(raw))), "profile")
 
 
-@register
-def stream_page_profile(spark, sf):
-    """The page-log job as a stream (A1 -> T1 -> A4 -> F11/F12): records
-    de-duplicated within the watermark, 2-minute windows closed by it, running
-    profile and device scores per closed window.  One last record far ahead
-    closes the windows of the finite input."""
+def _profile_stream(spark, sf, name):
+    """The page-log job up to the running profile (A1 -> T1 -> A4): records
+    de-duplicated within the watermark, 2-minute windows closed by it and
+    drained into a topic, which a second stream turns into profiles.  One last
+    record far ahead closes the windows of the finite input."""
     from portrait.streaming import page_log as PL
     from portrait.streaming.sources import read_stream
     from portrait.streaming.stateful import running_windows_stream
     log = A.page_log(Tables(spark, sf).events, replay_every=10)
-    raw = _stream(spark, log.unionByName(PL.closing_record(log)), "pagelog-win", "seq")
+    raw = _stream(spark, log.unionByName(PL.closing_record(log)), f"{name}-log", "seq")
     closed = PL.closed_windows(raw).where(F.col("uid") != PL.CLOSER)
-    topic = read_stream(spark, "files", path=_topic(spark, closed, "closed-windows"), schema=closed.schema)
-    profile = running_windows_stream(topic)
-    done = _drain(spark, SC.device_scores(profile, spark), "page-profile")
+    return running_windows_stream(read_stream(spark, "files", path=_topic(spark, closed, f"{name}-windows"), schema=closed.schema))
+
+
+@register
+def stream_page_profile(spark, sf):
+    """The page-log job as a stream up to the device score."""
+    done = _drain(spark, SC.device_scores(_profile_stream(spark, sf, "page-profile"), spark), "page-profile")
     return done.select("uid", "window_start", "os", "judge_os", *_dbl(*SC.DEVICE_COLS))
 
 
+@register
+def stream_search_score(spark, sf):
+    """The page-log job as a stream up to its end, the search score."""
+    t = Tables(spark, sf)
+    done = _drain(spark, SC.search_scores(_profile_stream(spark, sf, "search"), spark, categories(t), A.category_compare_dic(t.region)), "search")
+    return done.select("uid", "window_start", "search_item", "b1_category", "searchCategory", *_dbl(*SC.SEARCH_COLS))
+
+
 @register
 def stream_dedup(spark, sf):
     """A1 on a stream (no watermark: state kept, as in the original)."""
@@ -510,22 +521,38 @@ def stream_wide_orders(spark, sf):
     return _drain(spark, WO.wide_orders(users, body, detail, info, dims(t), A.AS_OF), "wide")
 
 
-@register
-def stream_wide_watermark(spark, sf):
+def _wide_stream(spark, t, name):
     """J1-J3 and J6 as a chain of streams with watermarks on every join."""
     from portrait.streaming import wide_orders as SW
     from portrait.streaming.sources import read_stream
-    t = Tables(spark, sf)
 
-    def arriving(df, name, n, files):
-        return _stream(spark, df, name, "ts_ms", n, files)
+    def arriving(df, of, n, files):
+        return _stream(spark, df, f"{name}-{of}", "ts_ms", n, files)
+
+    def topic(df, of):
+        return read_stream(spark, "files", path=_topic(spark, df, f"{name}-{of}"), schema=df.schema)
+
+    users = topic(SW.user_topic(arriving(A.user_info(t.customer), "users", 2, 2), arriving(A.user_sup_msg(t.customer), "body", 2, 2), A.AS_OF), "user-topic")
+    orders = topic(SW.order_topic(arriving(A.order_detail(t.lineitem), "detail", 3, 4), arriving(A.order_info(t.orders), "info", 3, 4), dims(t)), "order-topic")
+    return SW.wide_topic(orders, users)
 
-    def topic(df, name):
-        return read_stream(spark, "files", path=_topic(spark, df, name), schema=df.schema)
 
-    users = topic(SW.user_topic(arriving(A.user_info(t.customer), "ww-users", 2, 2), arriving(A.user_sup_msg(t.customer), "ww-body", 2, 2), A.AS_OF), "ww-user-topic")
-    orders = topic(SW.order_topic(arriving(A.order_detail(t.lineitem), "ww-detail", 3, 4), arriving(A.order_info(t.orders), "ww-info", 3, 4), dims(t)), "ww-order-topic")
-    return _drain(spark, SW.wide_topic(orders, users), "ww-wide")
+@register
+def stream_wide_watermark(spark, sf):
+    return _drain(spark, _wide_stream(spark, Tables(spark, sf), "ww"), "ww-wide")
+
+
+@register
+def stream_label_chain(spark, sf):
+    """The three jobs chained by topics, all of them streams: wide orders and
+    the page-log job's profiles, window-joined and labelled (as run)."""
+    from portrait.streaming.sources import read_stream
+    t = Tables(spark, sf)
+    wide_rows = _wide_stream(spark, t, "lc").withColumn("_page_uid", F.floor(F.col("user_id") / A.USER_DIV).cast("string"))
+    profiles = SC.device_scores(_profile_stream(spark, sf, "lc"), spark)
+    ws, ps = (read_stream(spark, "files", path=_topic(spark, df, f"lc-{of}"), schema=df.schema) for df, of in ((wide_rows, "wide"), (profiles, "pages")))
+    out = AL.age_label(spark, ws, ps, "as_run", HOUR_MS, result_uid=F.col("_page_uid"))
+    return _drain(spark, _label_cols(out), "lc-label")
 
 
 @register
@@ -666,7 +693,7 @@ def stream_dim_enrich(spark, sf):
     from portrait.streaming.sinks import olap_sink, run_to_completion
     t = Tables(spark, sf)
     out = scratch_path(spark, "out-dims")
-    provinces = RefreshingDim(lambda s: _provinces(Tables(s, sf)), ttl_seconds=0)  # every batch
+    provinces = RefreshingDim(lambda s: _provinces(Tables(s, sf)), ttl_seconds=3600)  # loaded by the first batch, used again by the next
     sink = enrich_batches([DimSpec("province", "province_id", {"name": "province_name"})], {"province": provinces}, olap_sink(out, "parquet"))
     run_to_completion(_orders_stream(spark, t, "dims"), sink=sink, checkpoint=scratch_path(spark, "ckpt-dims"))
     return spark.read.parquet(out).select("id", "province_id", "province_name")
