@@ -62,6 +62,13 @@ def running_profile_window(flat: DataFrame) -> DataFrame:
     return flat.select(*cols)
 
 
+def _so_far(new: str, w) -> Column:
+    """The non-empty lists of new values up to a row.  A value is new once, so
+    a row's list has at most as many entries as the user has values, however
+    many windows there are."""
+    return F.collect_list(F.when(F.size(new) > 0, F.col(new))).over(w)
+
+
 def _tag(name: str):
     # one-argument lambda: a second parameter would receive the index
     return lambda v: F.struct(F.lit(name).alias("f"), v.alias("v"))
@@ -114,7 +121,7 @@ def running_profile(flat: DataFrame) -> DataFrame:
     empty = F.array().cast("array<string>")
     prefix = (summary.select("uid", "_chunk", "_n").join(new_vals, ["uid", "_chunk"], "left")
               .select("uid", "_chunk", F.coalesce(F.sum("_n").over(wp), F.lit(0)).alias("_off"),
-                      *[F.coalesce(F.flatten(F.collect_list(f"_new_{f}").over(wp)), empty).alias(f"_p_{f}")
+                      *[F.coalesce(F.flatten(_so_far(f"_new_{f}", wp)), empty).alias(f"_p_{f}")
                         for f in fields]))
     wl = (Window.partitionBy("uid", "_chunk").orderBy("ts", "seq")
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -133,7 +140,8 @@ def window_profile(flat: DataFrame, size_ms: int = 120_000, matched: str | None
     gives each value's first window and each window's count and last
     (ts, seq): a value is kept once, whatever the traffic, after a map-side
     partial step.  A second groups these by (uid, window), and the prefix
-    per uid runs over one row per window -- bounded by time, not by traffic.
+    per uid runs over one row per window -- bounded by time, not by traffic --
+    and carries only the windows that brought a new value.
 
     ``matched``: a boolean column that marks search terms; adds
     ``search_term``, the most recent one so marked up to the window's end."""
@@ -156,7 +164,7 @@ def window_profile(flat: DataFrame, size_ms: int = 120_000, matched: str | None
     w = Window.partitionBy("uid").orderBy("window_start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = by_window.select(
         "uid", "window_start", F.col("_last.ts").alias("ts"), F.col("_last.seq").alias("seq"), F.sum("_n").over(w).alias("pv"),
-        *[_sets_to_text(F.flatten(F.collect_list(f).over(w))).alias(f) for f in fields],
+        *[_sets_to_text(F.flatten(_so_far(f, w))).alias(f) for f in fields],
         F.max("_t").over(w).getField("_term").alias("search_term"))
     return out if matched else out.drop("search_term")
 
