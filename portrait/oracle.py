@@ -491,3 +491,4 @@ SQL["stream_memory_sink"] = f"SELECT province_id, count(*) AS n FROM ({AD['order
 SQL["stream_wide_watermark"] = SQL["order_user_join"]
 SQL["stream_search_score"] = SQL["search_score"]
 SQL["stream_label_chain"] = SQL["age_label_as_run"]
+SQL["stream_profile_slices"] = SQL["running_profile"]

@@ -437,6 +437,15 @@ def _profile_stream(spark, sf, name):
     return running_windows_stream(read_stream(spark, "files", path=_topic(spark, closed, f"{name}-windows"), schema=closed.schema))
 
 
+@register
+def stream_profile_slices(spark, sf):
+    """T1 with each uid spread over slices of event time: keyed state over
+    three micro-batches, then the earlier slices added."""
+    from portrait.streaming.stateful import dedup_stream, slice_profile_stream, with_earlier_slices
+    raw = _stream(spark, A.page_log(Tables(spark, sf).events, replay_every=10), "pagelog-sl", "ts")
+    return with_earlier_slices(_drain(spark, slice_profile_stream(dedup_stream(P.flatten_page_log(raw)), slice_ms=24 * HOUR_MS), "profile-slices"))
+
+
 @register
 def stream_page_profile(spark, sf):
     """The page-log job as a stream up to the device score."""

@@ -16,7 +16,7 @@ from bisect import insort
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -41,10 +41,11 @@ PROFILE_OUT = ("uid string, ts bigint, seq bigint, pv bigint, os string, ch stri
 class RunningProfile(StatefulProcessor):
     """Per uid: page count and values; one output row per input row.  A row
     stands for one record, or with ``windows`` for the ``n`` records and the
-    values (arrays) of a closed window."""
+    values (arrays) of a closed window.  With ``slices`` the key is (uid,
+    slice) and the values come out as arrays, to be added to others."""
 
-    def __init__(self, windows: bool = False):
-        self.windows = windows
+    def __init__(self, windows: bool = False, slices: bool = False):
+        self.windows, self.slices = windows, slices
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.pv = handle.getValueState("pv", "n bigint")
@@ -61,7 +62,11 @@ class RunningProfile(StatefulProcessor):
         for x in sets:
             x.sort()
         known = [{v for _, v in x} for x in sets]
-        text = [",".join(v for _, v in x) for x in sets]
+
+        def show(x: list) -> list | str:
+            return [v for _, v in x] if self.slices else ",".join(v for _, v in x)
+
+        text = [show(x) for x in sets]
         counts = pdf["n"].tolist() if self.windows else [1] * len(pdf)
         out = {f: [] for f in FIELDS}
         pvs = []
@@ -73,11 +78,11 @@ class RunningProfile(StatefulProcessor):
                     if v is not None and v == v and v not in known[j]:  # null / NaN is no value
                         known[j].add(v)
                         insort(sets[j], (v.encode("utf-8"), v))
-                        text[j] = ",".join(v for _, v in sets[j])
+                        text[j] = show(sets[j])
                         self.seen.updateValue((j, v), (True,))
                 out[f].append(text[j])
         self.pv.update((pv,))
-        first = {"uid": [key[0]] * len(pdf)} | {c: pdf[c].tolist() for c in order}
+        first = {"uid": [key[0]] * len(pdf)} | ({"slice": [key[1]] * len(pdf)} if self.slices else {}) | {c: pdf[c].tolist() for c in order}
         yield pd.DataFrame(first | {"pv": pvs} | out)
 
     def close(self) -> None:
@@ -93,6 +98,29 @@ def running_profile_stream(flat: DataFrame) -> DataFrame:
         RunningProfile(), PROFILE_OUT, "append", "None")
 
 
+def slice_profile_stream(flat: DataFrame, slice_ms: int = 3_600_000) -> DataFrame:
+    """T1 for a hot uid: state is keyed by (uid, slice of event time), so a
+    uid's records are spread over as many tasks as there are slices in a
+    micro-batch, and none holds all of a uid's values.  A row's count and values
+    are those of its slice so far; ``with_earlier_slices`` adds the others."""
+    base = flat.select("uid", F.floor(F.col("ts") / slice_ms).alias("slice"), "ts", "seq", *[F.col(f"deviceInfo.{f}").alias(f) for f in SET_FIELDS], "search_item")
+    out = "uid string, slice bigint, ts bigint, seq bigint, pv bigint, " + ", ".join(f"{f} array<string>" for f in FIELDS)
+    return base.groupBy("uid", "slice").transformWithStateInPandas(RunningProfile(slices=True), out, "append", "None")
+
+
+def with_earlier_slices(rows: DataFrame) -> DataFrame:
+    """The running profile of each row of ``slice_profile_stream`` (a table):
+    what the uid's earlier slices came to is added.  The sum over earlier slices
+    runs over one row a slice; rows meet it by (uid, slice), not by uid."""
+    last = rows.groupBy("uid", "slice").agg(F.max_by(F.struct("pv", *FIELDS), "pv").alias("_l")).select("uid", "slice", "_l.*")
+    earlier = Window.partitionBy("uid").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    none = F.array().cast("array<string>")
+    before = last.select("uid", "slice", F.coalesce(F.sum("pv").over(earlier), F.lit(0)).alias("_pv"),
+                         *[F.coalesce(F.array_distinct(F.flatten(F.collect_list(F.when(F.size(f) > 0, F.col(f))).over(earlier))), none).alias(f"_{f}") for f in FIELDS])
+    return rows.join(before, ["uid", "slice"]).select("uid", "ts", "seq", (F.col("pv") + F.col("_pv")).alias("pv"),
+                                                     *[F.array_join(F.array_sort(F.array_union(f, f"_{f}")), ",").alias(f) for f in FIELDS])
+
+
 def running_windows_stream(closed: DataFrame) -> DataFrame:
     """The running profile at the end of each closed window (``page_log``):
     the state's input is one row a uid and window, whatever their traffic."""

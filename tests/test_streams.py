@@ -148,3 +148,15 @@ def test_dedup_state_holds_digests(spark):
     assert spark.read.parquet(out).count() == 104
     state = spark.read.format("statestore").option("path", ck).load()
     assert state.count() == 104 and state.select(F.max(F.octet_length("key._digest"))).first()[0] == 32
+
+
+def test_a_hot_uid_is_spread_over_slices(spark):
+    ddl = "uid string, ts long, seq long, deviceInfo struct<os:string,ch:string,md:string,ba:string>, search_item string"
+    batches = [[("hot", 100 * k + b, 100 * b + k, (f"os{k % 3}", "a,b" if k % 2 else None, f"m{k // 20}", "x"), None if k % 7 else f"q{k}") for k in range(60)] for b in range(2)]
+    rows = _profile_rows(spark, batches[:1], ddl, lambda s: ST.slice_profile_stream(s, slice_ms=500))
+    assert rows.select("slice").distinct().count() == 12  # as many state keys as slices
+    assert rows.agg(F.max("pv")).first()[0] == 5
+    every = spark.createDataFrame(batches[0], ddl)
+    want = P.running_profile_window(every.withColumn("search_item", F.col("search_item")))
+    key = lambda df: sorted(map(tuple, df.select("uid", "ts", "seq", "pv", *ST.FIELDS).collect()))
+    assert key(ST.with_earlier_slices(rows)) == key(want)
