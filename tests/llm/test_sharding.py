@@ -102,3 +102,45 @@ def test_buckets_follow_the_number_of_rows(spark, monkeypatch):
         assert mine == list(range(len(mine)))
     texts = {i: f"text {i % 150}" for i in range(400)}
     check(S.assign(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 8).collect(), texts, 8)
+
+
+def links_cut(parts):
+    """Members that are not with the largest part of their group."""
+    return sum(len(p) - max(Counter(p).values()) for p in parts)
+
+
+def least_cut(sizes, shards):
+    """The least number of cut links of any assignment with counts at most one apart."""
+    most, best = -(-sum(sizes) // shards), sum(sizes)
+
+    def dealt(n, j):
+        if j == shards - 1:
+            yield [n]
+        else:
+            for x in range(n + 1):
+                for rest in dealt(n - x, j + 1):
+                    yield [x, *rest]
+
+    def go(k, room, cost):
+        nonlocal best
+        if cost >= best:
+            return
+        if k == len(sizes):
+            best = cost if max(room) - min(room) <= 1 else best
+            return
+        for part in dealt(sizes[k], 0):
+            after = [a + b for a, b in zip(room, part)]
+            if max(after) <= most:
+                go(k + 1, after, cost + sizes[k] - max(part))
+
+    go(0, [0] * shards, 0)
+    return best
+
+
+@pytest.mark.parametrize("sizes, shards, above", [([3, 2, 2, 1, 1], 3, 0), ([7, 1], 2, 0), ([6, 2, 2, 1, 1], 3, 0), ([5, 2, 1], 2, 1)])
+def test_cut_against_brute_force(spark, sizes, shards, above):
+    """Label propagation is a heuristic: on the last of these inputs it cuts
+    one link more than the least."""
+    texts = {100 * g + k: f"t{g}" for g, n in enumerate(sizes) for k in range(n)}
+    groups = check(S.assign(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), shards).collect(), texts, shards)
+    assert links_cut(groups.values()) <= least_cut(sizes, shards) + above
