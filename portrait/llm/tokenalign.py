@@ -169,8 +169,8 @@ class Sides:
         split = [self.segments(t) for t in texts]
         if self.held > CACHE_BYTES:  # what is asked for again comes back from the older ones
             self.known, self.older, self.held = {}, self.known, 0
-        new = set().union(*split) - self.known.keys()
-        again = new & self.older.keys()
+        new = set().union(*split).difference(self.known)
+        again = {s for s in new if s in self.older}
         self.known.update((s, self.older[s]) for s in again)
         self.held += 350 * len(again)
         new = list(new - again)
