@@ -51,7 +51,7 @@ ALIGN_CHARS = 500_000
 TOKEN_CHARS = 50_000
 #: Bytes of remembered segments a task (as many older ones stay beside them),
 #: and parts known as plain.
-CACHE_BYTES = 60_000_000
+CACHE_BYTES = 80_000_000
 PLAIN_PARTS = 300_000
 #: What may open a segment and end one: no white space, marks or controls there.
 opens = regex.compile(r"[^\s\p{C}\p{Z}\p{M}]")
@@ -94,6 +94,7 @@ class Sides:
         self.b_size = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
         self.known: dict[str, tuple[bytes, bytes] | None] = {}
         self.older: dict[str, tuple[bytes, bytes] | None] = {}
+        self.bad: set[str] = set()  # those known as None
         self.held = 0
         self.plain: set[str] = set()
 
@@ -158,6 +159,7 @@ class Sides:
             self.held += 300 * len(part) + 2 * len(want)
         elif len(part) == 1:
             self.known[part[0]] = None
+            self.bad.add(part[0])
             self.held += 300 + len(want)
         else:
             half = len(part) // 2
@@ -169,6 +171,7 @@ class Sides:
         split = [self.segments(t) for t in texts]
         if self.held > CACHE_BYTES:  # what is asked for again comes back from the older ones
             self.known, self.older, self.held = {}, self.known, 0
+            self.bad = {s for s, entry in self.older.items() if entry is None}
         new = set().union(*split).difference(self.known)
         again = {s for s in new if s in self.older}
         self.known.update((s, self.older[s]) for s in again)
@@ -177,9 +180,13 @@ class Sides:
         for i, j in slices(new, TOKEN_CHARS):
             self._learn(new[i:j])
         out = []
+        get = self.known.__getitem__
         for s in split:
-            both = list(map(self.known.__getitem__, s))
-            out.append(None if None in both else tuple(np.frombuffer(b"".join(x), dtype="<i4") for x in zip(*both)))
+            if self.bad and not self.bad.isdisjoint(s):
+                out.append(None)
+            else:
+                a, b = zip(*map(get, s))
+                out.append((np.frombuffer(b"".join(a), dtype="<i4"), np.frombuffer(b"".join(b), dtype="<i4")))
         return out
 
 
