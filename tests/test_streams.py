@@ -160,3 +160,21 @@ def test_a_hot_uid_is_spread_over_slices(spark):
     want = P.running_profile_window(every.withColumn("search_item", F.col("search_item")))
     key = lambda df: sorted(map(tuple, df.select("uid", "ts", "seq", "pv", *ST.FIELDS).collect()))
     assert key(ST.with_earlier_slices(rows)) == key(want)
+
+
+def test_state_entries_are_buckets_not_uids(spark):
+    """Python is called, and state read and written, once a bucket."""
+    from portrait.streaming.sinks import run_stream
+
+    ddl = "uid string, ts long, seq long, deviceInfo struct<os:string,ch:string,md:string,ba:string>, search_item string"
+    rows = [(f"ü{k % 300}", 10 * k, k, (f"os{k % 7}", None, "m\"", "x,y"), None if k % 3 else "\\q") for k in range(1200)]
+    every = spark.createDataFrame(rows, ddl)
+    key = lambda df: sorted(map(tuple, df.select("uid", "ts", "seq", "pv", *ST.FIELDS).collect()))
+    for most, stream, whole in ((8, lambda s: ST.slice_profile_stream(s, slice_ms=6000, buckets=4), ST.with_earlier_slices), (256, ST.running_profile_stream, lambda df: df)):
+        src, out, ck = _dirs()
+        every.coalesce(1).write.parquet(src)
+        q = run_stream(stream(read_stream(spark, "files", path=src, schema=every.schema)), sink="parquet", path=out, checkpoint=ck)
+        q.awaitTermination()
+        held = max(o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"])
+        assert 0 < held < 300 and (most == 256 or held <= most)
+        assert key(whole(spark.read.parquet(out))) == key(P.running_profile_window(every))
