@@ -12,6 +12,7 @@ from oracle_harness import compare, duck
 from portrait.operators import metrics as M
 from portrait.sources.adapters import PAGE_LOG_DDL
 from portrait.streaming import metrics as SM
+from portrait.streaming import stateful as ST
 from portrait.streaming.sinks import run_stream, run_to_completion
 from portrait.streaming.sources import read_stream
 
@@ -117,3 +118,29 @@ def test_first_payment_moves_to_an_earlier_day(spark):
     got = SM.day_report(spark.read.parquet(out), "payment_uu_ct", "new_payer_ct")
     want = M.payment(spark.createDataFrame([r for b in batches for r in b], ddl))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+
+
+def test_state_entries_are_buckets_not_users_or_lines(spark):
+    """A call into Python for each bucket: thousands of keys are few groups."""
+    day = M.DAY_MS
+    for stream, rows, ddl in ((SM.payment_deltas, [(k % 6000, (k % 7) * 100) for k in range(7000)], "user_id long, ts_ms long"),
+                              (SM.sku_deltas, [(f"l{k}", 10, 0, None if k % 5 else "x", 1, 2, 3) for k in range(6000)], LINES)):
+        s, out, ck = arrivals(spark, [rows], ddl)
+        q = run_stream(stream(s), sink="parquet", path=out, checkpoint=ck)
+        q.awaitTermination()
+        held = [o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"] if o["operatorName"] == "applyInPandasWithState"]
+        assert 0 < max(held) <= ST.STATE_BUCKETS
+        got = spark.read.parquet(out)
+        if "users" in got.columns:
+            assert tuple(got.agg(F.sum("users"), F.sum("flagged")).first()) == (6000, 6000) and [r[0] for r in got.select("day_ms").distinct().collect()] == [0 * day]
+        else:
+            assert {tuple(r) for r in got.groupBy("sku_id").agg(F.sum("n_lines"), F.sum("original_cents")).collect()} == {(None, 4800, 4800), ("x", 1200, 1200)}
+
+
+def test_ids_longer_than_a_double_and_null_skus(spark):
+    big = (1 << 62) + 1
+    ddl = LINES.replace("id string, ts_ms", "id long, ts_ms").replace("sku_id string", "sku_id long")
+    s, out, ck = arrivals(spark, [[(big, 10, 0, big, 5, 0, 0), (big + 1, 10, 0, None, 6, 0, 0)], [(big, 11, 0, big + 2, 7, 0, 0)]], ddl)
+    run_to_completion(SM.sku_deltas(s), sink="parquet", path=out, checkpoint=ck)
+    got = spark.read.parquet(out).groupBy("sku_id").agg(F.sum("original_cents"), F.sum("n_lines"))
+    assert {tuple(r) for r in got.collect()} == {(big, 0, 0), (big + 2, 7, 1), (None, 6, 1)}
