@@ -75,8 +75,9 @@ def parse_changes(raw: DataFrame, value_col: str = "value") -> DataFrame:
     a wrong type (the parser marks both), or without ``op``, table, ``ts_ms``
     or -- unless it is a delete -- ``after``.  Null input is bad."""
     schema = T.StructType([*ENVELOPE.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col(value_col).cast("string"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    out = raw.select(parsed.alias("_e"), F.col(value_col).cast("string").alias("_raw"))
+    parsed = F.from_json("_raw", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    # a generated row, so that no filter on the parsed fields parses the text again for each of them
+    out = raw.select(F.col(value_col).cast("string").alias("_raw")).select("_raw", F.explode(F.array(parsed)).alias("_e"))
     e = lambda name: F.col(f"_e.{name}")
     bad = (F.col("_e").isNull() | e(CORRUPT).isNotNull() | e("op").isNull() | e("source.table").isNull()
            | e("ts_ms").isNull() | ((e("op") != "d") & e("after").isNull()))

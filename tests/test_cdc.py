@@ -96,3 +96,14 @@ def test_camel_and_bean(spark):
     assert cdc.camel_columns(df).columns == ["provinceId", "provinceName", "ts"]
     js = cdc.bean_json(cdc.camel_columns(df), hidden=["ts"]).first().json
     assert js == '{"province_id":1,"province_name":"a"}'
+
+
+def test_text_is_parsed_once(spark):
+    """Filters on parsed fields do not parse the text again."""
+    from portrait.sources import cdc
+    raw = spark.createDataFrame([('{"op":"r","after":{"id":"1"},"source":{"table":"t"},"ts_ms":1}',), ("{",), (None,)], "value string")
+    rows = cdc.rows_after(cdc.good(cdc.parse_changes(raw))).select("op", "ts_ms", cdc.field("id", "bigint").alias("id"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("from_json") + plan.lower().count("jsontostructs") == 1, plan
+    assert [tuple(r) for r in rows.collect()] == [("r", 1, 1)]
+    assert cdc.quarantine(cdc.parse_changes(raw)).count() == 2
