@@ -40,3 +40,18 @@ def test_state_goes_once_no_partner_can_come(spark):
     assert rows.count() == 22 and sorted(r[0] for r in rows.where("id >= 100").select("name").collect()) == ["late", "later"]
     held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
     assert max(held) >= 60 and held[-1] <= 6
+
+
+def test_dimensions_meet_only_rows_that_met_a_user(spark):
+    """The five hops follow the join with the users, in the batch and in the
+    chain of streams: they are in no shuffle, topic or state before it."""
+    from portrait import queries as Q
+    from portrait.sources import adapters as A
+    from portrait.sources.tables import Tables
+    t = Tables(spark, SF)
+    topic = SW.order_topic(A.order_detail(t.lineitem), A.order_info(t.orders))
+    assert not {"tm_id", "tm_name", "category1_name", "price_interval"} & set(topic.columns)
+    plan = Q.wide(t)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert "_dk" in joins[0] and "user_id" in joins[1] and "uid" in joins[1], joins
+    assert Q.wide(t).columns[:12] == ["id", "order_id", "sku_id", "sku_name", "sku_num", "create_time", "user_id", "total_amount", "original_total_amount", "ts_ms", "tm_id", "category3_id"]
