@@ -11,15 +11,19 @@ one that is taken already.
 Training needs no labels by hand.  Base matches are positive; candidates that
 fail their kind's format test, or are a part of a base match, are negative;
 all others (what the base patterns miss) are left out of the training and are
-what the trees decide on.  At most ``train_rows`` labelled candidates train and
-calibrate.  Each kind and label has its own share of them, chosen by a 64-bit
-hash over all documents, so one frequent kind does not crowd out the others;
-weights give the labels of a kind their share in the corpus back.  A second
-hash holds a fifth back: trees on four fifths, and for each kind the least
-threshold that holds ``precision`` on the last fifth (without such a threshold
-the kind adds nothing).  A kind with fewer than ``MIN_HELD`` positive held rows
-cannot be calibrated: its threshold is ``FALLBACK``, raised above the score of
-every negative row that was held.
+what the trees decide on.  All labelled candidates of all documents train and
+calibrate: equal ones are one row that weighs as many, and a kind weighs as
+much as its share of ``BALANCE`` rows, so one frequent kind does not crowd out
+the others.  A hash holds a fifth back: trees on four fifths, and for each kind
+the least threshold that holds ``precision`` on the last fifth (without such a
+threshold the kind adds nothing); scores count in steps of 1 in ``STEPS``
+there, so that any number of held rows comes to a bounded table of counts.  A
+kind with fewer than ``MIN_HELD`` positive held rows cannot be calibrated: its
+threshold is ``FALLBACK``, raised above the score of every negative row that
+was held.  A caller who wants less work may set ``train_rows``: at most so many
+labelled candidates are then chosen by a 64-bit hash, each kind and label with
+a share of its own, and weights give the labels of a kind their share in the
+corpus back.  The query does not.
 
 One pass over the texts writes the candidates; texts are not shuffled.  Only
 the candidates that are no base match are scored by Spark and grouped by row.
@@ -37,7 +41,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import islice
-from math import nextafter
+from math import isqrt, nextafter
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -76,6 +80,13 @@ PART = 20_000
 #: Held positive rows that calibrate a kind, and the score that a span needs
 #: where a kind has fewer.
 MIN_HELD, FALLBACK = 20, 0.8
+#: Steps of a score that are told apart by a threshold.
+STEPS = 10_000
+#: A kind weighs as much in the training as its share of so many rows.
+BALANCE = 20_000
+#: Larger values of a feature are alike to the trees; so a feature has a
+#: bounded number of places to split at.
+LARGEST = 500
 FEATURES = ["kind_email", "kind_ip", "kind_card", "kind_phone", "chars", "digits", "groups", "first_group", "last_group", "longest_group",
             "separators", "plus", "parentheses", "checksum", "small_parts", "domain_end", "ascii", "before", "after", "run_digits",
             "digits_before", "digits_after", "cue", "upper"]
@@ -222,7 +233,7 @@ def features(text: str, start: int, end: int, kind: str, run: int) -> list[float
     left, right = text[max(0, start - 40):start], text[end:end + 24]
     near = left.lower()
     host = span.rpartition("@")[2].rpartition(".")[2]
-    return [float(x) for x in (
+    return [float(x) if x < LARGEST else float(LARGEST) for x in (
         *(kind == k for k in KINDS), len(span), len(digits), len(groups), groups[0], groups[-1], max(groups),
         len({c for c in span if not c.isalnum()}), span.startswith("+"), "(" in span,
         kind == "card" and luhn(digits), kind == "ip" and valid("ip", span), len(host) if kind == "email" and host.isalpha() else 0,
@@ -335,46 +346,64 @@ def chosen(draw: Column, counts: dict, rows: int) -> Column:
 
 def threshold(rows: list[tuple], precision: float) -> float | None:
     """The least score that holds ``precision`` on a kind's held ``rows``
-    (score, label, weight); with fewer than MIN_HELD positive ones FALLBACK,
-    or more than every held negative one's score."""
-    if sum(y for _, y, _ in rows) < MIN_HELD:
-        return max([FALLBACK, *(nextafter(p, 2.0) for p, y, _ in rows if not y)])
-    rows = sorted(rows, reverse=True)
-    right, total, best = 0.0, 0.0, None
-    for n, (p, y, w) in enumerate(rows, 1):
-        right, total = right + y * w, total + w
-        if (n == len(rows) or rows[n][0] != p) and n >= MIN_HELD and right / total >= precision:
+    (score, label, weight and, if it stands for several, their number); with
+    fewer than MIN_HELD positive ones FALLBACK, or more than every held
+    negative one's score."""
+    rows = sorted(((p, y, w, *(n or (1,))) for p, y, w, *n in rows), reverse=True)
+    if sum(y * n for _, y, _, n in rows) < MIN_HELD:
+        return max([FALLBACK, *(nextafter(p, 2.0) for p, y, _, _ in rows if not y)])
+    right, total, seen, best = 0.0, 0.0, 0, None
+    for i, (p, y, w, n) in enumerate(rows, 1):
+        right, total, seen = right + y * w, total + w, seen + n
+        if (i == len(rows) or rows[i][0] != p) and seen >= MIN_HELD and right / total >= precision:
             best = p
     return None if best is None else max(0.5, best)
 
 
-def train(labelled: DataFrame, train_rows: int, precision: float, seed: int = 42):
+def stepped(p: Column) -> Column:
+    return F.floor(p * STEPS) / STEPS
+
+
+def split_bins(rows: int) -> int:
+    """The bins a feature may have.  Spark looks for places to split at in
+    10,000 rows, or in the square of the bins if that is more: so many bins
+    that it looks at all ``rows`` (as long as their square is an int)."""
+    return 32 if rows <= 10_000 else min(46_340, isqrt(rows - 1) + 1)
+
+
+def train(labelled: DataFrame, train_rows: int | None = None, precision: float = 0.99, seed: int = 42):
     """(model, thresholds by kind) from (kind, label, x, place); None without
-    both classes.  The sample is chosen by hash, so it does not depend on
-    order."""
+    both classes.  Rows are held (and, with ``train_rows``, chosen) by hash, so
+    that does not depend on order."""
     counts = {(r["kind"], r["label"]): r["count"] for r in labelled.groupBy("kind", "label").count().collect()}  # at most 8 rows
     if len({label for _, label in counts}) < 2:
         return None, {}
     draw = lambda n: F.xxhash64(F.lit(n), "kind", "label", "x", "place")
-    sample = cut(labelled.withColumn("draw", draw(seed)).where(chosen(F.col("draw"), counts, train_rows)).withColumn("held", F.pmod(draw(seed + 1), F.lit(5)) == 0).repartition(4, "draw")
-                 .select("kind", F.col("label").cast("double").alias("label"), array_to_vector("x").alias("features"), "held"))
-    drawn = {(r["kind"], int(r["label"])): r["count"] for r in sample.groupBy("kind", "label").count().collect()}
-    # kinds weigh the same, labels inside a kind as they do in the corpus
+    rows = labelled if train_rows is None else labelled.where(chosen(draw(seed), counts, train_rows))
+    # equal candidates are one row that weighs as many
+    rows = cut(rows.groupBy("kind", "label", "x", (F.pmod(draw(seed + 1), F.lit(5)) == 0).alias("held")).agg(F.count("*").alias("n"))
+               .select("kind", F.col("label").cast("double").alias("label"), array_to_vector("x").alias("features"), "held", "n"))
+    drawn = {(r["kind"], int(r["label"])): r["n"] for r in rows.groupBy("kind", "label").agg(F.sum("n").alias("n")).collect()}
+    # kinds weigh the same as far as they have rows, labels inside a kind as they do in the corpus
+    mass = shares(counts, BALANCE) if train_rows is None else drawn
     of_kind = lambda c, kind: sum(n for k, n in c.items() if k[0] == kind)
     weight = F.lit(1.0)
     for k, n in drawn.items():
-        own = (counts[k] / of_kind(counts, k[0])) / (n / of_kind(drawn, k[0]))
+        own = counts[k] / of_kind(counts, k[0]) * of_kind(mass, k[0]) / n
         weight = F.when((F.col("kind") == k[0]) & (F.col("label") == k[1]), F.lit(own)).otherwise(weight)
-    sample = sample.withColumn("weight", weight)
-    fit = sample.where("not held")
-    if {r["label"] for r in fit.select("label").distinct().collect()} != {0.0, 1.0}:
-        fit = sample  # too few to do without the held ones
+    rows = rows.withColumn("weight", weight * F.col("n"))
+    fit = rows.where("not held")
+    fit_rows = {r["label"]: r["count"] for r in fit.groupBy("label").count().collect()}
+    if set(fit_rows) != {0.0, 1.0}:
+        fit = rows  # too few to do without the held ones
+        fit_rows = {r["label"]: r["count"] for r in fit.groupBy("label").count().collect()}
     if {label for _, label in drawn} != {0, 1}:
         return None, {}
-    model = GBTClassifier(maxIter=12, maxDepth=4, seed=seed, checkpointInterval=-1, weightCol="weight").fit(fit)
-    # the held rows are a fifth of a bounded sample
-    held = model.transform(sample.where("held")).select("kind", "label", "weight", vector_to_array("probability")[1].alias("p")).collect()
-    found = {kind: threshold([(r["p"], r["label"], r["weight"]) for r in held if r["kind"] == kind], precision) for kind in KINDS}
+    model = GBTClassifier(maxIter=12, maxDepth=4, maxBins=split_bins(sum(fit_rows.values())), seed=seed, checkpointInterval=-1, weightCol="weight").fit(fit)
+    # at most a row for each kind, label and step
+    held = (model.transform(rows.where("held")).groupBy("kind", "label", stepped(vector_to_array("probability")[1]).alias("p"))
+            .agg(F.sum("weight").alias("weight"), F.sum("n").alias("n")).collect())
+    found = {kind: threshold([(r["p"], r["label"], r["weight"], r["n"]) for r in held if r["kind"] == kind], precision) for kind in KINDS}
     return model, {k: t for k, t in found.items() if t is not None}
 
 
@@ -388,7 +417,7 @@ def no_overlap(spans: list, base: list) -> list[tuple]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
-def find_spans(docs: DataFrame, carry: list[str], text_col: str = "text", train_rows: int = 20_000, precision: float = 0.99) -> DataFrame:
+def find_spans(docs: DataFrame, carry: list[str], text_col: str = "text", train_rows: int | None = None, precision: float = 0.99) -> DataFrame:
     """(row, base, added): the spans of every row as arrays of (start, end,
     kind), code points, end exclusive, sorted by start and then kind."""
     found = cut(propose(docs, carry, text_col))
@@ -401,7 +430,7 @@ def find_spans(docs: DataFrame, carry: list[str], text_col: str = "text", train_
         return found.select("row", "base", nothing.alias("added"))
     limit = F.coalesce(*[F.when(F.col("c.kind") == k, F.lit(t)) for k, t in thresholds.items()], F.lit(2.0))
     scored = (model.transform(each.where("c.label = -1").select("rid", "c", array_to_vector("c.x").alias("features")))
-              .withColumn("p", vector_to_array("probability")[1]).where(F.col("p") >= limit))
+              .withColumn("p", vector_to_array("probability")[1]).where(stepped(F.col("p")) >= limit))
     open_ = scored.groupBy("rid").agg(F.collect_list(F.struct("c.start", "c.end", "c.kind", "p")).alias("open"))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

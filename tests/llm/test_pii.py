@@ -184,3 +184,48 @@ def test_a_row_of_many_candidates_has_parts(spark, monkeypatch):
         mine = sorted((r for r in got if r.rid in {x.rid for x in got if x.row and x.row.doc_id == i}), key=lambda r: r.part)
         assert [(c.start, c.end, c.kind) for r in mine for c in r.candidates] == [x[:3] for x in pii.text_candidates(t)[1]]
         assert all(len(r.candidates) <= 7 for r in mine) and all(r.row is None for r in mine[1:])
+
+
+def test_every_labelled_candidate_trains(spark):
+    """Two positive rows amid 60,000 others are the only ones to say what their
+    value of a feature means."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.sql import functions as F
+
+    def x(cue, before, chars, digits):
+        at = {"kind_ip": F.lit(1), "cue": cue, "before": before, "chars": chars, "digits": digits}
+        return F.array(*[F.coalesce(at.get(name, F.lit(0)), F.lit(0)).cast("double") for name in pii.FEATURES])
+
+    i = F.col("id")
+    usual = spark.range(60_000).select(F.lit("ip").alias("kind"), (i % 2).cast("int").alias("label"), x(i % 2, F.floor(i / 2) % 3, F.floor(i / 2) % 400, F.floor(i / 800)).alias("x"), F.struct(i.alias("place")).alias("place"))
+    rare = spark.range(1_000_002, 1_000_004).select(F.lit("ip").alias("kind"), F.lit(1).alias("label"), x(F.lit(0), F.lit(3), F.lit(7), F.lit(7)).alias("x"), F.struct(i.alias("place")).alias("place"))
+    model, thresholds = pii.train(usual.union(rare).repartition(4))
+    assert thresholds["ip"] >= 0.5
+    asked = spark.createDataFrame([(0,), (3,)], "b int").select("b", array_to_vector(x(F.lit(0), F.col("b"), F.lit(7), F.lit(7))).alias("features"))
+    p = {r.b: r.p for r in model.transform(asked).select("b", vector_to_array("probability")[1].alias("p")).collect()}
+    assert p[0] < 0.5 < p[3]
+
+
+def test_split_places_are_looked_for_in_all_rows():
+    for rows in (1, 10_000, 10_001, 250_000, 250_001, 46_340**2):
+        bins = pii.split_bins(rows)
+        assert max(10_000, bins * bins) >= rows and bins * bins < 2**31
+
+
+def test_threshold_of_rows_counted_together():
+    each = [(0.9, 1.0, 1.0)] * 990 + [(0.9, 0.0, 1.0)] * 10 + [(0.6, 1.0, 1.0)] * 50 + [(0.6, 0.0, 1.0)] * 2
+    together = [(0.9, 1.0, 990.0, 990), (0.9, 0.0, 10.0, 10), (0.6, 1.0, 50.0, 50), (0.6, 0.0, 2.0, 2)]
+    for precision in (0.98, 0.989, 0.99, 0.995):
+        assert pii.threshold(together, precision) == pii.threshold(each, precision)
+    assert pii.threshold([(0.7, 1.0, 19.0, 19), (0.85, 0.0, 1.0, 1)], 0.99) > 0.85
+
+
+def test_rare_kinds_add_spans_when_all_candidates_train(spark):
+    rows, hidden = people(200)
+    rng = random.Random(5)
+    log = [(5000 + i, "host " + " ".join(".".join(str(rng.randrange(256)) for _ in range(4 + j % 2)) for j in range(40))) for i in range(1200)]
+    df = spark.createDataFrame(rows + log, "doc_id long, text string")
+    found = pii.find_spans(df, ["doc_id"]).collect()
+    added = {r.row.doc_id: {f"{s.kind}:{s.start}:{s.end}" for s in r.added if s.kind == "phone"} for r in found}
+    assert sum(hidden[i] in added[i] for i in hidden) >= 0.9 * len(hidden)
+    assert sum(map(len, added.values())) <= 1.1 * len(hidden) + 5
