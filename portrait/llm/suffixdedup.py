@@ -29,6 +29,11 @@ different key of a slice once) and bitmaps back.  The number of buckets follows
 the bytes of all texts, so a bucket has a bounded share of the keys; a string
 that fills a third of the corpus is one key a slice.
 
+* **Passages** of words (where asked for) go the same way, in the same rounds: the
+  units are then hashes of words instead of bytes, their keys have buckets of
+  their own, and white space between words is of no account.  They are found
+  beside the strings and change nothing in what is removed.
+
 Defined cases: a null text is empty; texts shorter than ``length`` keep all;
 repeated rows repeat each other; ids may be null or repeat; an empty table gives
 an empty result; a text longer than a slice is a slice of its own; further
@@ -45,7 +50,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portrait.llm.common import ensure_checkpoint_dir, table, written
@@ -64,6 +69,9 @@ COVERS = {
 SLICE_BYTES = 4_000_000
 BUCKET_KEYS = 2_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of words, and the longest word that the sums tell apart by themselves.
+SOLID = ~np.isin(np.arange(256), [32, *range(9, 14)])
+LONG_WORD = 255
 
 
 def cover_of(length: int) -> tuple[int, tuple[int, ...]]:
@@ -100,17 +108,24 @@ class Slice:
         power = np.full(len(self.data) + 1, BASE, dtype=np.uint64)
         power[0] = 1
         np.multiply.accumulate(power, out=power)
-        sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
-        back = np.full(len(self.data) + 1, pow(int(BASE), -1, 1 << 64), dtype=np.uint64)
-        back[0] = 1
-        np.multiply.accumulate(back, out=back)
-        key = (sums[self.at + core] - sums[self.at]) * back[self.at]
+        self.sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
+        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=self.sums[1:])
+        self.back = np.full(len(self.data) + 1, pow(int(BASE), -1, 1 << 64), dtype=np.uint64)
+        self.back[0] = 1
+        np.multiply.accumulate(self.back, out=self.back)
+        self.code = self.digests(self.at, self.at + core) >> np.uint64(32 - self.bits)
+        self.codes, self.code_of, self.code_n = np.unique(self.code, return_inverse=True, return_counts=True)
+
+    def digests(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        key = (self.sums[ends] - self.sums[starts]) * self.back[starts]
         key ^= key >> np.uint64(31)
         key *= np.uint64(0xBF58476D1CE4E5B9)
         key ^= key >> np.uint64(29)
-        self.code = key >> np.uint64(32 - self.bits)
-        self.codes, self.code_of, self.code_n = np.unique(self.code, return_inverse=True, return_counts=True)
+        return key
+
+    def forget(self) -> None:
+        """The sums, which only ``samples`` and ``digests`` need."""
+        self.sums = self.back = None
 
     def tie(self, across: np.ndarray) -> None:
         """Keep the samples whose core is found elsewhere too and digest their
@@ -158,13 +173,49 @@ class Slice:
         self.high, self.low = high[order][self.entry_start], low[order][self.entry_start]
 
     def repeated(self, across: np.ndarray) -> np.ndarray:
-        """Marks of the bytes in repeated strings."""
+        """Marks of the units in repeated strings."""
         again = (across | (self.entry_n > 1))[self.entry_of]
         self.decided[self.starts_at[again]] = True
         at = np.flatnonzero(self.decided)
         return marks(len(self.data), at, at + self.length)
 
 
+class Words(Slice):
+    """The words of a slice's texts, as hashes, in the place of bytes (after
+    its ``samples``); ``begin`` and ``end`` of each word are bytes of the slice."""
+
+    def __init__(self, texts: Slice, length: int):
+        self.length, self.bits = length, texts.bits
+        self.period, self.cover = cover_of(length)
+        self.begin, last = runs(SOLID[texts.data], texts.starts)
+        self.end = last + 1
+        self.data = texts.digests(self.begin, self.end)
+        view = memoryview(texts.data)
+        for i in np.flatnonzero(self.end - self.begin > LONG_WORD).tolist():
+            self.data[i] = xxhash.xxh3_64_intdigest(view[self.begin[i]:self.end[i]])
+        self.text_starts = texts.starts
+        self.starts, self.ends = np.searchsorted(self.begin, texts.starts), np.searchsorted(self.begin, texts.ends)
+
+    def passages(self, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The stretches of marked words: start and end in bytes of their text,
+        and how many each text has."""
+        first, last = runs(gone, self.starts)
+        doc = np.searchsorted(self.starts, first, side="right") - 1
+        return self.begin[first] - self.text_starts[doc], self.end[last] - self.text_starts[doc], np.bincount(doc, minlength=len(self.starts))
+
+
+def runs(inside: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and last places of the stretches ``inside``; none goes on
+    over a cut."""
+    n = len(inside)
+    cut = np.zeros(n + 1, dtype=bool)
+    cut[cuts] = True
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1] | cut[1:n]
+    last[:-1] &= ~inside[1:] | cut[1:n]
+    return np.flatnonzero(first), np.flatnonzero(last)
+
+
 def marks(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Which of ``n`` places lie in any [start, end)."""
     step = np.bincount(starts, minlength=n + 1).astype(np.int64) - np.bincount(ends, minlength=n + 1)
@@ -296,9 +347,12 @@ def sliced(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return spark.table(name)
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", words: int | None = None) -> DataFrame:
     """(id, n_bytes, spans array<struct<start, end>>, kept binary) of every
-    row of ``docs``: the removed byte spans and what is left."""
+    row of ``docs``: the removed byte spans and what is left.  With ``words``
+    also ``passages``, the byte spans of the words covered by a passage of so
+    many words (whatever white space is between them) that starts anywhere else
+    too; they are reported, not removed."""
     spark = docs.sparkSession
     texts = sliced(docs, id_col, text_col)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -317,30 +371,44 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
 
         return run
 
-    def opened(values: pa.Array, flags: tuple) -> Slice:
-        s = Slice(values, length, bits)
-        s.samples()
-        if flags:
-            s.tie(flags[0].astype(bool))
-        if flags[1:]:
-            s.windows(flags[1])
-        return s
+    def opened(values: pa.Array, *flags: np.ndarray) -> list[tuple[Slice, np.ndarray | None]]:
+        """The levels (bytes, and words where asked for) after the rounds of
+        ``flags``; with the third round's, each has its own beside it."""
+        levels = [Slice(values, length, bits)]
+        levels[0].samples()
+        if words:
+            levels.append(Words(levels[0], words))
+            levels[1].samples()
+        for s in levels:
+            s.forget()
+        own = [None] * len(levels)
+        for turn, (sent, f) in enumerate(zip(("codes", "hulls", "high"), flags)):
+            ends = np.cumsum([len(getattr(s, sent)) for s in levels])
+            own = np.split(f, ends[:-1])
+            for s, o in zip(levels, own):
+                if turn == 0:
+                    s.tie(o.astype(bool))
+                elif turn == 1:
+                    s.windows(o)
+        return list(zip(levels, own))
+
+    def both(i: int, levels: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        """The (bucket, keys...) of all levels; each has buckets of its own."""
+        rows = [(bucket + np.uint64(k << bits), *keys) for k, (bucket, *keys) in enumerate(levels)]
+        return packed(i, *(np.concatenate(c) for c in zip(*rows)))
 
     def cores(i, ids, values):
-        s = opened(values, ())
-        return packed(i, s.codes >> np.uint64(32), s.codes.astype("<u4"))
+        return both(i, [(s.codes >> np.uint64(32), s.codes.astype("<u4")) for s, _ in opened(values)])
 
     def hulls(i, ids, values, *flags):
-        s = opened(values, flags)
-        return packed(i, s.hull_codes >> np.uint64(32), s.hull_codes.astype("<u4"), s.hulls)
+        return both(i, [(s.hull_codes >> np.uint64(32), s.hull_codes.astype("<u4"), s.hulls) for s, _ in opened(values, *flags)])
 
     def strings(i, ids, values, *flags):
-        s = opened(values, flags)
-        return packed(i, s.high >> np.uint64(64 - bits), s.high, s.low)
+        return both(i, [(s.high >> np.uint64(64 - bits), s.high, s.low) for s, _ in opened(values, *flags)])
 
     def finish(i, ids, values, *flags):
-        s = opened(values, flags[:2])
-        gone = s.repeated(flags[2].astype(bool))
+        levels = opened(values, *flags)
+        s, gone = levels[0][0], levels[0][0].repeated(levels[0][1].astype(bool))
         kept, spans, counts = [], [], []
         for a, b in zip(s.starts.tolist(), s.ends.tolist()):
             g = gone[a:b]
@@ -350,9 +418,12 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
             counts.append(len(edge) // 2)
         edge = np.concatenate([*spans, np.zeros(0, np.int64)]).astype(np.int64)
         pairs = pa.StructArray.from_arrays([pa.array(edge[::2]), pa.array(edge[1::2])], names=["start", "end"])
-        return pa.RecordBatch.from_arrays(
-            [ids, pa.array(s.ends - s.starts), pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pairs), pa.array(kept, pa.binary())],
-            names=["id", "n_bytes", "spans", "kept"])
+        cols = [ids, pa.array(s.ends - s.starts), pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pairs), pa.array(kept, pa.binary())]
+        for w, again in levels[1:]:
+            first, last, counts = w.passages(w.repeated(again.astype(bool)))
+            pairs = pa.StructArray.from_arrays([pa.array(first), pa.array(last)], names=["start", "end"])
+            cols.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pairs))
+        return pa.RecordBatch.from_arrays(cols, names=["id", "n_bytes", "spans", "kept", "passages"][:len(cols)])
 
     core_flags = bucket_round(texts.mapInArrow(each(cores), "bucket bigint, slice bigint, k0 binary"), parts, ("<u4",), same_core)
 
@@ -366,13 +437,21 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     string_flags = bucket_round(flagged(two).mapInArrow(each(strings), "bucket bigint, slice bigint, k0 binary, k1 binary"), parts, ("<u8", "<u2"), same_window)
     three = two.join(string_flags.withColumnRenamed("flags", "f3"), "slice", "left")
     id_type = texts.schema["ids"].dataType.elementType.simpleString()
-    return flagged(three).mapInArrow(each(finish), f"id {id_type}, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
+    span_type = "array<struct<start:bigint,end:bigint>>"
+    more = f", passages {span_type}" if words else ""
+    return flagged(three).mapInArrow(each(finish), f"id {id_type}, n_bytes bigint, spans {span_type}, kept binary{more}")
 
 
 def op11_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeated_spans(table(spark, sf_dir, "documents"), length=400)
+    found = repeated_spans(table(spark, sf_dir, "documents"), length=400, words=50)
+
+    def covered(spans: str) -> Column:
+        return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
     return found.select(
         F.col("id").alias("doc_id"), "n_bytes",
-        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+        covered("spans").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"))
+        F.sha2("kept", 256).alias("kept_sha256"),
+        F.size("passages").cast("long").alias("n_passages"),
+        covered("passages").alias("n_passage_bytes"))

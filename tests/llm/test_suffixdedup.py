@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -144,3 +145,55 @@ def test_given_table(spark):
     sf = "/root/testdata/sf0.001"
     table = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert rows(S.op11_suffixdedup(spark, sf)) == expected(table)
+
+
+def brute_passages(texts, words):
+    """Byte spans of the words in passages of ``words`` words that start twice."""
+    split = [[(m.start(), m.end(), m.group()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for t in texts]
+    places = defaultdict(int)
+    for found in split:
+        for i in range(len(found) - words + 1):
+            places[tuple(w for _, _, w in found[i:i + words])] += 1
+    out = []
+    for found in split:
+        gone = {i + k for i in range(len(found) - words + 1) if places[tuple(w for _, _, w in found[i:i + words])] > 1 for k in range(words)}
+        first = [i for i in sorted(gone) if i - 1 not in gone]
+        last = [i for i in sorted(gone) if i + 1 not in gone]
+        out.append([(found[a][0], found[b][1]) for a, b in zip(first, last)])
+    return out
+
+
+def passage_corpus(seed):
+    rng = random.Random(seed)
+    texts = [t for _, t in corpus(seed)]
+    for n in (49, 50, 51, 55, 70):  # of short words: most are below 400 bytes
+        p = [rng.choice(["a", "of", "the", "é", "日"]) + str(rng.randrange(100)) for _ in range(n)]
+        for _ in range(3):
+            texts.append(prose(rng, rng.randrange(0, 90)) + "\n" + "".join(w + rng.choice([" ", "\n", "\t ", "  "]) if i % 9 == 0 else w + " " for i, w in enumerate(p)) + prose(rng, 20))
+            texts.append("  " + "\r\n".join(p) + " ")
+    long = "".join(rng.choice("xy") for _ in range(2000))
+    texts += [" ".join([long] * 60), " ".join([long[:-1] + "z"] * 60), "w " * 51, "w " * 50, "v " * 50, " \n ", " " * 60]
+    return texts
+
+
+@pytest.mark.parametrize("seed,slice_bytes", [(1, 3000), (2, 4_000_000)])
+def test_passages_equal_brute_force(spark, monkeypatch, seed, slice_bytes):
+    monkeypatch.setattr(S, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(S, "BUCKET_KEYS", 500)
+    texts = passage_corpus(seed)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["id"]: r for r in S.repeated_spans(docs, 400, words=50).collect()}
+    assert [[tuple(s) for s in got[i]["passages"]] for i in range(len(texts))] == brute_passages(texts, 50)
+    for i, (_, n, g, k) in enumerate(brute(texts, 400)):  # what is removed stays what it was
+        assert (sum(s["end"] - s["start"] for s in got[i]["spans"]), len(got[i]["spans"]), bytes(got[i]["kept"])) == (n, g, k)
+
+
+def test_passages_below_400_bytes_are_reported(spark, tmp_path):
+    rng = random.Random(3)
+    passage = " ".join(f"w{rng.randrange(1000)}" for _ in range(52))
+    assert len(passage) < 400
+    own = [" ".join(f"{k}x{rng.randrange(10**6)}" for _ in range(80)) for k in "abc"]
+    table = [(1, own[0] + " " + passage), (2, passage.replace(" ", "\n", 3) + "\n" + own[1]), (3, own[2]), (4, None)]
+    got = {r["doc_id"]: r for r in S.op11_suffixdedup(spark, write(spark, tmp_path, table)).collect()}
+    assert [(got[i]["n_passages"], got[i]["n_passage_bytes"]) for i in (1, 2, 3, 4)] == [(1, len(passage))] * 2 + [(0, 0)] * 2
+    assert [got[i]["n_removed"] for i in (1, 2, 3, 4)] == [0] * 4
