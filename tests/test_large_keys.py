@@ -31,17 +31,15 @@ def large(spark, tmp_path_factory):
     return d, con
 
 
-def check(spark, large, name, id_column=True):
-    d, con = large
-    sql = E.oracle_sql()[name]
-    if id_column:
-        sql = f"SELECT * REPLACE (CAST((id + {WRAP // 2}) % {WRAP} - {WRAP // 2} AS BIGINT) AS id) FROM ({sql})"
-    r = compare(E.queries()[name](spark, d), con, sql)
+def equal(r):
     assert r["schema_ok"] and r["values_ok"] and r["spark_rows"] == r["oracle_rows"] > 0, r
 
 
-def test_stream_wide_watermark(spark, large):
-    check(spark, large, "stream_wide_watermark")
+@pytest.mark.parametrize("name", ["stream_wide_watermark"])
+def test_rows_with_line_ids(spark, large, name):
+    d, con = large
+    low = f"CAST((id + {WRAP // 2}) % {WRAP} - {WRAP // 2} AS BIGINT)"
+    equal(compare(E.queries()[name](spark, d), con, f"SELECT * REPLACE ({low} AS id) FROM ({E.oracle_sql()[name]})"))
 
 
 def test_line_id_is_the_low_64_bits_and_turn_the_rest(spark):
@@ -55,3 +53,25 @@ def test_line_id_is_the_low_64_bits_and_turn_the_rest(spark):
         number = (((r[0] * 8 + r[3]) * 1_000_003 + r[1]) * 1_009 + int(math.fmod(r[2], 1_009))) * 64 + int(r[4])
         assert r["id"] + r["turn"] * WRAP == number and -WRAP // 2 <= r["id"] < WRAP // 2
         assert r["turn"] == 0 or not -WRAP // 2 <= number < WRAP // 2
+
+
+@pytest.mark.parametrize("name", ["stream_metric_sku", "metric_sku"])
+def test_amounts_are_those_of_small_keys(spark, large, name):
+    equal(compare(E.queries()[name](spark, large[0]), duck(SF), E.oracle_sql()[name]))
+
+
+@pytest.mark.parametrize("name", ["stream_metric_sku", "metric_sku"])
+def test_lines_of_one_id_but_another_turn_count_both(spark, large, tmp_path, name):
+    """Two lines whose numbers are 2^64 apart."""
+    orders, rest = divmod(WRAP, 1_000_003 * 1_009 * 64)
+    part, rest = divmod(rest, 1_009 * 64)
+    at = 9 + orders
+    rows = [(1, 1, 0, 1, 1.0, 2.0, 0.0, 0.0), (at // 8, 1 + part, rest // 64, at % 8, 1.0 + rest % 64, 3.0, 0.0, 0.0)]
+    lines = spark.createDataFrame(rows, LINE)
+    log = A.order_detail_log(lines).where("pos = 1").select("id", "id_turn").distinct().collect()
+    assert len({r["id"] for r in log}) == 1 and sorted(r["id_turn"] for r in log) == [0, 1]
+    for t in ("supplier", "part", "nation", "region"):
+        (tmp_path / f"{t}.parquet").symlink_to(f"{SF}/{t}.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = E.queries()[name](spark, str(tmp_path)).select("sku_id", "original_amount").collect()
+    assert sorted(map(tuple, got)) == [(1, 2.0), (1 + part, 3.0)]
