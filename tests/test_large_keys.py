@@ -35,7 +35,7 @@ def equal(r):
     assert r["schema_ok"] and r["values_ok"] and r["spark_rows"] == r["oracle_rows"] > 0, r
 
 
-@pytest.mark.parametrize("name", ["stream_wide_watermark", "stream_wide_orders"])
+@pytest.mark.parametrize("name", ["stream_wide_watermark", "stream_wide_orders", "stream_label_chain"])
 def test_rows_with_line_ids(spark, large, name):
     d, con = large
     low = f"CAST((id + {WRAP // 2}) % {WRAP} - {WRAP // 2} AS BIGINT)"
